@@ -1,0 +1,44 @@
+"""Cutting a key's timeline into blocks.
+
+A pattern with a time limit only looks that far. So a key's rows can be cut into
+blocks of time that are worked on apart, if each block also gets the rows that lie
+within the limit of its edge. A key that holds a third of all rows then spreads
+over as many tasks as it has blocks.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+# A block is this many limits long, so about one row in this many is copied.
+LIMITS_PER_BLOCK = 16
+
+
+def block_of(us: Column, width: int) -> Column:
+    """Start of the block, in epoch microseconds, that a time falls into."""
+    return us - F.pmod(us, F.lit(width))
+
+
+def with_blocks(
+    df: DataFrame, us: str, width: int, before: int = 0, after: int = 0, when: Column | None = None
+) -> DataFrame:
+    """Add `block`; rows near an edge come out once more for the block next to it.
+
+    Every block sees the rows from `before` microseconds ahead of its start up to
+    `after` past its end. `when` limits which rows are copied at all.
+    Both margins must fit into a block.
+    """
+    time = F.col(us)
+    home = block_of(time, width)
+    copy = F.lit(True) if when is None else when
+    blocks = [home]
+    if before:
+        blocks.append(F.when(copy & (time >= home + width - before), home + width))
+    if after:
+        blocks.append(F.when(copy & (time < home + after), home - width))
+    return df.withColumn("block", F.explode(F.array_compact(F.array(*blocks))))
+
+
+def is_home(us: str, width: int) -> Column:
+    """True for a row itself, false for its copies."""
+    return F.col("block") == block_of(F.col(us), width)
