@@ -36,7 +36,7 @@ def with_blocks(
         blocks.append(F.when(copy & (time >= home + width - before), home + width))
     if after:
         blocks.append(F.when(copy & (time < home + after), home - width))
-    return df.withColumn("block", F.explode(F.array_compact(F.array(*blocks))))
+    return df.withColumn("block", F.explode(F.array(*blocks))).where(F.col("block").isNotNull())
 
 
 def is_home(us: str, width: int) -> Column:

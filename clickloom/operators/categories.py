@@ -4,29 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickloom.functions.text import id_list
 from clickloom.operators.ranking import bounded, top_n
 
 KINDS = ("click", "order", "pay")
 
 
-def _touch(kind: str, ids: Column) -> Column:
-    return F.transform(ids, lambda i: F.struct(F.lit(kind).alias("kind"), i.alias("category_id")))
-
-
 def touches(actions: DataFrame) -> DataFrame:
     """One row per category an action clicks, orders or pays: kind and category id.
 
     The three id columns become one array that is exploded once, so the actions
-    are read once and not three times.
+    are read once and not three times. Empty and non-numeric tokens are left out.
     """
-    clicked = F.array_compact(F.array("click_category_id"))
-    kinds = [
-        _touch("click", clicked),
-        _touch("order", id_list(F.col("order_category_ids"))),
-        _touch("pay", id_list(F.col("pay_category_ids"))),
+    ids = [
+        F.array(F.col("click_category_id").cast("string")),
+        F.split("order_category_ids", ","),
+        F.split("pay_category_ids", ","),
     ]
-    return actions.select("session_id", F.inline(F.concat(*kinds)))
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), i.alias("ids")) for k, i in zip(KINDS, ids)])
+    return (
+        actions.select("session_id", F.inline(kinds))
+        .select("session_id", "kind", F.explode("ids").alias("id"))
+        .select("session_id", "kind", F.col("id").try_cast("bigint").alias("category_id"))
+        .where(F.col("category_id").isNotNull())
+    )
 
 
 def touched(actions: DataFrame) -> DataFrame:
@@ -64,8 +64,15 @@ def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
 
 
 def category_session_clicks(pair_counts: DataFrame) -> DataFrame:
-    """Clicks per category and session, where there are any."""
-    return pair_counts.where("click_count > 0").select("category_id", "session_id", "click_count")
+    """Clicks per category and session, where there are any.
+
+    The first condition holds for every row. It keeps all three counts alive, so that
+    this and the category counts read one and the same shuffle and not two.
+    """
+    any_touch = F.col("click_count") + F.col("order_count") + F.col("pay_count") > 0
+    return pair_counts.where(any_touch & (F.col("click_count") > 0)).select(
+        "category_id", "session_id", "click_count"
+    )
 
 
 def top_sessions(

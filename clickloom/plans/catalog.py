@@ -6,14 +6,17 @@ All run over whole tables. Filters appear only where filtering is the operator.
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom import schemas
 from clickloom.functions import numbers, text, times
 from clickloom.operators import applog, categories, patterns, sampling, sessions, traffic
+from clickloom.session import shared_dir
 from clickloom.sources import lines, retail, tables
 from clickloom.sources.tasks import TaskParams, param_columns
+from clickloom.streaming import logins as stream_logins, orders as stream_orders, run, traffic as stream_traffic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -356,6 +359,69 @@ def _event_table(name: str) -> Query:
     return query
 
 
+# Streams: the events table read as a stream to its end, results from the stream's files.
+# What the last event leaves open does not come out.
+
+
+def _event_stream(spark, sf_dir):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return retail.typed_events(run.table_rows(spark, sf_dir, retail.EVENTS_DDL, glob="events.parquet"))
+
+
+def _folder(spark, name):
+    return f"{shared_dir(spark)}/clickloom/{name}-{uuid4().hex}"
+
+
+def _ranked_stream(spark, counts, key, n, name):
+    folder = _folder(spark, name)
+    run.into_batches(
+        counts, folder, stream_traffic.ranked_into(f"{folder}/data", key, n), available_now=True
+    ).awaitTermination()
+    return spark.read.schema(f"window_end bigint, {counts.select(key).schema.simpleString()[7:-1].replace(':', ' ')}, "
+                             "count bigint, rank int").parquet(f"{folder}/data").drop("batch_id")
+
+
+def _filed_stream(spark, stream, name, split_by=None):
+    folder = _folder(spark, name)
+    run.into_files(stream, folder, split_by, available_now=True).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/data")
+
+
+def hot_items_top3_stream(spark, sf_dir):
+    counts = stream_traffic.hot_items(retail.behaviors(_event_stream(spark, sf_dir)))
+    return _ranked_stream(spark, counts, "item_id", traffic.ITEM_TOP, "hot-items")
+
+
+def url_traffic_top5_stream(spark, sf_dir):
+    counts = stream_traffic.url_traffic(retail.requests(_event_stream(spark, sf_dir)))
+    return _ranked_stream(spark, counts, "url", traffic.URL_TOP, "url-traffic")
+
+
+def login_burst_stream(spark, sf_dir):
+    found = stream_logins.login_bursts(retail.logins(_event_stream(spark, sf_dir)), PATTERN_LIMIT)
+    return _filed_stream(spark, found, "login-burst")
+
+
+def login_strict_pair_stream(spark, sf_dir):
+    found = stream_logins.login_pairs(retail.logins(_event_stream(spark, sf_dir)), PATTERN_LIMIT)
+    return _filed_stream(spark, found, "login-pair")
+
+
+def order_timeout_stream(spark, sf_dir):
+    found = stream_orders.order_outcomes(retail.orders(_event_stream(spark, sf_dir)), PATTERN_LIMIT)
+    return _filed_stream(spark, found, "order-timeout", split_by=["status"])
+
+
+def app_log_routed_stream(spark, sf_dir):
+    lines = retail.log_lines(_event_stream(spark, sf_dir)).select("value")
+    return _filed_stream(spark, applog.with_log_type(applog.clean(lines)), "app-log", split_by=["log_type"])
+
+
+STREAMS = [
+    hot_items_top3_stream, url_traffic_top5_stream, login_burst_stream, login_strict_pair_stream,
+    order_timeout_stream, app_log_routed_stream,
+]
+
 BATCH = [
     actions_by_date, user_info, product_info, task_params, behavior_parse, behavior_bad_lines,
     access_log_parse, access_log_bad_lines, record_fields, text_functions, time_functions, ratio_values,
@@ -373,4 +439,4 @@ BATCH = [
 def queries() -> dict[str, Query]:
     named = {q.__name__: q for q in BATCH}
     named |= {f"app_log_event_{name}": _event_table(name) for name in schemas.EVENT_FIELDS}
-    return named
+    return named | {q.__name__: q for q in STREAMS}

@@ -296,5 +296,16 @@ def oracle_sql() -> dict[str, str]:
         "app_log_events": f"""{LOG} select ms as log_time, 'shop' as ap, cast(user_id as varchar) as mid,
             cast(user_id as varchar) as uid, position, event_time, event_name, {KV} as kv from nam""",
     }
+    # Streams report what the watermark, the newest event less the allowed delay, has passed.
+    views = "(select max(ms) from ev where event_type = 'view')"
+    gets = "(select max(ms) - 10000 from ev where event_type in ('view', 'click'))"
+    sql["hot_items_top3_stream"] = f"{ITEMS} select * from rnk where window_end <= {views}"
+    sql["url_traffic_top5_stream"] = f"{URLS} select * from rnk where window_end <= {gets}"
+    sql["login_burst_stream"] = f"""{BURST.replace("anchor having", "anchor having anchor < "
+        + f"(select max(ms) * 1000 from ev where event_type = 'error') - {PATTERN_LIMIT} and")}"""
+    sql["login_strict_pair_stream"] = f"{PAIR} and us < (select max(us // 1000) * 1000 from log)"
+    sql["order_timeout_stream"] = f"""select o.* from ({ORDERS}) o, (select max(epoch_us(ts) // 1000) * 1000 as mark
+        from events where event_type in ('click', 'purchase')) where coalesce(pay_us + 1, us + {PATTERN_LIMIT}) <= mark"""
+    sql["app_log_routed_stream"] = sql["app_log_typed"]
     sql |= {f"app_log_event_{name}": _event_table(name) for name in schemas.EVENT_FIELDS}
     return sql

@@ -5,8 +5,6 @@ Every mapping takes a DataFrame of events, so it serves batch and streams alike.
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom import schemas
@@ -48,8 +46,10 @@ def typed_events(raw: DataFrame) -> DataFrame:
 
 
 def _mapped(col: str, mapping: dict[str, str]) -> Column:
-    pairs = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
-    return F.try_element_at(pairs, F.col(col))
+    cases = F
+    for theirs, ours in mapping.items():
+        cases = cases.when(F.col(col) == theirs, ours)
+    return cases
 
 
 def _only(kind: str, value: Column) -> Column:

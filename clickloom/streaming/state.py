@@ -1,0 +1,88 @@
+"""Pattern operators on streams: keyed state per key and block of time.
+
+Rows of a key are cut into blocks as in the batch form, so a key that holds a third
+of a stream has its backlog spread over tasks. Each (key, block) buffers its rows
+until the watermark has passed them, then walks them in event-time order. What it
+still needs stays in state, the rest is dropped, and an event-time timeout wakes it
+for the next thing that can happen. Rows behind the watermark are late and ignored.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+STATE = "us array<bigint>, seq array<bigint>, label array<string>, mark array<boolean>, done bigint"
+
+
+class Rows:
+    """Buffered rows of one key and block, by time and sequence."""
+
+    def __init__(self, us, seq, label, mark):
+        order = np.lexsort((seq, us))
+        self.us, self.seq = us[order], seq[order]
+        self.label, self.mark = label[order], mark[order]
+
+    def keep(self, which: np.ndarray) -> tuple:
+        return (
+            self.us[which].tolist(),
+            self.seq[which].tolist(),
+            self.label[which].tolist(),
+            self.mark[which].tolist(),
+        )
+
+
+# (key, block, rows, done, now) -> (result columns, rows to keep, next wake-up).
+# `done` is the watermark of the previous call, `now` the current one.
+Step = Callable[[object, int, Rows, int, int], tuple[dict, np.ndarray, int]]
+
+
+def walk_blocks(blocks: DataFrame, key: str, step: Step, schema: str) -> DataFrame:
+    """Run `step` on every (key, block) as the watermark moves.
+
+    `blocks` has the key, `block`, `us`, `seq`, `label` (text), `mark` (boolean) and
+    a watermarked `ts`.
+    """
+    names = [field.split()[0] for field in schema.split(",")]
+
+    def update(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = state.getCurrentWatermarkMs() * 1000
+        us, seq, label, mark, done = state.get if state.exists else ([], [], [], [], 0)
+        parts = [(np.array(us, np.int64), np.array(seq, np.int64), np.array(label, object), np.array(mark, bool))]
+        if not state.hasTimedOut:
+            for frame in frames:
+                frame = frame[frame["us"].to_numpy() >= now]
+                parts.append(
+                    (
+                        frame["us"].to_numpy(np.int64),
+                        frame["seq"].to_numpy(np.int64),
+                        frame["label"].to_numpy(object),
+                        frame["mark"].to_numpy(bool),
+                    )
+                )
+        rows = Rows(*(np.concatenate(column) for column in zip(*parts)))
+        found, kept, wake = step(group[0], group[1], rows, done, now)
+        if kept.any():
+            state.update((*rows.keep(kept), now))
+            state.setTimeoutTimestamp(max(wake // 1000, now // 1000) + 1)
+        elif state.exists:
+            state.remove()
+        if len(found["us"]):
+            yield pd.DataFrame({key: group[0], **found})[names]
+
+    return blocks.groupBy(key, "block").applyInPandasWithState(
+        update, schema, STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
+
+
+def event_rows(events: DataFrame, key: str, delay: str, label, mark) -> DataFrame:
+    """The columns that `walk_blocks` needs, under a watermark on `ts`."""
+    return (
+        events.where(F.col(key).isNotNull() & F.col("ts").isNotNull())
+        .withWatermark("ts", delay)
+        .select(key, "ts", F.unix_micros("ts").alias("us"), "seq", label.alias("label"), mark.alias("mark"))
+    )
