@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom import schemas
+from clickloom.functions.once import once
 from clickloom.functions.times import from_epoch_millis
 
 # Thirteen digits, then the part up to the next `|`, in braces once whitespace and
@@ -39,7 +40,7 @@ def parse(lines: DataFrame) -> DataFrame:
     stamp = F.substring_index("value", "|", 1)
     body = F.get(F.split("value", "\\|", 3), F.lit(1))
     return lines.select(
-        from_epoch_millis(stamp).alias("log_time"), F.from_json(body, schemas.APP_LOG).alias("log")
+        from_epoch_millis(stamp).alias("log_time"), once(F.from_json(body, schemas.APP_LOG)).alias("log")
     ).select("log_time", F.col("log.ap").alias("ap"), "log.cm.*", F.col("log.et").alias("et"))
 
 
@@ -59,9 +60,9 @@ def events(logs: DataFrame) -> DataFrame:
 
 def event_table(events: DataFrame, name: str) -> DataFrame:
     """The events of one name, their fields as typed columns."""
-    fields = F.from_json("kv", schemas.EVENT_FIELDS[name])
+    fields = once(F.from_json("kv", schemas.EVENT_FIELDS[name])).alias("fields")
     return (
         events.where(F.col("event_name") == name)
-        .withColumn("kv", fields)
-        .select("log_time", "uid", "position", "event_time", "kv.*")
+        .select("log_time", "uid", "position", "event_time", fields)
+        .select("log_time", "uid", "position", "event_time", "fields.*")
     )

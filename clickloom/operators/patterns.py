@@ -1,13 +1,14 @@
 """Event patterns per key: login bursts, back-to-back failures, order outcomes.
 
-Times are epoch microseconds in `us`; `seq` orders rows of the same time.
+Times are epoch microseconds in `us`; `seq` orders rows of the same time. Each
+pattern has a part that works on one (key, block) at a time; batch and streams share it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from clickloom.operators.blocks import LIMITS_PER_BLOCK, block_of, is_home, with_blocks
+from clickloom.operators.blocks import LIMITS_PER_BLOCK, is_home, with_blocks
 
 SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 
@@ -16,62 +17,55 @@ LOGIN_LIMIT = 2 * SECOND
 ORDER_LIMIT = 15 * 60 * SECOND
 
 
-def login_bursts(logins: DataFrame, limit: int = LOGIN_LIMIT) -> DataFrame:
-    """Groups of more than one failure of a user; the first failure of each.
+def failures_by_instant(logins: DataFrame, *keys: str) -> DataFrame:
+    """Failures that share user and time as one row: how many, and the first of them."""
+    known = F.col("user_id").isNotNull() & F.col("us").isNotNull()
+    return (
+        logins.where((F.col("event_type") == "fail") & known)
+        .groupBy("user_id", "us", *keys)
+        .agg(F.count("*").alias("n"), F.min(F.struct("seq", "ip")).alias("head"))
+    )
 
-    A failure stays pending until `limit` after the earliest pending one, which is
-    the earliest within `limit` before it. Failures that share this anchor form a group.
 
-    The anchor of t is the first failure at or after t - limit. Each failure
-    therefore sends a probe to that time, and walking a block backwards the probe
-    meets its anchor as the last failure seen: linear, however dense a burst is.
-    Failures of the same instant are one row before that.
+def bursts_in_blocks(instants: DataFrame, width: int, limit: int) -> DataFrame:
+    """Bursts anchored in each block, from the failures in it and one limit around it.
+
+    The anchor of t is the first failure at or after t - limit. Each failure sends a
+    probe to that time; walking a block backwards, the probe meets its anchor as the
+    last failure seen. That is linear, however dense a burst is.
     """
-    instants = (
-        logins.where((F.col("event_type") == "fail") & F.col("user_id").isNotNull() & F.col("us").isNotNull())
-        .groupBy("user_id", "us")
-        .agg(F.count("*").alias("n"), F.min(F.struct("seq", "ip")).alias("head"))
-    )
-    width = limit * LIMITS_PER_BLOCK
-    marks = with_blocks(instants.withColumn("at", F.col("us")), "at", width, after=limit)
-    failures = marks.select("user_id", "block", "at", F.lit(0).alias("probe"), F.col("us").alias("seen"), "us", "n", "head")
-    probes = instants.withColumn("at", F.col("us") - limit).select(
-        "user_id",
-        block_of(F.col("at"), width).alias("block"),
-        "at",
-        F.lit(1).alias("probe"),
-        F.lit(None).cast("bigint").alias("seen"),
-        "us",
-        "n",
-        "head",
-    )
+    time = F.col("us")
+    failure = F.struct(time.alias("at"), F.lit(0).alias("probe"), time.alias("seen"))
+    probe = F.struct((time - limit).alias("at"), F.lit(1).alias("probe"), F.lit(None).cast("bigint").alias("seen"))
     backwards = Window.partitionBy("user_id", "block").orderBy(F.desc("at"), "probe").rowsBetween(*SO_FAR)
-    anchored = (
-        failures.unionByName(probes)
+    return (
+        instants.select("user_id", "block", "us", "n", "head", F.inline(F.array(failure, probe)))
         .withColumn("anchor", F.last("seen", ignorenulls=True).over(backwards))
         .where("probe = 1")
-    )
-    return (
-        anchored.groupBy("user_id", "anchor")
+        .groupBy("user_id", "block", "anchor")
         .agg(F.sum("n").alias("failures"), F.min(F.struct("us", "head")).alias("first"))
-        .where("failures > 1")
+        .where((F.col("failures") > 1) & is_home("anchor", width))
         .select("user_id", "first.head.ip", "first.us", "first.head.seq", "failures")
     )
 
 
-def login_pairs(logins: DataFrame, limit: int = LOGIN_LIMIT) -> DataFrame:
-    """A failure directly followed by a failure of the same user less than `limit` later.
+def login_bursts(logins: DataFrame, limit: int = LOGIN_LIMIT) -> DataFrame:
+    """Groups of more than one failure of a user; the first failure of each.
 
-    Any other event in between breaks the pair. A predecessor further back than
-    `limit` cannot matter, so each block gets just that much of the one before.
+    A failure stays pending until `limit` after the earliest pending one, which is
+    the earliest within `limit` before it. Failures that share this anchor form a
+    group. Failures of one instant are counted together before anything is copied.
     """
     width = limit * LIMITS_PER_BLOCK
-    keyed = logins.where(F.col("user_id").isNotNull() & F.col("us").isNotNull())
-    rows = with_blocks(keyed.select("user_id", "us", "seq", "ip", "event_type"), "us", width, before=limit)
+    rows = with_blocks(failures_by_instant(logins), "us", width, before=limit, after=limit)
+    return bursts_in_blocks(rows, width, limit)
+
+
+def pairs_in_blocks(rows: DataFrame, width: int, limit: int) -> DataFrame:
+    """Pairs whose second failure is in the block, from its rows and those one limit before."""
     in_order = Window.partitionBy("user_id", "block").orderBy("us", "seq")
-    previous = F.lag(F.struct("us", "ip", "event_type")).over(in_order)
     return (
-        rows.withColumn("previous", previous)
+        rows.withColumn("previous", F.lag(F.struct("us", "ip", "event_type")).over(in_order))
         .where(is_home("us", width))
         .where((F.col("event_type") == "fail") & (F.col("previous.event_type") == "fail"))
         .where(F.col("us") - F.col("previous.us") < limit)
@@ -79,26 +73,30 @@ def login_pairs(logins: DataFrame, limit: int = LOGIN_LIMIT) -> DataFrame:
     )
 
 
-def order_outcomes(orders: DataFrame, limit: int = ORDER_LIMIT) -> DataFrame:
-    """Per create: `success` with the time of the first later pay if that is less than
-    `limit` away, else `timeout`. One pay settles every create that is open.
+def login_pairs(logins: DataFrame, limit: int = LOGIN_LIMIT) -> DataFrame:
+    """A failure directly followed by a failure of the same user less than `limit` later.
 
-    Walking a block backwards, the last pay seen is the next pay in time, so no
-    create is ever paired with all pays. A pay near the start of a block is copied
-    to the block before it.
+    Any other event in between breaks the pair. A predecessor further back than
+    `limit` cannot matter, so each block gets just that much of the one before.
     """
     width = limit * LIMITS_PER_BLOCK
-    is_pay = F.col("event_type") == "pay"
-    keyed = orders.where(
-        F.col("event_type").isin("create", "pay") & F.col("order_id").isNotNull() & F.col("us").isNotNull()
-    )
-    rows = with_blocks(keyed.select("order_id", "us", "seq", "event_type"), "us", width, after=limit, when=is_pay)
+    known = logins.where(F.col("user_id").isNotNull() & F.col("us").isNotNull())
+    rows = with_blocks(known.select("user_id", "us", "seq", "ip", "event_type"), "us", width, before=limit)
+    return pairs_in_blocks(rows, width, limit)
+
+
+def outcomes_in_blocks(rows: DataFrame, width: int, limit: int) -> DataFrame:
+    """Outcome of every create in the block, from its rows and the pays one limit after.
+
+    Walking backwards, the last pay seen is the next pay in time, so no create is
+    ever paired with all pays.
+    """
     backwards = Window.partitionBy("order_id", "block").orderBy(F.desc("us"), F.desc("seq")).rowsBetween(*SO_FAR)
-    next_pay = F.last(F.when(is_pay, F.col("us")), ignorenulls=True).over(backwards)
+    pay = F.when(F.col("event_type") == "pay", F.col("us"))
     in_time = F.col("next_pay") - F.col("us") < limit
     return (
-        rows.withColumn("next_pay", next_pay)
-        .where("event_type = 'create'")
+        rows.withColumn("next_pay", F.last(pay, ignorenulls=True).over(backwards))
+        .where((F.col("event_type") == "create") & is_home("us", width))
         .select(
             "order_id",
             "us",
@@ -107,3 +105,15 @@ def order_outcomes(orders: DataFrame, limit: int = ORDER_LIMIT) -> DataFrame:
             F.when(in_time, F.col("next_pay")).alias("pay_us"),
         )
     )
+
+
+def order_outcomes(orders: DataFrame, limit: int = ORDER_LIMIT) -> DataFrame:
+    """Per create: `success` with the time of the first later pay if that is less than
+    `limit` away, else `timeout`. One pay settles every create that is open."""
+    width = limit * LIMITS_PER_BLOCK
+    known = orders.where(
+        F.col("event_type").isin("create", "pay") & F.col("order_id").isNotNull() & F.col("us").isNotNull()
+    )
+    is_pay = F.col("event_type") == "pay"
+    rows = with_blocks(known.select("order_id", "us", "seq", "event_type"), "us", width, after=limit, when=is_pay)
+    return outcomes_in_blocks(rows, width, limit)

@@ -6,12 +6,14 @@ All run over whole tables. Filters appear only where filtering is the operator.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom import schemas
 from clickloom.functions import numbers, text, times
+from clickloom.functions.once import once
 from clickloom.operators import applog, categories, patterns, sampling, sessions, traffic
 from clickloom.session import shared_dir
 from clickloom.sources import lines, retail, tables
@@ -116,7 +118,9 @@ def text_functions(spark, sf_dir):
     e = _events(spark, sf_dir)
     keyword = F.when(F.col("event_type") == "view", F.col("k").cast("string")).when(F.col("event_type") == "click", "")
     listed = F.concat(F.lit(",,"), F.col("k"), F.lit(",7,,x,"), F.col("event_id"), F.lit(",,"))
-    return e.select(
+    listed_once = e.select("*", once(listed).alias("listed"))
+    listed = F.col("listed")
+    return listed_once.select(
         "event_id",
         text.is_empty(keyword).alias("empty"),
         text.is_not_empty(keyword).alias("not_empty"),
@@ -372,13 +376,10 @@ def _folder(spark, name):
     return f"{shared_dir(spark)}/clickloom/{name}-{uuid4().hex}"
 
 
-def _ranked_stream(spark, counts, key, n, name):
+def _batched_stream(spark, stream, result_of, schema, name):
     folder = _folder(spark, name)
-    run.into_batches(
-        counts, folder, stream_traffic.ranked_into(f"{folder}/data", key, n), available_now=True
-    ).awaitTermination()
-    return spark.read.schema(f"window_end bigint, {counts.select(key).schema.simpleString()[7:-1].replace(':', ' ')}, "
-                             "count bigint, rank int").parquet(f"{folder}/data").drop("batch_id")
+    run.into_batches(stream, folder, result_of, available_now=True).awaitTermination()
+    return spark.read.schema(schema).parquet(f"{folder}/data").drop("batch_id")
 
 
 def _filed_stream(spark, stream, name, split_by=None):
@@ -389,27 +390,37 @@ def _filed_stream(spark, stream, name, split_by=None):
 
 def hot_items_top3_stream(spark, sf_dir):
     counts = stream_traffic.hot_items(retail.behaviors(_event_stream(spark, sf_dir)))
-    return _ranked_stream(spark, counts, "item_id", traffic.ITEM_TOP, "hot-items")
+    ranked = partial(traffic.rank_windows, key="item_id", n=traffic.ITEM_TOP)
+    schema = "window_end bigint, item_id bigint, count bigint, rank int"
+    return _batched_stream(spark, counts, ranked, schema, "hot-items")
 
 
 def url_traffic_top5_stream(spark, sf_dir):
     counts = stream_traffic.url_traffic(retail.requests(_event_stream(spark, sf_dir)))
-    return _ranked_stream(spark, counts, "url", traffic.URL_TOP, "url-traffic")
+    ranked = partial(traffic.rank_windows, key="url", n=traffic.URL_TOP)
+    schema = "window_end bigint, url string, count bigint, rank int"
+    return _batched_stream(spark, counts, ranked, schema, "url-traffic")
 
 
 def login_burst_stream(spark, sf_dir):
-    found = stream_logins.login_bursts(retail.logins(_event_stream(spark, sf_dir)), PATTERN_LIMIT)
-    return _filed_stream(spark, found, "login-burst")
+    blocks = stream_logins.burst_blocks(retail.logins(_event_stream(spark, sf_dir)), PATTERN_LIMIT)
+    bursts = partial(stream_logins.bursts_of, limit=PATTERN_LIMIT)
+    schema = "user_id bigint, ip string, us bigint, seq bigint, failures bigint"
+    return _batched_stream(spark, blocks, bursts, schema, "login-burst")
 
 
 def login_strict_pair_stream(spark, sf_dir):
-    found = stream_logins.login_pairs(retail.logins(_event_stream(spark, sf_dir)), PATTERN_LIMIT)
-    return _filed_stream(spark, found, "login-pair")
+    blocks = stream_logins.pair_blocks(retail.logins(_event_stream(spark, sf_dir)), PATTERN_LIMIT)
+    pairs = partial(stream_logins.pairs_of, limit=PATTERN_LIMIT)
+    schema = "user_id bigint, first_ip string, second_ip string, us bigint, seq bigint"
+    return _batched_stream(spark, blocks, pairs, schema, "login-pair")
 
 
 def order_timeout_stream(spark, sf_dir):
-    found = stream_orders.order_outcomes(retail.orders(_event_stream(spark, sf_dir)), PATTERN_LIMIT)
-    return _filed_stream(spark, found, "order-timeout", split_by=["status"])
+    blocks = stream_orders.order_blocks(retail.orders(_event_stream(spark, sf_dir)), PATTERN_LIMIT)
+    outcomes = partial(stream_orders.outcomes_of, limit=PATTERN_LIMIT)
+    schema = "order_id bigint, us bigint, seq bigint, status string, pay_us bigint"
+    return _batched_stream(spark, blocks, outcomes, schema, "order-outcome")
 
 
 def app_log_routed_stream(spark, sf_dir):

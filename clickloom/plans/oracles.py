@@ -146,6 +146,12 @@ def _report(base: str, key: str, labels, rulers) -> str:
       || chr(10) || '{rulers[1]}' || chr(10) || chr(10) as report from rnk group by window_end"""
 
 
+def _closed(us: str, blocks_per_limit: int, blocks: int) -> str:
+    """When the block that a time is in closes: so many blocks after it starts."""
+    width = PATTERN_LIMIT // blocks_per_limit
+    return f"({us} // {width} + {blocks}) * {width}"
+
+
 IP = "'10.0.' || (user_id % 256) || '.' || (event_id % 256)"
 METHOD = "case when event_type in ('view', 'click') then 'GET' else 'POST' end"
 BEHAVIOR = "case event_type " + " ".join(f"when '{a}' then '{b}'" for a, b in retail.BEHAVIOR_OF.items()) + " end"
@@ -301,11 +307,12 @@ def oracle_sql() -> dict[str, str]:
     gets = "(select max(ms) - 10000 from ev where event_type in ('view', 'click'))"
     sql["hot_items_top3_stream"] = f"{ITEMS} select * from rnk where window_end <= {views}"
     sql["url_traffic_top5_stream"] = f"{URLS} select * from rnk where window_end <= {gets}"
-    sql["login_burst_stream"] = f"""{BURST.replace("anchor having", "anchor having anchor < "
-        + f"(select max(ms) * 1000 from ev where event_type = 'error') - {PATTERN_LIMIT} and")}"""
-    sql["login_strict_pair_stream"] = f"{PAIR} and us < (select max(us // 1000) * 1000 from log)"
+    sql["login_burst_stream"] = f"""{BURST.replace("anchor having", f"anchor having {_closed('anchor', 1, 2)}"
+        + " <= (select max(us // 1000) * 1000 from log where kind = 'fail') and")}"""
+    sql["login_strict_pair_stream"] = f"""{PAIR} and {_closed("us", 1, 1)}
+        <= (select max(us // 1000) * 1000 from log)"""
     sql["order_timeout_stream"] = f"""select o.* from ({ORDERS}) o, (select max(epoch_us(ts) // 1000) * 1000 as mark
-        from events where event_type in ('click', 'purchase')) where coalesce(pay_us + 1, us + {PATTERN_LIMIT}) <= mark"""
+        from events where event_type in ('click', 'purchase')) where {_closed("us", 3, 4)} <= mark"""
     sql["app_log_routed_stream"] = sql["app_log_typed"]
     sql |= {f"app_log_event_{name}": _event_table(name) for name in schemas.EVENT_FIELDS}
     return sql

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.functions import times
+from clickloom.functions.once import once
 from clickloom.functions.predicates import all_of
 
 
 def _behavior_fields(lines: DataFrame) -> DataFrame:
-    part = F.split("value", ",")
-    return lines.select(
+    part = F.col("part")
+    return lines.select("value", once(F.split("value", ",")).alias("part")).select(
         "value",
         F.get(part, F.lit(0)).try_cast("bigint").alias("user_id"),
         F.get(part, F.lit(1)).try_cast("bigint").alias("item_id"),
@@ -51,8 +52,8 @@ def bad_requests(lines: DataFrame) -> DataFrame:
 
 
 def _request_fields(lines: DataFrame) -> DataFrame:
-    part = F.split("value", " ")
-    return lines.select(
+    part = F.col("part")
+    return lines.select("value", once(F.split("value", " ")).alias("part")).select(
         "value",
         F.get(part, F.lit(0)).alias("ip"),
         F.get(part, F.lit(1)).alias("user_id"),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom import schemas
 from clickloom.functions import times
+from clickloom.functions.once import once
 
 # Types of the events table, for readers that cannot look at a file first.
 EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -256,4 +257,4 @@ def event_fields(name: str) -> list[tuple[str, str]]:
 
 
 def log_lines(events: DataFrame) -> DataFrame:
-    return events.select("ts", F.expr(log_line_sql("unix_millis(ts)", "k")).alias("value"))
+    return events.select("ts", once(F.expr(log_line_sql("unix_millis(ts)", "k"))).alias("value"))

@@ -1,70 +1,40 @@
-"""Login patterns on a stream of user_id, ip, event_type, ts, seq."""
+"""Login patterns on a stream of user_id, ip, event_type, ts, seq.
+
+Each pattern is two steps: a stream that hands on closed blocks, and what to do
+with a batch of them. The second step is the batch operator's.
+"""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.operators.blocks import with_blocks
+from clickloom.operators import patterns
 from clickloom.operators.patterns import LOGIN_LIMIT
-from clickloom.streaming.state import Rows, event_rows, walk_blocks
-
-# Shorter blocks than in batch: a stream only has to spread its backlog.
-LIMITS_PER_BLOCK = 4
-
-BURST_SCHEMA = "user_id bigint, ip string, us bigint, seq bigint, failures bigint"
-PAIR_SCHEMA = "user_id bigint, first_ip string, second_ip string, us bigint, seq bigint"
+from clickloom.streaming.blocks import closed_blocks, opened
 
+# Much shorter blocks than in batch: a stream has to answer soon.
+LIMITS_PER_BLOCK = 1
 
-def login_bursts(logins: DataFrame, limit: int = LOGIN_LIMIT, delay: str = "0 seconds") -> DataFrame:
-    """Streaming form of patterns.login_bursts.
 
-    A group closes `limit` after its anchor, the earliest failure within `limit`
-    before each member. A block reports the groups anchored in it; for that it needs
-    the failures within one `limit` around it, and state reaches two limits back.
-    """
-    width = limit * LIMITS_PER_BLOCK
+def burst_blocks(logins: DataFrame, limit: int = LOGIN_LIMIT, delay: str = "0 seconds") -> DataFrame:
+    """Failures by user and block; a block closes two limits after its start."""
+    failures = logins.where("event_type = 'fail'")
+    return closed_blocks(
+        failures, "user_id", ["seq", "ip"], limit * LIMITS_PER_BLOCK, delay, before=limit, after=limit
+    )
 
-    def step(user: int, block: int, rows: Rows, done: int, now: int) -> tuple[dict, np.ndarray, int]:
-        us = rows.us
-        anchor = us[np.searchsorted(us, us - limit)] if len(us) else us
-        first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]]) if len(us) else np.array([], int)
-        size = np.diff(np.r_[first, len(us)])
-        start = anchor[first]
-        report = (start >= done - limit) & (start < now - limit) & (size > 1)
-        report &= (start >= block) & (start < block + width)
-        head = first[report]
-        found = {"ip": rows.label[head], "us": us[head], "seq": rows.seq[head], "failures": size[report]}
-        kept = us >= now - 2 * limit
-        open_us = us[us >= now - limit]
-        wake = open_us[0] + limit if len(open_us) else now + limit
-        return found, kept, int(wake)
 
-    failures = logins.where("event_type = 'fail'")
-    rows = event_rows(failures, "user_id", delay, F.col("ip"), F.lit(True))
-    blocks = with_blocks(rows, "us", width, before=limit, after=limit)
-    return walk_blocks(blocks, "user_id", step, BURST_SCHEMA)
+def bursts_of(blocks: DataFrame, limit: int = LOGIN_LIMIT) -> DataFrame:
+    rows = opened(blocks, "user_id").withColumn("event_type", F.lit("fail"))
+    return patterns.bursts_in_blocks(patterns.failures_by_instant(rows, "block"), limit * LIMITS_PER_BLOCK, limit)
 
 
-def login_pairs(logins: DataFrame, limit: int = LOGIN_LIMIT, delay: str = "0 seconds") -> DataFrame:
-    """Streaming form of patterns.login_pairs: every event counts, only failures pair."""
-    width = limit * LIMITS_PER_BLOCK
+def pair_blocks(logins: DataFrame, limit: int = LOGIN_LIMIT, delay: str = "0 seconds") -> DataFrame:
+    """All login events by user and block; a block closes at its end."""
+    return closed_blocks(
+        logins, "user_id", ["seq", "ip", "event_type"], limit * LIMITS_PER_BLOCK, delay, before=limit
+    )
 
-    def step(user: int, block: int, rows: Rows, done: int, now: int) -> tuple[dict, np.ndarray, int]:
-        us, mark = rows.us, rows.mark
-        second = np.arange(1, len(us))
-        pair = mark[second] & mark[second - 1] & (us[second] - us[second - 1] < limit)
-        pair &= (us[second] >= done) & (us[second] < now)
-        pair &= (us[second] >= block) & (us[second] < block + width)
-        at = second[pair]
-        found = {"first_ip": rows.label[at - 1], "second_ip": rows.label[at], "us": us[at], "seq": rows.seq[at]}
-        kept = us >= now
-        passed = int(np.searchsorted(us, now))
-        if passed and us[passed - 1] > now - limit:
-            kept[passed - 1] = True
-        wake = us[passed] if passed < len(us) else now + limit
-        return found, kept, int(wake)
 
-    rows = event_rows(logins, "user_id", delay, F.col("ip"), F.col("event_type") == "fail")
-    blocks = with_blocks(rows, "us", width, before=limit)
-    return walk_blocks(blocks, "user_id", step, PAIR_SCHEMA)
+def pairs_of(blocks: DataFrame, limit: int = LOGIN_LIMIT) -> DataFrame:
+    return patterns.pairs_in_blocks(opened(blocks, "user_id"), limit * LIMITS_PER_BLOCK, limit)

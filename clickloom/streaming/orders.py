@@ -1,53 +1,34 @@
-"""Order outcomes on a stream of order_id, event_type, ts, seq."""
+"""Order outcomes on a stream of order_id, event_type, ts, seq.
+
+A join of creates with pays would hand out every pay of an order for every create.
+Blocks look up the next pay only, and give each create exactly one outcome.
+"""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.operators.blocks import with_blocks
+from clickloom.operators import patterns
 from clickloom.operators.patterns import ORDER_LIMIT
-from clickloom.streaming.logins import LIMITS_PER_BLOCK
-from clickloom.streaming.state import Rows, event_rows, walk_blocks
-
-SCHEMA = "order_id bigint, us bigint, seq bigint, status string, pay_us bigint"
-
-
-def order_outcomes(orders: DataFrame, limit: int = ORDER_LIMIT, delay: str = "0 seconds") -> DataFrame:
-    """Streaming form of patterns.order_outcomes.
-
-    A success comes out once the watermark has passed the pay, a timeout once it has
-    reached the deadline. State holds the open creates and the rows still ahead of
-    the watermark. A join of creates with pays would emit every pay of an order for
-    every create; this looks up the next pay only.
-    """
-    width = limit * LIMITS_PER_BLOCK
-
-    def step(order: int, block: int, rows: Rows, done: int, now: int) -> tuple[dict, np.ndarray, int]:
-        us, is_pay = rows.us, rows.mark
-        creates = np.flatnonzero(~is_pay)
-        pays = np.flatnonzero(is_pay & (us < now))
-        nearest = np.searchsorted(pays, creates)
-        has_pay = nearest < len(pays)
-        paid_at = np.full(len(creates), -1, np.int64)
-        paid_at[has_pay] = us[pays[nearest[has_pay]]]
-        success = has_pay & (paid_at - us[creates] < limit)
-        settled = success | (us[creates] + limit <= now)
-        at = creates[settled]
-        found = {
-            "us": us[at],
-            "seq": rows.seq[at],
-            "status": np.where(success[settled], "success", "timeout"),
-            "pay_us": [int(p) if s else None for p, s in zip(paid_at[settled], success[settled])],
-        }
-        kept = us >= now
-        kept[creates] = ~settled
-        ahead, due = us[kept & is_pay], us[kept & ~is_pay] + limit
-        wake = min([*ahead[:1], *due[:1], now + limit])
-        return found, kept, int(wake)
+from clickloom.streaming.blocks import closed_blocks, opened
+
+# Three blocks a limit: an outcome is known at most a third of the limit after its deadline.
+BLOCKS_PER_LIMIT = 3
+
 
+def order_blocks(orders: DataFrame, limit: int = ORDER_LIMIT, delay: str = "0 seconds") -> DataFrame:
+    """Creates by order and block, with the pays up to a limit after the block."""
     known = orders.where(F.col("event_type").isin("create", "pay"))
-    is_pay = F.col("event_type") == "pay"
-    rows = event_rows(known, "order_id", delay, F.lit(""), is_pay)
-    blocks = with_blocks(rows, "us", width, after=limit, when=F.col("mark"))
-    return walk_blocks(blocks, "order_id", step, SCHEMA)
+    return closed_blocks(
+        known,
+        "order_id",
+        ["seq", "event_type"],
+        limit // BLOCKS_PER_LIMIT,
+        delay,
+        after=limit,
+        when=F.col("event_type") == "pay",
+    )
+
+
+def outcomes_of(blocks: DataFrame, limit: int = ORDER_LIMIT) -> DataFrame:
+    return patterns.outcomes_in_blocks(opened(blocks, "order_id"), limit // BLOCKS_PER_LIMIT, limit)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, functions as F
 
 from clickloom.operators import traffic
@@ -36,17 +34,3 @@ def url_traffic(requests: DataFrame) -> DataFrame:
     """GET requests per url over a minute, every five seconds; rows may be ten seconds late."""
     fetched = requests.where("method = 'GET'")
     return sliding_counts(fetched, "url", traffic.URL_WINDOW, traffic.URL_SLIDE, "10 seconds")
-
-
-def ranked_into(path: str, key: str, n: int) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: rank the windows that closed in a batch and write them.
-
-    All rows of a window close in the same batch, so a batch ranking is the whole
-    ranking. Each batch has its own folder and overwrites it when it is run again.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        ranked = traffic.rank_windows(batch, key, n)
-        ranked.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return write
