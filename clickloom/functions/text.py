@@ -29,9 +29,15 @@ def tokens(col: Column, pattern: str = ",") -> Column:
     return F.split(F.regexp_replace(col, f"({pattern})+\\z", ""), pattern)
 
 
+def as_id(token: Column) -> Column:
+    """Text to bigint, null if it is no number. A try_cast that fails is slow, so text
+    that cannot pass is not tried."""
+    return F.when(token.rlike(r"^[+-]?[0-9]+\z"), token.try_cast("bigint"))
+
+
 def id_list(col: Column) -> Column:
     """Comma list of ids as array<bigint>; null, empty and non-numeric tokens are left out."""
-    ids = F.transform(F.split(col, ","), lambda t: t.try_cast("bigint"))
+    ids = F.transform(F.split(col, ","), as_id)
     return F.coalesce(F.filter(ids, lambda i: i.isNotNull()), F.array().cast("array<bigint>"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from clickloom.functions.text import as_id
 from clickloom.operators.ranking import bounded, top_n
 
 KINDS = ("click", "order", "pay")
@@ -24,7 +25,7 @@ def touches(actions: DataFrame) -> DataFrame:
     return (
         actions.select("session_id", F.inline(kinds))
         .select("session_id", "kind", F.explode("ids").alias("id"))
-        .select("session_id", "kind", F.col("id").try_cast("bigint").alias("category_id"))
+        .select("session_id", "kind", as_id(F.col("id")).alias("category_id"))
         .where(F.col("category_id").isNotNull())
     )
 

@@ -11,6 +11,8 @@ JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Call sites of every column in error messages; costs more than planning itself.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

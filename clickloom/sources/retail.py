@@ -11,8 +11,15 @@ from clickloom import schemas
 from clickloom.functions import times
 from clickloom.functions.once import once
 
-# Types of the events table, for readers that cannot look at a file first.
+# The tables as stored. Stating them saves a look into a file for every read, and
+# streams need it anyway.
 EVENTS_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+TABLES = {
+    "events": EVENTS_DDL,
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
 
 BEHAVIOR_OF = {"view": "pv", "click": "cart", "purchase": "buy", "signup": "fav", "error": "err"}
 LOGIN_OF = {"error": "fail", "signup": "success"}
@@ -22,7 +29,7 @@ EVENT_NAMES = list(schemas.EVENT_FIELDS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
