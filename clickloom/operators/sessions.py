@@ -132,11 +132,11 @@ def length_stats(sessions: DataFrame, task_id: int) -> DataFrame:
     )
 
 
-def details(actions: DataFrame, task_id: int, source: str) -> DataFrame:
+def details(actions: DataFrame, task_id: int, source: str | Column) -> DataFrame:
     """Actions as rows of the session detail table. `source` tells which report asked."""
     return actions.select(
         F.lit(task_id).cast("bigint").alias("task_id"),
-        F.lit(source).alias("source"),
+        (F.lit(source) if isinstance(source, str) else source).alias("source"),
         "user_id",
         "session_id",
         "page_id",

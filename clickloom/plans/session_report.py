@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, functions as F
 
 from clickloom.operators import categories, sampling, sessions
+from clickloom.operators.ranking import bounded
 from clickloom.session import shared_dir
 from clickloom.sinks.tables import Sink
 from clickloom.sources.tables import actions_between
@@ -37,7 +38,9 @@ def session_report(
     """The result tables by name.
 
     The raw actions are read three times: for the sessions, for the counts per
-    session and category, and for the details. Everything else works on those.
+    session and category, and for the details of sampled and top sessions, which the
+    few ids of both pick out in one pass. A session that is both has its actions in
+    the details under either source.
     """
     chosen_actions = actions_between(actions, params.start_date, params.end_date)
     chosen = staged(
@@ -57,17 +60,17 @@ def session_report(
         "top_sessions",
     )
     sample = sampling.sample_sessions(chosen, sample_total, seed)
-    sampled_actions = staged(
-        sampling.sample_actions(chosen_actions, sample, sample_total), folder, "sampled_actions"
+    shown = sample.select("session_id", F.lit("sample").alias("source")).unionByName(
+        ranked_sessions.select("session_id", F.lit("top").alias("source")).distinct()
+    )
+    shown_actions = staged(
+        chosen_actions.join(bounded(shown, sample_total + top * top), "session_id"), folder, "shown_actions"
     )
-    top_actions = categories.top_session_actions(chosen_actions, ranked_sessions, top * top)
     task = F.lit(task_id).cast("bigint").alias("task_id")
     return {
         "session_aggr_stat": sessions.length_stats(chosen, task_id),
-        "session_random_extract": sampling.sample_report(sampled_actions, task_id),
-        "session_detail": sessions.details(sampled_actions, task_id, "sample").unionByName(
-            sessions.details(top_actions, task_id, "top")
-        ),
+        "session_random_extract": sampling.sample_report(shown_actions.where("source = 'sample'"), task_id),
+        "session_detail": sessions.details(shown_actions, task_id, F.col("source")),
         "top10_category": ranked_categories.select(task, "*"),
         "top10_session": ranked_sessions.select(task, "*"),
     }
