@@ -1,0 +1,82 @@
+from pyspark.sql import functions as F
+
+from clickloom.plans import catalog, session_report
+from clickloom.sinks import kafka, tables
+from clickloom.sinks.tables import RESULT_COLUMNS
+from clickloom.sources import retail
+
+
+def collected(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def report_inputs(spark, sf_dir):
+    actions = retail.actions(catalog._events(spark, sf_dir))
+    return actions, retail.users(spark, sf_dir)
+
+
+def tasks(spark):
+    return spark.createDataFrame([(1, "{}"), (2, '{"sex": ["male"]}')], "task_id bigint, task_param string")
+
+
+def test_the_job_writes_what_the_queries_give(spark, sf_dir, tmp_path):
+    actions, users = report_inputs(spark, sf_dir)
+    sink = tables.files(str(tmp_path))
+    assert session_report.run(tasks(spark), 1, actions, users, sink, sample_total=3000)
+    got = {t: spark.read.parquet(f"{tmp_path}/{t}") for t in RESULT_COLUMNS}
+    for table, query in {
+        "session_aggr_stat": catalog.session_aggr_stat,
+        "session_random_extract": catalog.session_random_extract,
+        "top10_category": catalog.top10_category,
+    }.items():
+        expected = query(spark, sf_dir)
+        assert collected(got[table].select(*expected.columns)) == collected(expected), table
+    ranked = catalog.top10_session(spark, sf_dir).drop("rank")
+    assert collected(got["top10_session"].select(*ranked.columns)) == collected(ranked)
+    detail = got["session_detail"]
+    for query in (catalog.session_sample_detail, catalog.top10_session_detail):
+        expected = query(spark, sf_dir)
+        source = expected.first().source
+        assert collected(detail.where(F.col("source") == source).select(*expected.columns)) == collected(expected)
+
+
+def test_a_rerun_replaces_its_own_task(spark, sf_dir, tmp_path):
+    actions, users = report_inputs(spark, sf_dir)
+    sink = tables.files(str(tmp_path))
+    for task_id in (1, 2, 1):
+        session_report.run(tasks(spark), task_id, actions, users, sink)
+    stats = spark.read.parquet(f"{tmp_path}/session_aggr_stat")
+    counts = dict(stats.select("task_id", "session_count").collect())
+    assert stats.count() == 2
+    assert counts[2] < counts[1]
+
+
+def test_no_such_task(spark, sf_dir):
+    actions, users = report_inputs(spark, sf_dir)
+    assert not session_report.run(tasks(spark), 3, actions, users, sink=None)
+
+
+def test_jdbc_settings(monkeypatch, spark):
+    """No database here: only what would be handed to the writer is looked at."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    seen = {}
+    monkeypatch.setattr(DataFrameWriter, "options", lambda self, **o: seen.update(o) or self)
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: seen.update(saved=True))
+    df = spark.createDataFrame([(1, 2, 3, 4, 5)], "task_id int, category_id int, click_count int, order_count int, pay_count int")
+    tables.jdbc("jdbc:db://host/x", batch_size=5, user="u")("top10_category", df)
+    assert seen == {
+        "url": "jdbc:db://host/x", "dbtable": "top10_category", "batchsize": "5", "numPartitions": "16",
+        "user": "u", "saved": True,
+    }
+
+
+def test_kafka_settings_and_routing(spark):
+    assert kafka.source_options("h:9092", "hotitems", "g") == {
+        "kafka.bootstrap.servers": "h:9092", "subscribe": "hotitems", "startingOffsets": "latest",
+        "kafka.group.id": "g",
+    }
+    df = spark.createDataFrame([("a start",), ("b",)], "value string")
+    routed = kafka.messages(df, F.when(F.col("value").contains("start"), "start").otherwise("event"))
+    assert [(r.value, r.topic) for r in routed.collect()] == [("a start", "start"), ("b", "event")]
+    assert [r.topic for r in kafka.messages(df, "all").collect()] == ["all", "all"]
