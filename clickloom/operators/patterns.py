@@ -17,12 +17,12 @@ LOGIN_LIMIT = 2 * SECOND
 ORDER_LIMIT = 15 * 60 * SECOND
 
 
-def failures_by_instant(logins: DataFrame, *keys: str) -> DataFrame:
+def failures_by_instant(logins: DataFrame) -> DataFrame:
     """Failures that share user and time as one row: how many, and the first of them."""
     known = F.col("user_id").isNotNull() & F.col("us").isNotNull()
     return (
         logins.where((F.col("event_type") == "fail") & known)
-        .groupBy("user_id", "us", *keys)
+        .groupBy("user_id", "us")
         .agg(F.count("*").alias("n"), F.min(F.struct("seq", "ip")).alias("head"))
     )
 

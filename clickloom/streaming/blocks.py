@@ -9,12 +9,17 @@ from clickloom.operators.blocks import block_of
 MICROS = "{} microseconds"
 
 
+def watermarked(events: DataFrame, key: str, delay: str | None) -> DataFrame:
+    known = events.where(F.col(key).isNotNull())
+    return known if delay is None else known.withWatermark("ts", delay)
+
+
 def closed_blocks(
     events: DataFrame,
     key: str,
     fields: list[str],
     width: int,
-    delay: str,
+    delay: str | None,
     before: int = 0,
     after: int = 0,
     when: Column | None = None,
@@ -24,14 +29,14 @@ def closed_blocks(
     A sliding window that is longer than its slide gives each row to its own block
     and to the blocks it is near to. Rows for which `when` is false stay with their
     own block. The array holds one key for before + width + after microseconds and
-    no more; the window leaves the state when the watermark passes its end.
+    no more; the window leaves the state when the watermark passes its end. With
+    `delay` None the events have a watermark already.
     """
     length, offset = before + width + after, -before % width
     window = F.window("ts", MICROS.format(length), MICROS.format(width), MICROS.format(offset))
     block = F.unix_micros("window.start") + before
     rows = (
-        events.where(F.col(key).isNotNull())
-        .withWatermark("ts", delay)
+        watermarked(events, key, delay)
         .withColumn("us", F.unix_micros("ts"))
         .select(window.alias("window"), key, "us", *fields)
     )
