@@ -1,119 +1,165 @@
 """Event patterns per key: login bursts, back-to-back failures, order outcomes.
 
 Times are epoch microseconds in `us`; `seq` orders rows of the same time. Each
-pattern has a part that works on one (key, block) at a time; batch and streams share it.
+pattern comes down to the nearest value before or after a row. Batch looks for it
+in the whole key, streams in a block of time; what follows is the same.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from clickloom.operators.blocks import LIMITS_PER_BLOCK, is_home, with_blocks
-
-SO_FAR = (Window.unboundedPreceding, Window.currentRow)
+from clickloom.operators.nearest import ENOUGH_ROWS, in_piece, nearest
 
 SECOND = 1_000_000
 LOGIN_LIMIT = 2 * SECOND
 ORDER_LIMIT = 15 * 60 * SECOND
 
 
+def known_rows(events: DataFrame, key: str) -> DataFrame:
+    """Rows without key or time are in no pattern."""
+    return events.where(F.col(key).isNotNull() & F.col("us").isNotNull())
+
+
+# Login bursts
+
+
 def failures_by_instant(logins: DataFrame) -> DataFrame:
     """Failures that share user and time as one row: how many, and the first of them."""
-    known = F.col("user_id").isNotNull() & F.col("us").isNotNull()
     return (
-        logins.where((F.col("event_type") == "fail") & known)
+        known_rows(logins, "user_id")
+        .where(F.col("event_type") == "fail")
         .groupBy("user_id", "us")
         .agg(F.count("*").alias("n"), F.min(F.struct("seq", "ip")).alias("head"))
     )
 
 
-def bursts_in_blocks(instants: DataFrame, width: int, limit: int) -> DataFrame:
-    """Bursts anchored in each block, from the failures in it and one limit around it.
+def burst_marks(instants: DataFrame, limit: int) -> DataFrame:
+    """Each failure twice: as itself at its time, and as a probe sent back by `limit`.
 
-    The anchor of t is the first failure at or after t - limit. Each failure sends a
-    probe to that time; walking a block backwards, the probe meets its anchor as the
-    last failure seen. That is linear, however dense a burst is.
+    The anchor of a failure is the first failure at or after its probe. Walking
+    backwards that is the last failure seen, so finding it is linear however dense
+    a burst is.
     """
     time = F.col("us")
     failure = F.struct(time.alias("at"), F.lit(0).alias("probe"), time.alias("seen"))
     probe = F.struct((time - limit).alias("at"), F.lit(1).alias("probe"), F.lit(None).cast("bigint").alias("seen"))
-    backwards = Window.partitionBy("user_id", "block").orderBy(F.desc("at"), "probe").rowsBetween(*SO_FAR)
+    return instants.select(*instants.columns, F.inline(F.array(failure, probe)))
+
+
+def _mark_order() -> list[Column]:
+    return [F.desc("at"), F.col("probe")]
+
+
+def bursts_from(marks: DataFrame, *keys: str) -> DataFrame:
+    """Groups of failures with the same anchor, if more than one. `near` holds the anchor."""
     return (
-        instants.select("user_id", "block", "us", "n", "head", F.inline(F.array(failure, probe)))
-        .withColumn("anchor", F.last("seen", ignorenulls=True).over(backwards))
-        .where("probe = 1")
-        .groupBy("user_id", "block", "anchor")
+        marks.where("probe = 1")
+        .groupBy("user_id", *keys, F.col("near").alias("anchor"))
         .agg(F.sum("n").alias("failures"), F.min(F.struct("us", "head")).alias("first"))
-        .where((F.col("failures") > 1) & is_home("anchor", width))
-        .select("user_id", "first.head.ip", "first.us", "first.head.seq", "failures")
+        .where(F.col("failures") > 1)
+        .select("user_id", *keys, "anchor", "first.head.ip", "first.us", "first.head.seq", "failures")
     )
 
 
-def login_bursts(logins: DataFrame, limit: int = LOGIN_LIMIT) -> DataFrame:
+def bursts_in_blocks(instants: DataFrame, limit: int) -> DataFrame:
+    """Bursts per `block`, with their anchor."""
+    marks = in_piece(burst_marks(instants, limit), "user_id", "block", _mark_order(), F.col("seen"))
+    return bursts_from(marks, "block")
+
+
+def login_bursts(logins: DataFrame, limit: int = LOGIN_LIMIT, enough_rows: int = ENOUGH_ROWS) -> DataFrame:
     """Groups of more than one failure of a user; the first failure of each.
 
     A failure stays pending until `limit` after the earliest pending one, which is
-    the earliest within `limit` before it. Failures that share this anchor form a
-    group. Failures of one instant are counted together before anything is copied.
+    the earliest within `limit` before it. Failures that share this anchor form a group.
     """
-    width = limit * LIMITS_PER_BLOCK
-    rows = with_blocks(failures_by_instant(logins), "us", width, before=limit, after=limit)
-    return bursts_in_blocks(rows, width, limit)
+    marks = nearest(
+        burst_marks(failures_by_instant(logins), limit),
+        "user_id",
+        "at",
+        _mark_order(),
+        value=F.col("seen"),
+        end_of_piece=F.min("seen"),
+        backwards=True,
+        enough_rows=enough_rows,
+    )
+    return bursts_from(marks).drop("anchor")
+
+
+# Back-to-back failures
 
 
-def pairs_in_blocks(rows: DataFrame, width: int, limit: int) -> DataFrame:
-    """Pairs whose second failure is in the block, from its rows and those one limit before."""
-    in_order = Window.partitionBy("user_id", "block").orderBy("us", "seq")
+def _event() -> Column:
+    return F.struct("us", "seq", "ip", "event_type")
+
+
+def pairs_from(rows: DataFrame, limit: int) -> DataFrame:
+    """Failures whose previous event, in `near`, is a failure less than `limit` before."""
     return (
-        rows.withColumn("previous", F.lag(F.struct("us", "ip", "event_type")).over(in_order))
-        .where(is_home("us", width))
-        .where((F.col("event_type") == "fail") & (F.col("previous.event_type") == "fail"))
-        .where(F.col("us") - F.col("previous.us") < limit)
-        .select("user_id", F.col("previous.ip").alias("first_ip"), F.col("ip").alias("second_ip"), "us", "seq")
+        rows.where((F.col("event_type") == "fail") & (F.col("near.event_type") == "fail"))
+        .where(F.col("us") - F.col("near.us") < limit)
+        .select("user_id", F.col("near.ip").alias("first_ip"), F.col("ip").alias("second_ip"), "us", "seq")
     )
 
 
-def login_pairs(logins: DataFrame, limit: int = LOGIN_LIMIT) -> DataFrame:
+def previous_in_blocks(rows: DataFrame) -> DataFrame:
+    return in_piece(rows, "user_id", "block", [F.col("us"), F.col("seq")], _event())
+
+
+def login_pairs(logins: DataFrame, limit: int = LOGIN_LIMIT, enough_rows: int = ENOUGH_ROWS) -> DataFrame:
     """A failure directly followed by a failure of the same user less than `limit` later.
+    Any other event in between breaks the pair."""
+    rows = nearest(
+        known_rows(logins, "user_id").select("user_id", "us", "seq", "ip", "event_type"),
+        "user_id",
+        "us",
+        [F.col("us"), F.col("seq")],
+        value=_event(),
+        end_of_piece=F.max(_event()),
+        enough_rows=enough_rows,
+    )
+    return pairs_from(rows, limit)
 
-    Any other event in between breaks the pair. A predecessor further back than
-    `limit` cannot matter, so each block gets just that much of the one before.
-    """
-    width = limit * LIMITS_PER_BLOCK
-    known = logins.where(F.col("user_id").isNotNull() & F.col("us").isNotNull())
-    rows = with_blocks(known.select("user_id", "us", "seq", "ip", "event_type"), "us", width, before=limit)
-    return pairs_in_blocks(rows, width, limit)
 
+# Order outcomes
 
-def outcomes_in_blocks(rows: DataFrame, width: int, limit: int) -> DataFrame:
-    """Outcome of every create in the block, from its rows and the pays one limit after.
 
-    Walking backwards, the last pay seen is the next pay in time, so no create is
-    ever paired with all pays.
-    """
-    backwards = Window.partitionBy("order_id", "block").orderBy(F.desc("us"), F.desc("seq")).rowsBetween(*SO_FAR)
-    pay = F.when(F.col("event_type") == "pay", F.col("us"))
-    in_time = F.col("next_pay") - F.col("us") < limit
-    return (
-        rows.withColumn("next_pay", F.last(pay, ignorenulls=True).over(backwards))
-        .where((F.col("event_type") == "create") & is_home("us", width))
-        .select(
-            "order_id",
-            "us",
-            "seq",
-            F.when(in_time, F.lit("success")).otherwise(F.lit("timeout")).alias("status"),
-            F.when(in_time, F.col("next_pay")).alias("pay_us"),
-        )
+def _pay_time() -> Column:
+    return F.when(F.col("event_type") == "pay", F.col("us"))
+
+
+def outcomes_from(rows: DataFrame, limit: int) -> DataFrame:
+    """Status of every create from the time of its next pay, in `near`."""
+    in_time = F.col("near") - F.col("us") < limit
+    return rows.where(F.col("event_type") == "create").select(
+        "order_id",
+        "us",
+        "seq",
+        F.when(in_time, F.lit("success")).otherwise(F.lit("timeout")).alias("status"),
+        F.when(in_time, F.col("near")).alias("pay_us"),
     )
 
 
-def order_outcomes(orders: DataFrame, limit: int = ORDER_LIMIT) -> DataFrame:
+def next_pay_in_blocks(rows: DataFrame) -> DataFrame:
+    return in_piece(rows, "order_id", "block", [F.desc("us"), F.desc("seq")], _pay_time())
+
+
+def order_outcomes(orders: DataFrame, limit: int = ORDER_LIMIT, enough_rows: int = ENOUGH_ROWS) -> DataFrame:
     """Per create: `success` with the time of the first later pay if that is less than
-    `limit` away, else `timeout`. One pay settles every create that is open."""
-    width = limit * LIMITS_PER_BLOCK
-    known = orders.where(
-        F.col("event_type").isin("create", "pay") & F.col("order_id").isNotNull() & F.col("us").isNotNull()
+    `limit` away, else `timeout`. One pay settles every create that is open.
+
+    Only the next pay is looked up; no create is ever paired with all pays.
+    """
+    known = known_rows(orders, "order_id").where(F.col("event_type").isin("create", "pay"))
+    rows = nearest(
+        known.select("order_id", "us", "seq", "event_type"),
+        "order_id",
+        "us",
+        [F.desc("us"), F.desc("seq")],
+        value=_pay_time(),
+        end_of_piece=F.min(_pay_time()),
+        backwards=True,
+        enough_rows=enough_rows,
     )
-    is_pay = F.col("event_type") == "pay"
-    rows = with_blocks(known.select("order_id", "us", "seq", "event_type"), "us", width, after=limit, when=is_pay)
-    return outcomes_in_blocks(rows, width, limit)
+    return outcomes_from(rows, limit)

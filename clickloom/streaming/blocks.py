@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickloom.operators.blocks import block_of
-
 MICROS = "{} microseconds"
 
 
+def is_home(us: str | Column, block: str | Column, width: int) -> Column:
+    """True for a time inside the block, false for what was copied from its neighbours."""
+    us, block = (F.col(c) if isinstance(c, str) else c for c in (us, block))
+    return (us >= block) & (us < block + width)
+
+
 def watermarked(events: DataFrame, key: str, delay: str | None) -> DataFrame:
     known = events.where(F.col(key).isNotNull())
     return known if delay is None else known.withWatermark("ts", delay)
@@ -41,7 +45,7 @@ def closed_blocks(
         .select(window.alias("window"), key, "us", *fields)
     )
     if when is not None:
-        rows = rows.where(when | (block_of(F.col("us"), width) == block))
+        rows = rows.where(when | is_home("us", block, width))
     return (
         rows.groupBy("window", key)
         .agg(F.collect_list(F.struct("us", *fields)).alias("rows"))

@@ -1,7 +1,8 @@
 """Login patterns on a stream of user_id, ip, event_type, ts, seq.
 
 Each pattern is two steps: a stream that hands on closed blocks, and what to do
-with a batch of them. The second step is the batch operator's.
+with a batch of them. The second step looks a block over the way the batch operator
+looks a key over.
 """
 
 from __future__ import annotations
@@ -10,9 +11,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickloom.operators import patterns
 from clickloom.operators.patterns import LOGIN_LIMIT
-from clickloom.streaming.blocks import closed_blocks, opened, watermarked
+from clickloom.streaming.blocks import closed_blocks, is_home, opened, watermarked
 
-# Much shorter blocks than in batch: a stream has to answer soon.
+# Short blocks: a stream has to answer soon.
 LIMITS_PER_BLOCK = 1
 
 
@@ -33,7 +34,9 @@ def burst_blocks(logins: DataFrame, limit: int = LOGIN_LIMIT, delay: str = "0 se
 
 
 def bursts_of(blocks: DataFrame, limit: int = LOGIN_LIMIT) -> DataFrame:
-    return patterns.bursts_in_blocks(opened(blocks, "user_id"), limit * LIMITS_PER_BLOCK, limit)
+    """Bursts anchored in the blocks. The copies around a block only complete them."""
+    found = patterns.bursts_in_blocks(opened(blocks, "user_id"), limit)
+    return found.where(is_home("anchor", "block", limit * LIMITS_PER_BLOCK)).drop("anchor", "block")
 
 
 def pair_blocks(logins: DataFrame, limit: int = LOGIN_LIMIT, delay: str = "0 seconds") -> DataFrame:
@@ -44,4 +47,6 @@ def pair_blocks(logins: DataFrame, limit: int = LOGIN_LIMIT, delay: str = "0 sec
 
 
 def pairs_of(blocks: DataFrame, limit: int = LOGIN_LIMIT) -> DataFrame:
-    return patterns.pairs_in_blocks(opened(blocks, "user_id"), limit * LIMITS_PER_BLOCK, limit)
+    """Pairs whose second failure is in the blocks."""
+    rows = patterns.previous_in_blocks(opened(blocks, "user_id"))
+    return patterns.pairs_from(rows.where(is_home("us", "block", limit * LIMITS_PER_BLOCK)), limit)

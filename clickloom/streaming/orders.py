@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickloom.operators import patterns
 from clickloom.operators.patterns import ORDER_LIMIT
-from clickloom.streaming.blocks import closed_blocks, opened
+from clickloom.streaming.blocks import closed_blocks, is_home, opened
 
 # Three blocks a limit: an outcome is known at most a third of the limit after its deadline.
 BLOCKS_PER_LIMIT = 3
@@ -31,4 +31,6 @@ def order_blocks(orders: DataFrame, limit: int = ORDER_LIMIT, delay: str = "0 se
 
 
 def outcomes_of(blocks: DataFrame, limit: int = ORDER_LIMIT) -> DataFrame:
-    return patterns.outcomes_in_blocks(opened(blocks, "order_id"), limit // BLOCKS_PER_LIMIT, limit)
+    """One outcome for every create in the blocks."""
+    rows = patterns.next_pay_in_blocks(opened(blocks, "order_id"))
+    return patterns.outcomes_from(rows.where(is_home("us", "block", limit // BLOCKS_PER_LIMIT)), limit)

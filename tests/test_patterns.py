@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import patterns
-from clickloom.operators.blocks import is_home, with_blocks
+from clickloom.operators.nearest import HOT_KEYS, hot_keys
 
 LOGINS = "user_id bigint, ip string, event_type string, us bigint, seq bigint"
 ORDERS = "order_id bigint, event_type string, us bigint, seq bigint"
@@ -100,29 +100,35 @@ def random_logins(seed, span, n=400, users=4):
     ]
 
 
-CASES = [(seed, limit, span) for seed in range(3) for limit, span in ((10, 1500), (7, 300), (50, 4000))]
+# With enough_rows 0 every key is hot here and cut into pieces.
+CASES = [
+    (seed, limit, span, enough_rows)
+    for seed in range(2)
+    for limit, span in ((10, 1500), (7, 300), (50, 4000))
+    for enough_rows in (0, 10**6)
+]
 
 
-@pytest.mark.parametrize(("seed", "limit", "span"), CASES)
-def test_bursts_like_timers(spark, seed, limit, span):
+@pytest.mark.parametrize(("seed", "limit", "span", "enough_rows"), CASES)
+def test_bursts_like_timers(spark, seed, limit, span, enough_rows):
     rows = random_logins(seed, span)
     expected = simulate_bursts(rows, limit)
     assert len(expected) > 3
-    assert rows_of(patterns.login_bursts(spark.createDataFrame(rows, LOGINS), limit)) == expected
+    assert rows_of(patterns.login_bursts(spark.createDataFrame(rows, LOGINS), limit, enough_rows)) == expected
 
 
-@pytest.mark.parametrize(("seed", "limit", "span"), CASES)
-def test_pairs_like_a_walk(spark, seed, limit, span):
+@pytest.mark.parametrize(("seed", "limit", "span", "enough_rows"), CASES)
+def test_pairs_like_a_walk(spark, seed, limit, span, enough_rows):
     rows = random_logins(seed, span)
     expected = simulate_pairs(rows, limit)
     assert len(expected) > 3
-    assert rows_of(patterns.login_pairs(spark.createDataFrame(rows, LOGINS), limit)) == expected
+    assert rows_of(patterns.login_pairs(spark.createDataFrame(rows, LOGINS), limit, enough_rows)) == expected
 
 
-@pytest.mark.parametrize(("seed", "limit", "span"), CASES)
-def test_orders_like_a_walk(spark, seed, limit, span):
+@pytest.mark.parametrize(("seed", "limit", "span", "enough_rows"), CASES)
+def test_orders_like_a_walk(spark, seed, limit, span, enough_rows):
     rows = [(u, "create" if k == "fail" else "pay", us, seq) for u, _, k, us, seq in random_logins(seed, span)]
-    got = patterns.order_outcomes(spark.createDataFrame(rows, ORDERS), limit).collect()
+    got = patterns.order_outcomes(spark.createDataFrame(rows, ORDERS), limit, enough_rows).collect()
     assert sorted((tuple(r) for r in got), key=str) == simulate_orders(rows, limit)
 
 
@@ -137,17 +143,30 @@ def test_a_pay_without_create_says_nothing(spark):
     assert patterns.order_outcomes(orders, 10).count() == 0
 
 
-def test_blocks_copy_the_margins_only(spark):
-    df = spark.createDataFrame([(t,) for t in range(-20, 40)], "us bigint")
-    blocks = with_blocks(df, "us", 20, before=3, after=2)
-    assert blocks.where(is_home("us", 20)).count() == 60
-    (one,) = [sorted(r.us for r in blocks.where("block = 0").collect())]
-    assert one == list(range(-3, 22))
-
-
-def test_a_hot_user_is_spread(spark):
-    rows = [(0, "ip", "fail", t * S, t) for t in range(5000)]
-    assert patterns.login_pairs(spark.createDataFrame(rows, LOGINS)).count() == 4999
-    spread = with_blocks(spark.createDataFrame(rows, LOGINS), "us", 32 * S, before=2 * S, after=2 * S)
-    most = spread.groupBy("user_id", "block").count().agg(F.max("count")).first()[0]
-    assert most == 36
+def test_hot_keys_are_few_and_cut_fine(spark):
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("user_id"), F.col("id").alias("us")
+    )
+    (hot,) = hot_keys(rows, "user_id", "us", enough_rows=0).collect()
+    assert (hot.user_id, hot.since) == (0, 0)
+    # a third of all rows: 334 shares of a thousandth, 16 pieces each
+    assert hot.width == -(-29_998 // (16 * 334))
+    assert hot_keys(rows, "user_id", "us").count() == 0
+    every = spark.range(HOT_KEYS).select(F.col("id").alias("user_id"), F.col("id").alias("us"))
+    assert hot_keys(every, "user_id", "us", enough_rows=0).count() == 0
+
+
+@pytest.mark.parametrize("shape", ["spread", "one instant"])
+def test_a_hot_user_like_any_other(spark, shape):
+    """Half of all rows belongs to one user; cut into pieces or not, the result is the same."""
+    span = 3000 if shape == "spread" else 1
+    rng = Random(9)
+    rows = [(0, f"ip{i}", rng.choice("fs"), rng.randrange(span), i) for i in range(1000)]
+    rows += [(i, f"ip{i}", "f", rng.randrange(3000), i) for i in range(1, 1001)]
+    rows = [(u, ip, {"f": "fail", "s": "success"}[k], us, seq) for u, ip, k, us, seq in rows]
+    logins = spark.createDataFrame(rows, LOGINS)
+    assert rows_of(patterns.login_bursts(logins, 20, enough_rows=0)) == simulate_bursts(rows, 20)
+    assert rows_of(patterns.login_pairs(logins, 20, enough_rows=0)) == simulate_pairs(rows, 20)
+    events = [(u, "create" if k == "fail" else "pay", us, seq) for u, _, k, us, seq in rows]
+    got = patterns.order_outcomes(spark.createDataFrame(events, ORDERS), 20, enough_rows=0).collect()
+    assert sorted((tuple(r) for r in got), key=str) == simulate_orders(events, 20)

@@ -53,11 +53,12 @@ def test_top_sessions_share_the_pair_counts(spark, sf_dir):
     assert re.search(r"ReusedExchange \[session_id#\d+, category_id", executed(catalog.top10_session(spark, sf_dir)))
 
 
-def test_bursts_read_and_shuffle_once(spark, sf_dir):
-    plan = planned(catalog.login_burst(spark, sf_dir))
-    assert plan.count("FileScan") == 1
-    # by instant, then by block; the groups of a block need no third shuffle
-    assert plan.count("Exchange hashpartitioning") == 2
+def test_patterns_cut_hot_keys_by_broadcast(spark, sf_dir):
+    """The hot keys and the ends of their pieces are small: rows are shuffled once, by key and piece."""
+    plan = planned(catalog.order_timeout(spark, sf_dir))
+    assert plan.count("BroadcastHashJoin") >= 2
+    assert re.search(r"Exchange hashpartitioning\(order_id#\d+L, piece#\d+L", plan)
+    assert "SortMergeJoin" not in plan
 
 
 def test_broadcast_only_below_the_bound(spark, with_conf):
