@@ -369,7 +369,8 @@ def _event_table(name: str) -> Query:
 
 def _event_stream(spark, sf_dir):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return retail.typed_events(run.table_rows(spark, sf_dir, retail.EVENTS_DDL, glob="events.parquet"))
+    # A pattern, because the table may be one file or a folder of files.
+    return retail.typed_events(run.table_rows(spark, f"{sf_dir}/events*.parquet", retail.EVENTS_DDL))
 
 
 def _folder(spark, name):

@@ -16,14 +16,9 @@ def text_lines(spark: SparkSession, path: str, glob: str | None = None, files_pe
     return reader.text(path)
 
 
-def table_rows(
-    spark: SparkSession, path: str, schema: str, glob: str | None = None, files_per_batch: int = 1000
-) -> DataFrame:
-    """New parquet files of a folder as a stream of rows."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.parquet(path)
+def table_rows(spark: SparkSession, path: str, schema: str, files_per_batch: int = 1000) -> DataFrame:
+    """New parquet files of a folder, or of all that a path pattern finds, as a stream of rows."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def _until_done(writer, available_now: bool):
