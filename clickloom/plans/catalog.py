@@ -377,9 +377,9 @@ def _folder(spark, name):
     return f"{shared_dir(spark)}/clickloom/{name}-{uuid4().hex}"
 
 
-def _batched_stream(spark, stream, result_of, schema, name):
+def _batched_stream(spark, stream, result_of, schema, name, split_by=None):
     folder = _folder(spark, name)
-    run.into_batches(stream, folder, result_of, available_now=True).awaitTermination()
+    run.into_batches(stream, folder, result_of, split_by, available_now=True).awaitTermination()
     return spark.read.schema(schema).parquet(f"{folder}/data").drop("batch_id")
 
 
@@ -421,7 +421,7 @@ def order_timeout_stream(spark, sf_dir):
     blocks = stream_orders.order_blocks(retail.orders(_event_stream(spark, sf_dir)), PATTERN_LIMIT)
     outcomes = partial(stream_orders.outcomes_of, limit=PATTERN_LIMIT)
     schema = "order_id bigint, us bigint, seq bigint, status string, pay_us bigint"
-    return _batched_stream(spark, blocks, outcomes, schema, "order-outcome")
+    return _batched_stream(spark, blocks, outcomes, schema, "order-outcome", split_by=["status"])
 
 
 def app_log_routed_stream(spark, sf_dir):

@@ -37,18 +37,23 @@ def into_files(
 
 
 def into_batches(
-    stream: DataFrame, folder: str, result_of: Callable[[DataFrame], DataFrame], available_now: bool = False
+    stream: DataFrame,
+    folder: str,
+    result_of: Callable[[DataFrame], DataFrame],
+    split_by: list[str] | None = None,
+    available_now: bool = False,
 ) -> StreamingQuery:
     """Append `result_of` every micro-batch to parquet: for what streams cannot do
     themselves, such as ranking windows that have closed.
 
     All rows of a window or block close in the same batch, so the result of the batch
     is the whole result. Each batch has its own folder, and overwrites it when it is
-    run again after a failure.
+    run again after a failure. `split_by` as in into_files.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        result_of(batch).write.mode("overwrite").parquet(f"{folder}/data/batch_id={batch_id}")
+        writer = result_of(batch).write.mode("overwrite").partitionBy(*split_by or [])
+        writer.parquet(f"{folder}/data/batch_id={batch_id}")
 
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", f"{folder}/checkpoint")
     return _until_done(writer.foreachBatch(write), available_now).start()
