@@ -85,3 +85,9 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
     """The column as a zoned timestamp, whatever of text or timestamp it is stored as."""
     kind = df.schema[name].dataType.typeName()
     return parse_time(F.col(name)) if kind == "string" else F.col(name).cast("timestamp")
+
+
+def as_text(df: DataFrame, name: str) -> Column:
+    """The column as time text; text stays as it is."""
+    kind = df.schema[name].dataType.typeName()
+    return F.col(name) if kind == "string" else time_text(F.col(name))

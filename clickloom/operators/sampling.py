@@ -41,7 +41,7 @@ def quotas(hours: DataFrame, total: int) -> DataFrame:
     # Asking for the count keeps this on the very same hourly counts as below.
     in_use = F.when(F.col("session_count") > 0, F.col("date"))
     days = hours.agg(F.count_distinct(in_use).alias("days")).scalar()
-    per_day = F.floor(F.lit(total) / days)
+    per_day = F.floor(F.lit(total) / F.nullif(days, F.lit(0)))
     in_day = F.sum("session_count").over(Window.partitionBy("date"))
     share = (F.col("session_count") / in_day * per_day).cast("bigint")
     return (

@@ -140,7 +140,7 @@ def details(actions: DataFrame, task_id: int, source: str | Column) -> DataFrame
         "user_id",
         "session_id",
         "page_id",
-        times.time_text(times.as_timestamp(actions, "action_time")).alias("action_time"),
+        times.as_text(actions, "action_time").alias("action_time"),
         "search_keyword",
         "click_category_id",
         "click_product_id",

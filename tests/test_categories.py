@@ -2,10 +2,10 @@ from collections import Counter, defaultdict
 from random import Random
 
 import pytest
+from pyspark.sql import functions as F
 from test_sessions import action, actions
 
 from clickloom.operators import categories, sampling, sessions
-from pyspark.sql import functions as F
 
 
 @pytest.fixture(scope="module")
@@ -108,3 +108,7 @@ def test_details_of_sample(spark, skewed):
     chosen = {r.session_id for r in sample.collect()}
     assert kept.count() == sum(r[2] in chosen for r in skewed)
     assert {r.session_id for r in sampling.sample_report(kept, 1).collect()} == chosen
+
+
+def test_nothing_to_sample(spark):
+    assert sampling.sample_sessions(sample_input(spark, {(1, 0): 1}).where("false")).count() == 0

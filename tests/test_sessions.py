@@ -110,3 +110,9 @@ def test_no_sessions_give_no_ratios(spark):
     (row,) = sessions.length_stats(sessions.rollup(actions(spark, [])), 1).collect()
     assert row.session_count == 0
     assert row.step_length_1_3_ratio is None
+
+
+def test_details_keep_the_time_as_written(spark):
+    df = sessions.details(actions(spark, [action(1, "a", "2024-01-01 5:03:07", page_id=4)]), 8, "top")
+    row = df.first()
+    assert (row.task_id, row.source, row.action_time, row.page_id) == (8, "top", "2024-01-01 5:03:07", 4)
