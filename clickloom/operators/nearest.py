@@ -27,7 +27,8 @@ def hot_keys(rows: DataFrame, key: str, us: str, enough_rows: int = ENOUGH_ROWS)
     share = F.greatest(F.lit(float(enough_rows)), total / HOT_KEYS)
     pieces = PIECES * F.ceil(F.col("n") / share)
     width = F.ceil((F.col("until") - F.col("since") + 1) / pieces)
-    return sizes.where((F.col("until") >= F.col("since")) & (F.col("n") > share)).select(key, "since", width.alias("width"))
+    hot = (F.col("until") >= F.col("since")) & (F.col("n") > share)
+    return sizes.where(hot).select(key, "since", width.alias("width"))
 
 
 def in_piece(rows: DataFrame, key: str, piece: str, order: list[Column], value: Column) -> DataFrame:

@@ -229,7 +229,8 @@ def oracle_sql() -> dict[str, str]:
         "behavior_bad_lines": f"""with {EVENTS} select user_id || ',x,' || (k % 10) || ',' || {BEHAVIOR} || ','
             || (us // 1000000) as value from ev where event_id % 97 = 0""",
         "access_log_parse": f"""with {EVENTS} select {IP} as ip, cast(user_id as varchar) as user_id,
-            us // 1000000 * 1000 as event_time, {METHOD} as method, '/p/' || k as url from ev where event_id % 89 <> 0""",
+            us // 1000000 * 1000 as event_time, {METHOD} as method, '/p/' || k as url
+            from ev where event_id % 89 <> 0""",
         "access_log_bad_lines": f"""with {EVENTS} select {IP} || ' ' || user_id || ' - - +0000 ' || {METHOD}
             || ' /p/' || k as value from ev where event_id % 89 = 0""",
         "record_fields": f"""with {EVENTS}, r as (select *, case when event_type = 'view' then 'kw' || k end as kw

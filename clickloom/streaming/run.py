@@ -69,7 +69,9 @@ def into_console(stream: DataFrame, folder: str, rows: int = 20, available_now:
 def late_rows(query: StreamingQuery) -> int:
     """Rows that the recent batches dropped because they came behind the watermark."""
     return sum(
-        operator["numRowsDroppedByWatermark"] for progress in query.recentProgress for operator in progress["stateOperators"]
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
     )
 
 

@@ -63,7 +63,8 @@ def test_jdbc_settings(monkeypatch, spark):
     seen = {}
     monkeypatch.setattr(DataFrameWriter, "options", lambda self, **o: seen.update(o) or self)
     monkeypatch.setattr(DataFrameWriter, "save", lambda self: seen.update(saved=True))
-    df = spark.createDataFrame([(1, 2, 3, 4, 5)], "task_id int, category_id int, click_count int, order_count int, pay_count int")
+    schema = "task_id int, category_id int, click_count int, order_count int, pay_count int"
+    df = spark.createDataFrame([(1, 2, 3, 4, 5)], schema)
     tables.jdbc("jdbc:db://host/x", batch_size=5, user="u")("top10_category", df)
     assert seen == {
         "url": "jdbc:db://host/x", "dbtable": "top10_category", "batchsize": "5", "numPartitions": "16",

@@ -116,7 +116,9 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     early, late = (1, "a", "f", BASE, 1), (1, "b", "f", BASE - 7200 * S, 2)
     for row in (early, far([early])[0], late):
         write_files(spark, [row], str(tmp_path / "in"), 1)
-    behaviors = stream_of(spark, str(tmp_path / "in")).select("ts", F.col("key").alias("item_id"), F.lit("pv").alias("behavior"))
+    behaviors = stream_of(spark, str(tmp_path / "in")).select(
+        "ts", F.col("key").alias("item_id"), F.lit("pv").alias("behavior")
+    )
     query = finish(run.into_files(stream_traffic.hot_items(behaviors), str(tmp_path / "out"), available_now=True))
     got = spark.read.parquet(str(tmp_path / "out" / "data"))
     assert got.where("item_id = 1").count() == 12

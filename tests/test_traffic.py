@@ -43,7 +43,8 @@ def test_sort_key_order(spark):
 
 def test_report(spark):
     ranked = spark.createDataFrame(
-        [(1511658300000, 7, 9, 1), (1511658300000, 5, 3, 2)], "window_end bigint, item_id bigint, count bigint, rank int"
+        [(1511658300000, 7, 9, 1), (1511658300000, 5, 3, 2)],
+        "window_end bigint, item_id bigint, count bigint, rank int",
     )
     (row,) = traffic.report(ranked, "item_id", traffic.ITEM_LABELS, traffic.ITEM_RULERS).collect()
     assert row.report.split("\n") == [
