@@ -176,7 +176,7 @@ ORDERS = f"""with {EVENTS}, ord as (select user_id as order_id, us, event_id as
     case when pay - us < {PATTERN_LIMIT} then pay end as pay_us from nxt where event_type = 'click'"""
 
 # The validity rule step by step, not as the one pattern the Spark side uses.
-LOG = f"""with {EVENTS}, raw as (select *, {retail.log_line_sql('ms', 'k')} as value from ev),
+LOG = f"""with {EVENTS}, raw as (select *, {retail.log_line_sql('ms', 'k', **retail.log_part_sql('ms', 'k'))} as value from ev),
     cut as (select *, string_split(value, '|') as p from raw),
     ok as (select * from cut where len(p) >= 2 and length(p[1]) = 13 and regexp_full_match(p[1], '[0-9]+')
       and starts_with(trim(p[2], chr(9) || ' '), '{{') and ends_with(trim(p[2], chr(9) || ' '), '}}')),

@@ -215,13 +215,10 @@ def orders(events: DataFrame) -> DataFrame:
     )
 
 
-def log_line_sql(ms: str, k: str) -> str:
-    """SQL text of an app log line over event_id and user_id. It holds nothing but
-    `||`, `%`, case and casts, so other SQL engines read it as well.
-
-    Of every seven lines, one has a short stamp, one a `|` inside its body, one an
-    open body, one a tail after a second `|`, and one a tab before the body. Even
-    event ids carry two events, odd ones one.
+def log_part_sql(ms: str, k: str) -> dict[str, str]:
+    """SQL texts of the parts of an app log line, over event_id and user_id. They hold
+    nothing but `||`, `%`, case and casts, so other SQL engines read them as well.
+    Even event ids carry two events, odd ones one.
     """
 
     def text(sql: str) -> str:
@@ -247,12 +244,25 @@ def log_line_sql(ms: str, k: str) -> str:
         f"""'"{f}":"' || {text("user_id") if f in ("uid", "mid") else f"'{f}' || {text(f'{k} % {i + 2}')}"} || '"'"""
         for i, f in enumerate(schemas.COMMON_FIELDS)
     )
-    second = f"case when event_id % 2 = 0 then ',' || {event(5, 1000)} else '' end"
+    return {
+        "common": common,
+        "first": event(0, 0),
+        "second": f"case when event_id % 2 = 0 then ',' || {event(5, 1000)} else '' end",
+    }
+
+
+def log_line_sql(ms: str, k: str, common: str, first: str, second: str) -> str:
+    """SQL text of an app log line out of its parts.
+
+    Of every seven lines, one has a short stamp, one a `|` inside its body, one an
+    open body, one a tail after a second `|`, and one a tab before the body.
+    """
+    ms_text = f"cast({ms} as varchar(64))"
     open_body = (
         f"""'{{"cm":{{' || {common} || '}},"ap":"sh' || case when event_id % 7 = 2 then '|' else '' end || """
-        f"""'op","et":[' || {event(0, 0)} || {second} || ']'"""
+        f"""'op","et":[' || {first} || {second} || ']'"""
     )
-    stamp = f"case when event_id % 7 = 1 then substr({text(ms)}, 1, 12) else {text(ms)} end"
+    stamp = f"case when event_id % 7 = 1 then substr({ms_text}, 1, 12) else {ms_text} end"
     tab = "case when event_id % 7 = 4 then '\t' else '' end"
     tail = "case event_id % 7 when 5 then '' when 3 then '}||' else '}' end"
     return f"{stamp} || '|' || {tab} || {open_body} || {tail}"
@@ -264,4 +274,10 @@ def event_fields(name: str) -> list[tuple[str, str]]:
 
 
 def log_lines(events: DataFrame) -> DataFrame:
-    return events.select("ts", once(F.expr(log_line_sql("unix_millis(ts)", "k"))).alias("value"))
+    """App log lines. Part by part, because one expression for all would be more code
+    than the JVM compiles."""
+    parts = log_part_sql("unix_millis(ts)", "k")
+    for name, sql in parts.items():
+        events = events.select("*", once(F.expr(sql)).alias(name))
+    line = log_line_sql("unix_millis(ts)", "k", **{name: name for name in parts})
+    return events.select("ts", once(F.expr(line)).alias("value"))
