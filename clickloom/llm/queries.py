@@ -11,13 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import simhash
+from clickloom.llm import langid, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn(
+        "held_out", langid.held_out("doc_id", 5, 0)
+    )
+    model = toxicity.fit(docs.where("not held_out"), _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=["doc_id", "held_out"])
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -25,9 +33,19 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn(
+        "held_out", langid.held_out("doc_id", 4, 2)
+    )
+    model = langid.fit(docs.where("not held_out"))
+    return langid.identify(docs, model, keep=["doc_id", "held_out"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_toxicity": op3_toxicity,
         "op6_simhash": op6_simhash,
+        "op10_langid": op10_langid,
     }
 
 
