@@ -11,13 +11,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import langid, simhash, toxicity
+from clickloom.llm import ann, bpe, langid, packing, simhash, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """The file of a public tokenizer, at the same place on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return topk.search(rows, rows.where("vec_id % 50 = 0"), 5)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn(
         "held_out", langid.held_out("doc_id", 5, 0)
@@ -26,6 +45,16 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, keep=["doc_id", "held_out"])
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), keep=["doc_id"])
+    return coded.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -33,6 +62,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return ann.search(rows, rows.where("vec_id % 100 = 0"), 10)
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn(
         "held_out", langid.held_out("doc_id", 4, 2)
@@ -41,13 +75,44 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, keep=["doc_id", "held_out"])
 
 
+OPERATORS = (op1_packing, op2_topk, op3_toxicity, op5_bpe, op6_simhash, op7_ann, op10_langid)
+
+SQL = {
+    "op2_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS c FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, v.vec_id,
+                   list_sum(list_transform(range(1, len(q.c) + 1), i -> q.c[i] * v.c[i]))::BIGINT AS score
+            FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.c) = len(v.c)
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+    "op7_ann": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS c FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, x -> x <> 0)) > 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, v.vec_id,
+                   sqrt(list_sum(list_transform(range(1, len(q.c) + 1), i -> (q.c[i] - v.c[i]) * (q.c[i] - v.c[i])))) AS score
+            FROM v q JOIN v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id AND len(q.c) = len(v.c)
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op3_toxicity": op3_toxicity,
-        "op6_simhash": op6_simhash,
-        "op10_langid": op10_langid,
-    }
+    return {operator.__name__: operator for operator in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
