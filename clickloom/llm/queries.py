@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import ann, bpe, langid, packing, simhash, topk, toxicity
+from clickloom.llm import ann, bpe, chat, langid, packing, simhash, topk, toxicity, urls, warc
+from clickloom.llm.store import folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +46,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, keep=["doc_id", "held_out"])
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = folder(spark, "warc")
+    warc.write(_table(spark, sf_dir, "pages"), place)
+    return warc.read(spark, place).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), keep=["doc_id"])
     return coded.select(
@@ -67,6 +74,46 @@ def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(rows, rows.where("vec_id % 100 = 0"), 10)
 
 
+URL_RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+#: A conversation whose texts look like markers.
+TRICKY = """
+    SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text
+    FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)
+"""
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["conv_id", "turn", "role", "text"]
+    rows = _table(spark, sf_dir, "conversations").select(*names).unionByName(spark.sql(TRICKY))
+    events = rows.select(
+        "conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"), F.lit(None).cast("long").alias("message"), "role", "text"
+    )
+    formatted = chat.render(chat.messages(events))
+    back = chat.read_back(formatted)
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    learned = F.array_join("learned", "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn(
         "held_out", langid.held_out("doc_id", 4, 2)
@@ -75,32 +122,76 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, keep=["doc_id", "held_out"])
 
 
-OPERATORS = (op1_packing, op2_topk, op3_toxicity, op5_bpe, op6_simhash, op7_ann, op10_langid)
+OPERATORS = (
+    op1_packing,
+    op2_topk,
+    op3_toxicity,
+    op4_warc,
+    op5_bpe,
+    op6_simhash,
+    op7_ann,
+    op8_url_filter,
+    op9_chat,
+    op10_langid,
+)
 
 SQL = {
     "op2_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS c FROM embeddings
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS c FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
             SELECT q.vec_id AS query_id, v.vec_id,
-                   list_sum(list_transform(range(1, len(q.c) + 1), i -> q.c[i] * v.c[i]))::BIGINT AS score
+                   list_sum(list_transform(range(1, len(q.c) + 1), lambda i: q.c[i] * v.c[i]))::BIGINT AS score
             FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.c) = len(v.c)
         ), ranked AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op4_warc": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+        ), told AS (
+            SELECT *, max(page_id) OVER (PARTITION BY hex) AS response FROM p
+        )
+        SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   (('0x' || substr(hex, (i // 4 * 5 + 1)::INTEGER, 5))::BIGINT >> (15 - i % 4 * 5)::INTEGER) % 32 + 1, 1)), '')
+                   AS payload_digest,
+               CASE WHEN page_id = response OR page_id IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> response THEN response END AS refers_to
+        FROM told
+    """,
+    "op9_chat": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), sized AS (
+            SELECT *,
+                length(regexp_replace(regexp_replace(text,
+                    '<(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|<SYS>>|</SYS>>)', '<\\\1\2', 'g'),
+                    '\[(\\*)(INST\]|/INST\])', '[\\\1\2', 'g')) AS escaped
+            FROM t
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(length('<|im_start|>') + length(role) + 1 + escaped + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+        FROM sized GROUP BY conv_id
+    """,
     "op7_ann": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS c FROM embeddings
+            SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS c FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-              AND len(list_filter(embedding, x -> x <> 0)) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
         ), scored AS (
             SELECT q.vec_id AS query_id, v.vec_id,
-                   sqrt(list_sum(list_transform(range(1, len(q.c) + 1), i -> (q.c[i] - v.c[i]) * (q.c[i] - v.c[i])))) AS score
+                   sqrt(list_sum(list_transform(range(1, len(q.c) + 1), lambda i: (q.c[i] - v.c[i]) * (q.c[i] - v.c[i])))) AS score
             FROM v q JOIN v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id AND len(q.c) = len(v.c)
         ), ranked AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM scored
