@@ -1,0 +1,78 @@
+"""BPE encoding and decoding against the tokenizers library."""
+
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings, strategies as st
+from llm.cases import LONG, documents, words
+from tokenizers import Tokenizer
+
+from clickloom.llm import bpe
+
+PATH = str(public_tokenizers.path("word_bpe_49k.json"))
+CODER, LIBRARY = bpe.Coder(PATH), Tokenizer.from_file(PATH)
+
+
+def both(text):
+    ids = LIBRARY.encode(text, add_special_tokens=False).ids
+    return ids, LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+def same(text):
+    ids, decoded = CODER.code(text)
+    assert (np.frombuffer(ids, "<u4").tolist(), decoded) == both(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.text(max_size=50), st.text("abcdeinorst' 1é", max_size=60), st.text("aab", min_size=1, max_size=80)))
+def test_as_the_library(text):
+    same(text.encode("utf-8", "replace").decode())
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["<|endoftext|>", "a<|startoftext|>b <|ENDOFTEXT|>", "ΑΣ Σ", "İstanbul", "é", "a" * 3000, "", " \n", "中文 \U0001f600", "ȺȾ Ɩ", "don't we'll", "K Å"],
+)
+def test_odd_texts(text):
+    same(text)
+
+
+def test_pairs_are_judged_as_merging_would():
+    vocabulary = CODER.vocabulary
+    draw = np.random.default_rng(5)
+    tokens = [t for t in vocabulary.ids if not t.endswith("</w>") and t.isascii() and t.isalpha()]
+    for a, b in zip(draw.choice(tokens, 300), draw.choice(tokens, 300)):
+        ids = vocabulary.encode(a + b + "!")
+        pair = [vocabulary.ids[a], vocabulary.ids[b]]
+        if ids[:2] == pair:
+            assert not vocabulary.crosses(*pair)
+
+
+ROWS = [(i, words(i, 80, "abcdefghiß'1")) for i in range(30)] + [(50, None), (51, ""), (52, LONG), (53, "x"), (53, "x"), (None, "no id")]
+
+
+def test_tables(spark):
+    found = bpe.encode(documents(spark, ROWS).withColumnRenamed("source", "ids"), PATH, keep=["doc_id", "text", "ids"])
+    assert found.columns == ["doc_id", "text", "ids", "decoded"]
+    rows = found.collect()
+    assert len(rows) == len(ROWS)
+    for r in rows:
+        ids, decoded = both(r.text or "")
+        assert np.frombuffer(bytes(r.ids), "<u4").tolist() == ids and r.decoded == decoded
+
+
+def test_empty_table(spark):
+    assert bpe.encode(documents(spark, []), PATH).count() == 0
+
+
+def test_query_digests(spark, tmp_path):
+    from clickloom.llm import queries
+
+    documents(spark, ROWS).write.parquet(f"{tmp_path}/documents.parquet")
+    texts = dict(ROWS)
+    for r in queries.op5_bpe(spark, str(tmp_path)).collect():
+        ids, decoded = both(texts[r.doc_id] or "")
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
