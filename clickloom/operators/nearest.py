@@ -1,68 +1,73 @@
 """For every row the nearest earlier (or later) value of its key, however large the key.
 
-A window over a key sorts all of its rows in one task. Keys that hold a good part
-of all rows are therefore cut into pieces of time first. Within a piece a window
-finds the nearest value; where there is none it is the last one of the pieces
-before, and those are few enough to be sent to every task.
+A window over a key sorts all of its rows in one task. So the rows are cut into pieces
+first: a sample, taken in the order of key and row, gives borders that leave about as
+many rows between any two of them. Only borders inside a key cut anything. Within a
+piece a window finds the nearest value; where there is none it is the last one of the
+pieces before, and those are few enough to be sent to every task. It makes no
+difference how the rows of a key lie in time: borders fall where the rows are.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A key is hot with more than this share of all rows, so fewer keys than this are hot.
-HOT_KEYS = 1_000
-# Pieces per hot share: a piece is a sixteenth of 0.1 % of all rows if rows are even
-# in time. Hot keys have 16 x (1,000 + 1,000) pieces at most, taken together.
-PIECES = 16
-# No key with fewer rows than this is worth cutting.
-ENOUGH_ROWS = 1_000_000
+# Rows of a piece, about: what one task sorts.
+PIECE_ROWS = 2_000_000
+# Rows sampled for each border. Pieces come out even to a few times 1 / sqrt of it.
+SAMPLED = 32
+# Borders at most, as they are sent to every task; with more rows pieces are larger.
+BORDERS = 100_000
 
 
-def hot_keys(rows: DataFrame, key: str, us: str, enough_rows: int = ENOUGH_ROWS) -> DataFrame:
-    """The hot keys, fewer than HOT_KEYS, with the start and width of their pieces."""
-    sizes = rows.groupBy(key).agg(F.count("*").alias("n"), F.min(us).alias("since"), F.max(us).alias("until"))
-    # The condition holds always; with it both uses of the sizes are the same plan and run once.
-    total = sizes.where(F.col("until") >= F.col("since")).agg(F.sum("n")).scalar()
-    share = F.greatest(F.lit(float(enough_rows)), total / HOT_KEYS)
-    pieces = PIECES * F.ceil(F.col("n") / share)
-    width = F.ceil((F.col("until") - F.col("since") + 1) / pieces)
-    hot = (F.col("until") >= F.col("since")) & (F.col("n") > share)
-    return sizes.where(hot).select(key, "since", width.alias("width"))
+def borders(rows: DataFrame, key: str, order: list[Column], piece_rows: int = PIECE_ROWS) -> DataFrame | None:
+    """(key, cuts): for keys with borders inside, where their pieces start, in order.
+    None if all rows fit one piece. Never more than BORDERS cuts, give or take chance."""
+    total = rows.count()
+    pieces = min(math.ceil(total / piece_rows), BORDERS)
+    if pieces <= 1:
+        return None
+    place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    placed = rows.select(F.col(key), place.alias("cut"))
+    # The hash of what orders a row draws it, so a task that runs again draws the same.
+    draw = F.pmod(F.xxhash64(key, "cut"), F.lit(1 << 30)) < math.ceil(min(1.0, SAMPLED * pieces / total) * (1 << 30))
+    rank = F.row_number().over(Window.orderBy(key, "cut"))
+    step = max(1, min(SAMPLED, total // pieces))
+    every = placed.where(draw).withColumn("rank", rank).where(F.col("rank") % step == 0)
+    return every.groupBy(key).agg(F.sort_array(F.collect_set("cut")).alias("cuts"))
 
 
-def in_piece(rows: DataFrame, key: str, piece: str, order: list[Column], value: Column) -> DataFrame:
+def in_piece(rows: DataFrame, keys: list[str], order: list[Column], value: Column) -> DataFrame:
     """Add `near`: the last non-null `value` before the row, in `order`, within its piece."""
-    before = Window.partitionBy(key, piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("near", F.last(value, ignorenulls=True).over(before))
 
 
 def nearest(
-    rows: DataFrame,
-    key: str,
-    us: str,
-    order: list[Column],
-    value: Column,
-    end_of_piece: Column,
-    backwards: bool = False,
-    enough_rows: int = ENOUGH_ROWS,
+    rows: DataFrame, key: str, order: list[Column], value: Column, piece_rows: int = PIECE_ROWS
 ) -> DataFrame:
-    """Add `near`: the last non-null `value` of the key before the row, in `order`.
+    """Add `near`: the last non-null `value` of the key before the row, in ascending `order`.
 
-    `order` goes by `us` first, descending if `backwards`. `end_of_piece` is the
-    aggregate that gives the last non-null value of a group of rows in that order.
+    `order` are whole numbers that place a row among those of its key (negated for an
+    order backwards).
     """
-    hot = F.broadcast(hot_keys(rows, key, us, enough_rows))
-    since_start = F.col(us) - F.col("since")
-    cut = rows.join(hot, key, "left").withColumn(
-        "piece", F.coalesce(since_start - F.pmod(since_start, F.col("width")), F.lit(0))
+    cuts = borders(rows, key, order, piece_rows)
+    if cuts is None:
+        return in_piece(rows, [key], order, value)
+    place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    started = F.size(F.filter("cuts", lambda cut: cut <= place))
+    cut = rows.join(F.broadcast(cuts), key, "left").withColumn("piece", F.coalesce(started, F.lit(0)))
+    ends = (
+        cut.where(F.col("cuts").isNotNull())
+        .groupBy(key, "piece")
+        .agg(F.max_by(value, F.when(value.isNotNull(), place)).alias("end"))
     )
-    ends = cut.where(F.col("width").isNotNull()).groupBy(key, "piece").agg(end_of_piece.alias("end"))
-    piece_order = F.desc("piece") if backwards else F.asc("piece")
-    earlier = Window.partitionBy(key).orderBy(piece_order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(key).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(key, "piece", F.last("end", ignorenulls=True).over(earlier).alias("carried"))
     return (
-        in_piece(cut.drop("since", "width"), key, "piece", order, value)
+        in_piece(cut.drop("cuts"), [key, "piece"], order, value)
         .join(F.broadcast(carried), [key, "piece"], "left")
         .withColumn("near", F.coalesce("near", "carried"))
         .drop("piece", "carried")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickloom.operators.nearest import ENOUGH_ROWS, in_piece, nearest
+from clickloom.operators.nearest import PIECE_ROWS, in_piece, nearest
 
 SECOND = 1_000_000
 LOGIN_LIMIT = 2 * SECOND
@@ -48,7 +48,8 @@ def burst_marks(instants: DataFrame, limit: int) -> DataFrame:
 
 
 def _mark_order() -> list[Column]:
-    return [F.desc("at"), F.col("probe")]
+    """Backwards in time; a failure comes before a probe of the same time."""
+    return [-F.col("at"), F.col("probe").cast("bigint")]
 
 
 def bursts_from(marks: DataFrame, *keys: str) -> DataFrame:
@@ -64,11 +65,11 @@ def bursts_from(marks: DataFrame, *keys: str) -> DataFrame:
 
 def bursts_in_blocks(instants: DataFrame, limit: int) -> DataFrame:
     """Bursts per `block`, with their anchor."""
-    marks = in_piece(burst_marks(instants, limit), "user_id", "block", _mark_order(), F.col("seen"))
+    marks = in_piece(burst_marks(instants, limit), ["user_id", "block"], _mark_order(), F.col("seen"))
     return bursts_from(marks, "block")
 
 
-def login_bursts(logins: DataFrame, limit: int = LOGIN_LIMIT, enough_rows: int = ENOUGH_ROWS) -> DataFrame:
+def login_bursts(logins: DataFrame, limit: int = LOGIN_LIMIT, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Groups of more than one failure of a user; the first failure of each.
 
     A failure stays pending until `limit` after the earliest pending one, which is
@@ -77,12 +78,9 @@ def login_bursts(logins: DataFrame, limit: int = LOGIN_LIMIT, enough_rows: int =
     marks = nearest(
         burst_marks(failures_by_instant(logins), limit),
         "user_id",
-        "at",
         _mark_order(),
-        value=F.col("seen"),
-        end_of_piece=F.min("seen"),
-        backwards=True,
-        enough_rows=enough_rows,
+        F.col("seen"),
+        piece_rows,
     )
     return bursts_from(marks).drop("anchor")
 
@@ -90,7 +88,7 @@ def login_bursts(logins: DataFrame, limit: int = LOGIN_LIMIT, enough_rows: int =
 # Back-to-back failures
 
 
-def _event() -> Column:
+def login_event() -> Column:
     return F.struct("us", "seq", "ip", "event_type")
 
 
@@ -104,20 +102,20 @@ def pairs_from(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def previous_in_blocks(rows: DataFrame) -> DataFrame:
-    return in_piece(rows, "user_id", "block", [F.col("us"), F.col("seq")], _event())
+    """Rows of blocks; `edge` is the last event before the block."""
+    found = in_piece(rows, ["user_id", "block"], [F.col("us"), F.col("seq")], login_event())
+    return found.withColumn("near", F.coalesce("near", "edge"))
 
 
-def login_pairs(logins: DataFrame, limit: int = LOGIN_LIMIT, enough_rows: int = ENOUGH_ROWS) -> DataFrame:
+def login_pairs(logins: DataFrame, limit: int = LOGIN_LIMIT, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """A failure directly followed by a failure of the same user less than `limit` later.
     Any other event in between breaks the pair."""
     rows = nearest(
         known_rows(logins, "user_id").select("user_id", "us", "seq", "ip", "event_type"),
         "user_id",
-        "us",
         [F.col("us"), F.col("seq")],
-        value=_event(),
-        end_of_piece=F.max(_event()),
-        enough_rows=enough_rows,
+        login_event(),
+        piece_rows,
     )
     return pairs_from(rows, limit)
 
@@ -141,11 +139,17 @@ def outcomes_from(rows: DataFrame, limit: int) -> DataFrame:
     )
 
 
+def _backwards() -> list[Column]:
+    return [-F.col("us"), -F.col("seq")]
+
+
 def next_pay_in_blocks(rows: DataFrame) -> DataFrame:
-    return in_piece(rows, "order_id", "block", [F.desc("us"), F.desc("seq")], _pay_time())
+    """Rows of blocks; `edge` is the time of the first pay after the block."""
+    found = in_piece(rows, ["order_id", "block"], _backwards(), _pay_time())
+    return found.withColumn("near", F.coalesce("near", "edge"))
 
 
-def order_outcomes(orders: DataFrame, limit: int = ORDER_LIMIT, enough_rows: int = ENOUGH_ROWS) -> DataFrame:
+def order_outcomes(orders: DataFrame, limit: int = ORDER_LIMIT, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Per create: `success` with the time of the first later pay if that is less than
     `limit` away, else `timeout`. One pay settles every create that is open.
 
@@ -155,11 +159,8 @@ def order_outcomes(orders: DataFrame, limit: int = ORDER_LIMIT, enough_rows: int
     rows = nearest(
         known.select("order_id", "us", "seq", "event_type"),
         "order_id",
-        "us",
-        [F.desc("us"), F.desc("seq")],
-        value=_pay_time(),
-        end_of_piece=F.min(_pay_time()),
-        backwards=True,
-        enough_rows=enough_rows,
+        _backwards(),
+        _pay_time(),
+        piece_rows,
     )
     return outcomes_from(rows, limit)

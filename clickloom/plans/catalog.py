@@ -39,9 +39,18 @@ FILTER = TaskParams(
 )
 
 
+def _at_utc(spark: SparkSession) -> SparkSession:
+    """The session, or one beside it if its time zone is another: the queries read times at
+    UTC and leave the settings of the caller alone."""
+    if spark.conf.get("spark.sql.session.timeZone") == "UTC":
+        return spark
+    beside = spark.newSession()
+    beside.conf.set("spark.sql.session.timeZone", "UTC")
+    return beside
+
+
 def _events(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return retail.events(spark, sf_dir, start, end)
+    return retail.events(_at_utc(spark), sf_dir, start, end)
 
 
 def _actions(spark: SparkSession, sf_dir: str, params: TaskParams = TaskParams()) -> DataFrame:
@@ -368,9 +377,9 @@ def _event_table(name: str) -> Query:
 
 
 def _event_stream(spark, sf_dir):
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    # A pattern, because the table may be one file or a folder of files.
-    return retail.typed_events(run.table_rows(spark, f"{sf_dir}/events*.parquet", retail.EVENTS_DDL))
+    # A pattern that only this name fits: streams read a table of one file by a pattern only.
+    # All files make one batch, so however many there are, no row comes behind the watermark.
+    return retail.typed_events(run.table_rows(_at_utc(spark), f"{sf_dir}/events.parque[t]", retail.EVENTS_DDL))
 
 
 def _folder(spark, name):
@@ -379,13 +388,13 @@ def _folder(spark, name):
 
 def _batched_stream(spark, stream, result_of, schema, name, split_by=None):
     folder = _folder(spark, name)
-    run.into_batches(stream, folder, result_of, split_by, available_now=True).awaitTermination()
+    run.finished(run.into_batches(stream, folder, result_of, split_by, available_now=True))
     return spark.read.schema(schema).parquet(f"{folder}/data").drop("batch_id")
 
 
 def _filed_stream(spark, stream, name, split_by=None):
     folder = _folder(spark, name)
-    run.into_files(stream, folder, split_by, available_now=True).awaitTermination()
+    run.finished(run.into_files(stream, folder, split_by, available_now=True))
     return spark.read.schema(stream.schema).parquet(f"{folder}/data")
 
 

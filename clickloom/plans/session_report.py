@@ -83,5 +83,5 @@ def run(tasks: DataFrame, task_id: int, actions: DataFrame, users: DataFrame, si
         return False
     folder = f"{shared_dir(actions.sparkSession)}/clickloom/task-{task_id}-{uuid4().hex}"
     for table, df in session_report(actions, users, params, task_id, folder, **options).items():
-        sink(table, df)
+        sink(table, task_id, df)
     return True

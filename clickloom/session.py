@@ -13,6 +13,10 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Distinct lists per session: hash this many sessions before falling back to a sort.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
+    # Open windows and blocks of streams, off the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # Call sites of every column in error messages; costs more than planning itself.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -32,9 +36,13 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
     return spark
 
 
+_local_folder: str | None = None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors see, as the cluster names it. Only a local session
-    without one gets a temporary folder."""
+    without one gets a temporary folder, the same one every time."""
+    global _local_folder
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
@@ -42,6 +50,6 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    named = tempfile.mkdtemp(prefix="clickloom-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    if _local_folder is None:
+        _local_folder = tempfile.mkdtemp(prefix="clickloom-")
+    return _local_folder

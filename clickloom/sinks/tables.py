@@ -47,21 +47,17 @@ RESULT_COLUMNS = {
     "top10_session": ["task_id", "category_id", "session_id", "click_count"],
 }
 
-Sink = Callable[[str, DataFrame], None]
+# Takes the table, the task and the rows; the rows carry the task id too.
+Sink = Callable[[str, int, DataFrame], None]
 
 
 def files(folder: str) -> Sink:
-    """Parquet under `folder`/table/task_id=N. A rerun of a task replaces its own rows
-    and nobody else's, and a lost executor leaves no doubles."""
+    """Parquet in `folder`/table/task_id=N. A rerun of a task replaces its own rows, with
+    none if there are none now, and nobody else's; a lost executor leaves no doubles."""
 
-    def write(table: str, df: DataFrame) -> None:
-        (
-            df.select(*RESULT_COLUMNS[table])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("task_id")
-            .parquet(f"{folder}/{table}")
-        )
+    def write(table: str, task_id: int, df: DataFrame) -> None:
+        rows = df.select(*RESULT_COLUMNS[table]).drop("task_id")
+        rows.write.mode("overwrite").parquet(f"{folder}/{table}/task_id={task_id}")
 
     return write
 
@@ -73,7 +69,7 @@ def jdbc(url: str, batch_size: int = 10_000, connections: int = 16, **options: s
     A whole job that is run again appends again: delete its task id first.
     """
 
-    def write(table: str, df: DataFrame) -> None:
+    def write(table: str, task_id: int, df: DataFrame) -> None:
         writer = df.select(*RESULT_COLUMNS[table]).write.format("jdbc").mode("append")
         settings = {"url": url, "dbtable": table, "batchsize": str(batch_size), "numPartitions": str(connections)}
         writer.options(**settings, **options).save()

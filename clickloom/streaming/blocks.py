@@ -8,14 +8,21 @@ MICROS = "{} microseconds"
 
 
 def is_home(us: str | Column, block: str | Column, width: int) -> Column:
-    """True for a time inside the block, false for what was copied from its neighbours."""
+    """True for a time inside the block, false for what belongs to its neighbours."""
     us, block = (F.col(c) if isinstance(c, str) else c for c in (us, block))
     return (us >= block) & (us < block + width)
 
 
+def behind_watermark(condition: Column, ts: str) -> Column:
+    """`condition`, for a filter that stays behind the watermark: rows that it drops move
+    the watermark too. The optimizer would pull a filter in front of it that does not need
+    the time; it does not look into a function over the time."""
+    return F.exists(F.array(ts), lambda t: t.isNotNull() & condition)
+
+
 def watermarked(events: DataFrame, key: str, delay: str | None) -> DataFrame:
-    known = events.where(F.col(key).isNotNull())
-    return known if delay is None else known.withWatermark("ts", delay)
+    marked = events if delay is None else events.withWatermark("ts", delay)
+    return marked.where(behind_watermark(F.col(key).isNotNull(), "ts"))
 
 
 def closed_blocks(
@@ -26,15 +33,16 @@ def closed_blocks(
     delay: str | None,
     before: int = 0,
     after: int = 0,
-    when: Column | None = None,
+    edges: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Per key and block, its rows with `us` and `fields`, as one array.
 
     A sliding window that is longer than its slide gives each row to its own block
-    and to the blocks it is near to. Rows for which `when` is false stay with their
-    own block. The array holds one key for before + width + after microseconds and
-    no more; the window leaves the state when the watermark passes its end. With
-    `delay` None the events have a watermark already.
+    and to the blocks it is near to. With `edges` only home rows go into the array; what
+    the neighbours hold comes as one value each, by aggregates over the rows that are not
+    home. Without, the neighbours' rows go in as well. The array holds one key for
+    one block and no more; the window leaves the state when the watermark passes its
+    end. With `delay` None the events have a watermark already.
     """
     length, offset = before + width + after, -before % width
     window = F.window("ts", MICROS.format(length), MICROS.format(width), MICROS.format(offset))
@@ -43,16 +51,17 @@ def closed_blocks(
         watermarked(events, key, delay)
         .withColumn("us", F.unix_micros("ts"))
         .select(window.alias("window"), key, "us", *fields)
+        .withColumn("block", block)
     )
-    if when is not None:
-        rows = rows.where(when | is_home("us", block, width))
-    return (
-        rows.groupBy("window", key)
-        .agg(F.collect_list(F.struct("us", *fields)).alias("rows"))
-        .select(key, block.alias("block"), "rows")
+    row = F.struct("us", *fields)
+    if edges is not None:
+        row = F.when(is_home("us", "block", width), row)
+    closed = rows.groupBy("window", key).agg(
+        F.collect_list(row).alias("rows"), *[edge.alias(name) for name, edge in (edges or {}).items()]
     )
+    return closed.where(F.size("rows") > 0).select(key, block.alias("block"), *(edges or {}), "rows")
 
 
-def opened(blocks: DataFrame, key: str) -> DataFrame:
+def opened(blocks: DataFrame, key: str, *edges: str) -> DataFrame:
     """Closed blocks back to single rows."""
-    return blocks.select(key, "block", F.inline("rows"))
+    return blocks.select(key, "block", *edges, F.inline("rows"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickloom.operators import patterns
 from clickloom.operators.patterns import LOGIN_LIMIT
-from clickloom.streaming.blocks import closed_blocks, is_home, opened, watermarked
+from clickloom.streaming.blocks import behind_watermark, closed_blocks, is_home, opened, watermarked
 
 # Short blocks: a stream has to answer soon.
 LIMITS_PER_BLOCK = 1
@@ -24,7 +24,8 @@ def burst_blocks(logins: DataFrame, limit: int = LOGIN_LIMIT, delay: str = "0 se
     combines before its shuffle. So a flood on one account reaches the block as one
     entry per instant, a handful where event times are whole seconds.
     """
-    failures = watermarked(logins.where("event_type = 'fail'"), "user_id", delay)
+    failed = behind_watermark(F.col("event_type") == "fail", "ts")
+    failures = watermarked(logins, "user_id", delay).where(failed)
     instants = failures.groupBy("user_id", "ts").agg(
         F.count("*").alias("n"), F.min(F.struct("seq", "ip")).alias("head")
     )
@@ -40,13 +41,20 @@ def bursts_of(blocks: DataFrame, limit: int = LOGIN_LIMIT) -> DataFrame:
 
 
 def pair_blocks(logins: DataFrame, limit: int = LOGIN_LIMIT, delay: str = "0 seconds") -> DataFrame:
-    """All login events by user and block; a block closes at its end."""
+    """All login events by user and block, with the last event of the limit before the
+    block; a block closes at its end."""
+    last = F.max(F.when(F.col("us") < F.col("block"), patterns.login_event()))
     return closed_blocks(
-        logins, "user_id", ["seq", "ip", "event_type"], limit * LIMITS_PER_BLOCK, delay, before=limit
+        logins,
+        "user_id",
+        ["seq", "ip", "event_type"],
+        limit * LIMITS_PER_BLOCK,
+        delay,
+        before=limit,
+        edges={"edge": last},
     )
 
 
 def pairs_of(blocks: DataFrame, limit: int = LOGIN_LIMIT) -> DataFrame:
     """Pairs whose second failure is in the blocks."""
-    rows = patterns.previous_in_blocks(opened(blocks, "user_id"))
-    return patterns.pairs_from(rows.where(is_home("us", "block", limit * LIMITS_PER_BLOCK)), limit)
+    return patterns.pairs_from(patterns.previous_in_blocks(opened(blocks, "user_id", "edge")), limit)

@@ -10,27 +10,29 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickloom.operators import patterns
 from clickloom.operators.patterns import ORDER_LIMIT
-from clickloom.streaming.blocks import closed_blocks, is_home, opened
+from clickloom.streaming.blocks import behind_watermark, closed_blocks, opened
 
 # Three blocks a limit: an outcome is known at most a third of the limit after its deadline.
 BLOCKS_PER_LIMIT = 3
 
 
 def order_blocks(orders: DataFrame, limit: int = ORDER_LIMIT, delay: str = "0 seconds") -> DataFrame:
-    """Creates by order and block, with the pays up to a limit after the block."""
-    known = orders.where(F.col("event_type").isin("create", "pay"))
+    """Creates and pays by order and block, with the time of the first pay up to a limit
+    after the block."""
+    width = limit // BLOCKS_PER_LIMIT
+    known = behind_watermark(F.col("event_type").isin("create", "pay"), "ts")
+    later = (F.col("us") >= F.col("block") + width) & (F.col("event_type") == "pay")
     return closed_blocks(
-        known,
+        orders.withWatermark("ts", delay).where(known),
         "order_id",
         ["seq", "event_type"],
-        limit // BLOCKS_PER_LIMIT,
-        delay,
+        width,
+        None,
         after=limit,
-        when=F.col("event_type") == "pay",
+        edges={"edge": F.min(F.when(later, F.col("us")))},
     )
 
 
 def outcomes_of(blocks: DataFrame, limit: int = ORDER_LIMIT) -> DataFrame:
     """One outcome for every create in the blocks."""
-    rows = patterns.next_pay_in_blocks(opened(blocks, "order_id"))
-    return patterns.outcomes_from(rows.where(is_home("us", "block", limit // BLOCKS_PER_LIMIT)), limit)
+    return patterns.outcomes_from(patterns.next_pay_in_blocks(opened(blocks, "order_id", "edge")), limit)

@@ -2,35 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from math import gcd
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.operators import traffic
+from clickloom.streaming.blocks import behind_watermark
 
 MILLIS = "{} milliseconds"
 
 
-def sliding_counts(events: DataFrame, key: str, length: int, slide: int, delay: str, ts: str = "ts") -> DataFrame:
+def sliding_counts(
+    events: DataFrame, key: str, length: int, slide: int, delay: str, ts: str = "ts", only: Column | None = None
+) -> DataFrame:
     """Events per key and window, each window once, when the watermark passes its end.
 
-    Use with append mode. One long per key and open window is kept; rows for windows
-    that are closed already are late and dropped.
+    Use with append mode. Events are counted into panes first, the pieces that no
+    window border cuts; a pane that is closed goes to the windows over it. So an event
+    costs one update, and the state holds one number per key and open pane, and per key
+    and open window of closed panes. Events that `only` leaves out are not counted but
+    move the watermark. Rows for panes that are closed already are late and dropped.
     """
-    window = F.window(ts, MILLIS.format(length), MILLIS.format(slide))
+    pane = gcd(length, slide)
+    marked = events.withWatermark(ts, delay)
+    if only is not None:
+        marked = marked.where(behind_watermark(only, ts))
+    panes = marked.groupBy(F.window(ts, MILLIS.format(pane)).alias("pane"), key).agg(F.count("*").alias("n"))
+    window = F.window(F.window_time("pane"), MILLIS.format(length), MILLIS.format(slide))
     return (
-        events.withWatermark(ts, delay)
-        .groupBy(window.alias("window"), key)
-        .agg(F.count("*").alias("count"))
+        panes.groupBy(window.alias("window"), key)
+        .agg(F.sum("n").alias("count"))
         .select(F.unix_millis("window.end").alias("window_end"), key, "count")
     )
 
 
-def hot_items(behaviors: DataFrame) -> DataFrame:
-    """Views per item over an hour, every five minutes; behaviour comes in time order."""
-    viewed = behaviors.where("behavior = 'pv'")
-    return sliding_counts(viewed, "item_id", traffic.ITEM_WINDOW, traffic.ITEM_SLIDE, "0 seconds")
+def hot_items(behaviors: DataFrame, delay: str = "0 seconds") -> DataFrame:
+    """Views per item over an hour, every five minutes; behaviour comes in time order, or
+    late by `delay` at most."""
+    viewed = F.col("behavior") == "pv"
+    return sliding_counts(behaviors, "item_id", traffic.ITEM_WINDOW, traffic.ITEM_SLIDE, delay, only=viewed)
 
 
-def url_traffic(requests: DataFrame) -> DataFrame:
-    """GET requests per url over a minute, every five seconds; rows may be ten seconds late."""
-    fetched = requests.where("method = 'GET'")
-    return sliding_counts(fetched, "url", traffic.URL_WINDOW, traffic.URL_SLIDE, "10 seconds")
+def url_traffic(requests: DataFrame, delay: str = "10 seconds") -> DataFrame:
+    """GET requests per url over a minute, every five seconds; rows may be late by `delay`."""
+    fetched = F.col("method") == "GET"
+    return sliding_counts(requests, "url", traffic.URL_WINDOW, traffic.URL_SLIDE, delay, only=fetched)

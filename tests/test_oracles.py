@@ -4,8 +4,10 @@ import __spark_entry__
 import pytest
 from compare import connect, difference
 
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+from clickloom.plans import catalog, oracles
+
+QUERIES = catalog.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")

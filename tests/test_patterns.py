@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import patterns
-from clickloom.operators.nearest import HOT_KEYS, hot_keys
+from clickloom.operators.nearest import borders, nearest
 
 LOGINS = "user_id bigint, ip string, event_type string, us bigint, seq bigint"
 ORDERS = "order_id bigint, event_type string, us bigint, seq bigint"
@@ -18,26 +18,26 @@ def rows_of(df):
 @pytest.fixture(scope="module")
 def logins(spark):
     rows = [
-        (1, "192.168.0.1", "fail", 1558430832 * S, 1),
-        (1, "192.168.0.2", "fail", 1558430843 * S, 2),
-        (1, "192.168.0.3", "fail", 1558430844 * S, 3),
-        (2, "192.168.0.3", "fail", 1558430845 * S, 4),
-        (2, "192.168.10.10", "success", 1558430845 * S, 5),
+        (7, "10.1.1.1", "fail", 100 * S, 1),
+        (7, "10.1.1.2", "fail", 120 * S, 2),
+        (7, "10.1.1.3", "fail", 121 * S, 3),
+        (8, "10.1.1.3", "fail", 122 * S, 4),
+        (8, "10.1.2.9", "success", 122 * S, 5),
     ]
     return spark.createDataFrame(rows, LOGINS)
 
 
 def test_burst_example(logins):
-    assert rows_of(patterns.login_bursts(logins)) == [(1, "192.168.0.2", 1558430843 * S, 2, 2)]
+    assert rows_of(patterns.login_bursts(logins)) == [(7, "10.1.1.2", 120 * S, 2, 2)]
 
 
 def test_pair_example(logins):
     got = rows_of(patterns.login_pairs(logins))
-    assert got == [(1, "192.168.0.2", "192.168.0.3", 1558430844 * S, 3)]
+    assert got == [(7, "10.1.1.2", "10.1.1.3", 121 * S, 3)]
 
 
 def test_order_example(spark):
-    rows = [(1, "create", 1558430842 * S, 1), (2, "create", 1558430843 * S, 2), (2, "pay", 1558430844 * S, 3)]
+    rows = [(1, "create", 50 * S, 1), (2, "create", 51 * S, 2), (2, "pay", 52 * S, 3)]
     got = rows_of(patterns.order_outcomes(spark.createDataFrame(rows, ORDERS)).select("order_id", "status"))
     assert got == [(1, "timeout"), (2, "success")]
 
@@ -100,35 +100,35 @@ def random_logins(seed, span, n=400, users=4):
     ]
 
 
-# With enough_rows 0 every key is hot here and cut into pieces.
+# With pieces of 20 rows every user is cut.
 CASES = [
-    (seed, limit, span, enough_rows)
+    (seed, limit, span, piece_rows)
     for seed in range(2)
     for limit, span in ((10, 1500), (7, 300), (50, 4000))
-    for enough_rows in (0, 10**6)
+    for piece_rows in (20, 10**6)
 ]
 
 
-@pytest.mark.parametrize(("seed", "limit", "span", "enough_rows"), CASES)
-def test_bursts_like_timers(spark, seed, limit, span, enough_rows):
+@pytest.mark.parametrize(("seed", "limit", "span", "piece_rows"), CASES)
+def test_bursts_like_timers(spark, seed, limit, span, piece_rows):
     rows = random_logins(seed, span)
     expected = simulate_bursts(rows, limit)
     assert len(expected) > 3
-    assert rows_of(patterns.login_bursts(spark.createDataFrame(rows, LOGINS), limit, enough_rows)) == expected
+    assert rows_of(patterns.login_bursts(spark.createDataFrame(rows, LOGINS), limit, piece_rows)) == expected
 
 
-@pytest.mark.parametrize(("seed", "limit", "span", "enough_rows"), CASES)
-def test_pairs_like_a_walk(spark, seed, limit, span, enough_rows):
+@pytest.mark.parametrize(("seed", "limit", "span", "piece_rows"), CASES)
+def test_pairs_like_a_walk(spark, seed, limit, span, piece_rows):
     rows = random_logins(seed, span)
     expected = simulate_pairs(rows, limit)
     assert len(expected) > 3
-    assert rows_of(patterns.login_pairs(spark.createDataFrame(rows, LOGINS), limit, enough_rows)) == expected
+    assert rows_of(patterns.login_pairs(spark.createDataFrame(rows, LOGINS), limit, piece_rows)) == expected
 
 
-@pytest.mark.parametrize(("seed", "limit", "span", "enough_rows"), CASES)
-def test_orders_like_a_walk(spark, seed, limit, span, enough_rows):
+@pytest.mark.parametrize(("seed", "limit", "span", "piece_rows"), CASES)
+def test_orders_like_a_walk(spark, seed, limit, span, piece_rows):
     rows = [(u, "create" if k == "fail" else "pay", us, seq) for u, _, k, us, seq in random_logins(seed, span)]
-    got = patterns.order_outcomes(spark.createDataFrame(rows, ORDERS), limit, enough_rows).collect()
+    got = patterns.order_outcomes(spark.createDataFrame(rows, ORDERS), limit, piece_rows).collect()
     assert sorted((tuple(r) for r in got), key=str) == simulate_orders(rows, limit)
 
 
@@ -143,17 +143,37 @@ def test_a_pay_without_create_says_nothing(spark):
     assert patterns.order_outcomes(orders, 10).count() == 0
 
 
-def test_hot_keys_are_few_and_cut_fine(spark):
-    rows = spark.range(30_000).select(
-        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("user_id"), F.col("id").alias("us")
+SHAPES = {
+    "spread": "id",
+    "a minute of a year": f"if(id % 100 < 99, id % 60 * {S}, id * {1000 * S})",
+    "one instant": "cast(5 as bigint)",
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_pieces_are_even_however_a_key_lies_in_time(spark, shape):
+    """A third of the rows belongs to one user, in pieces of about a hundredth of all rows."""
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("user_id"), F.expr(SHAPES[shape]).alias("us"), F.col("id").alias("seq")
     )
-    (hot,) = hot_keys(rows, "user_id", "us", enough_rows=0).collect()
-    assert (hot.user_id, hot.since) == (0, 0)
-    # a third of all rows: 334 shares of a thousandth, 16 pieces each
-    assert hot.width == -(-29_998 // (16 * 334))
-    assert hot_keys(rows, "user_id", "us").count() == 0
-    every = spark.range(HOT_KEYS).select(F.col("id").alias("user_id"), F.col("id").alias("us"))
-    assert hot_keys(every, "user_id", "us", enough_rows=0).count() == 0
+    order = [F.col("us"), F.col("seq")]
+    cuts = borders(rows, "user_id", order, piece_rows=600)
+    (hot,) = cuts.where("user_id = 0").collect()
+    assert 20 <= len(hot.cuts) <= 50 and cuts.count() <= 101
+    place = F.struct(F.col("us").alias("o0"), F.col("seq").alias("o1"))
+    started = rows.where("user_id = 0").join(F.broadcast(cuts), "user_id").select(F.size(F.filter("cuts", lambda c: c <= place)).alias("piece"))
+    sizes = [r["count"] for r in started.groupBy("piece").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 2_400
+    assert borders(rows, "user_id", order, piece_rows=60_000) is None
+
+
+def test_every_piece_knows_what_came_before(spark):
+    rows = spark.range(5_000).select(F.lit(1).alias("k"), F.col("id").alias("at"), F.when(F.col("id") % 1700 == 3, F.col("id")).alias("v"))
+    found = nearest(rows, "k", [F.col("at")], F.col("v"), piece_rows=50).collect()
+    assert len(found) == 5_000
+    for r in found:
+        before = [v for v in (3, 1703, 3403) if v < r["at"]]
+        assert r.near == (before[-1] if before else None)
 
 
 @pytest.mark.parametrize("shape", ["spread", "one instant"])
@@ -165,8 +185,8 @@ def test_a_hot_user_like_any_other(spark, shape):
     rows += [(i, f"ip{i}", "f", rng.randrange(3000), i) for i in range(1, 1001)]
     rows = [(u, ip, {"f": "fail", "s": "success"}[k], us, seq) for u, ip, k, us, seq in rows]
     logins = spark.createDataFrame(rows, LOGINS)
-    assert rows_of(patterns.login_bursts(logins, 20, enough_rows=0)) == simulate_bursts(rows, 20)
-    assert rows_of(patterns.login_pairs(logins, 20, enough_rows=0)) == simulate_pairs(rows, 20)
+    assert rows_of(patterns.login_bursts(logins, 20, piece_rows=20)) == simulate_bursts(rows, 20)
+    assert rows_of(patterns.login_pairs(logins, 20, piece_rows=20)) == simulate_pairs(rows, 20)
     events = [(u, "create" if k == "fail" else "pay", us, seq) for u, _, k, us, seq in rows]
-    got = patterns.order_outcomes(spark.createDataFrame(events, ORDERS), 20, enough_rows=0).collect()
+    got = patterns.order_outcomes(spark.createDataFrame(events, ORDERS), 20, piece_rows=20).collect()
     assert sorted((tuple(r) for r in got), key=str) == simulate_orders(events, 20)

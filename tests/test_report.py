@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from clickloom.plans import catalog, session_report
 from clickloom.sinks import kafka, tables
 from clickloom.sinks.tables import RESULT_COLUMNS
-from clickloom.sources import retail
+from clickloom.sources import retail, tasks as sources_tasks
 
 
 def collected(df):
@@ -51,6 +51,16 @@ def test_a_rerun_replaces_its_own_task(spark, sf_dir, tmp_path):
     assert counts[2] < counts[1]
 
 
+def test_a_rerun_without_rows_leaves_none(spark, tmp_path):
+    schema = "task_id bigint, category_id bigint, click_count bigint, order_count bigint, pay_count bigint"
+    sink = tables.files(str(tmp_path))
+    for task_id in (1, 2):
+        sink("top10_category", task_id, spark.createDataFrame([(task_id, 2, 3, 4, 5)], schema))
+    sink("top10_category", 1, spark.createDataFrame([], schema))
+    left = spark.read.parquet(f"{tmp_path}/top10_category").collect()
+    assert [(r.task_id, r.category_id) for r in left] == [(2, 2)]
+
+
 def test_no_such_task(spark, sf_dir):
     actions, users = report_inputs(spark, sf_dir)
     assert not session_report.run(tasks(spark), 3, actions, users, sink=None)
@@ -65,13 +75,28 @@ def test_jdbc_settings(monkeypatch, spark):
     monkeypatch.setattr(DataFrameWriter, "save", lambda self: seen.update(saved=True))
     schema = "task_id int, category_id int, click_count int, order_count int, pay_count int"
     df = spark.createDataFrame([(1, 2, 3, 4, 5)], schema)
-    tables.jdbc("jdbc:db://host/x", batch_size=5, user="u")("top10_category", df)
+    tables.jdbc("jdbc:db://host/x", batch_size=5, user="u")("top10_category", 1, df)
     assert seen == {
         "url": "jdbc:db://host/x", "dbtable": "top10_category", "batchsize": "5", "numPartitions": "16",
         "user": "u", "saved": True,
     }
 
 
+def test_jdbc_read_settings(monkeypatch, spark):
+    """No database here either: what the reader is asked for, and that the predicate is there."""
+    from pyspark.sql.readwriter import DataFrameReader
+
+    seen = {}
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "task_id bigint, task_param string")
+    monkeypatch.setattr(DataFrameReader, "format", lambda self, kind: seen.update(format=kind) or self)
+    monkeypatch.setattr(DataFrameReader, "option", lambda self, k, v: seen.update({k: v}) or self)
+    monkeypatch.setattr(DataFrameReader, "options", lambda self, **o: seen.update(o) or self)
+    monkeypatch.setattr(DataFrameReader, "load", lambda self: rows)
+    found = sources_tasks.tasks_over_jdbc(spark, "jdbc:db://host/x", 2, user="u").collect()
+    assert seen == {"format": "jdbc", "url": "jdbc:db://host/x", "dbtable": "task", "user": "u"}
+    assert [r.task_param for r in found] == ["b"]
+
+
 def test_kafka_settings_and_routing(spark):
     assert kafka.source_options("h:9092", "hotitems", "g") == {
         "kafka.bootstrap.servers": "h:9092", "subscribe": "hotitems", "startingOffsets": "latest",

@@ -1,13 +1,17 @@
 """Streams fed file by file give what the batch forms give."""
 
 from functools import partial
+from pathlib import Path
 from random import Random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import applog, patterns, traffic
-from clickloom.streaming import logins, orders, run, traffic as stream_traffic
+from clickloom.plans import catalog
+from clickloom.sources import retail
+from clickloom.streaming import blocks, logins, orders, run, traffic as stream_traffic
 
 S = patterns.SECOND
 BASE = 1_700_000_000 * S
@@ -42,9 +46,7 @@ def stream_of(spark, folder):
 
 
 def finish(query):
-    query.awaitTermination()
-    assert query.exception() is None
-    return query
+    return run.finished(query)
 
 
 def rows_of(df, *columns):
@@ -70,10 +72,7 @@ def as_orders(df):
 def test_patterns_like_batch(spark, tmp_path, case, files):
     limit = 2 * S if case != "orders" else 30 * S
     rows = random_rows(files)
-    if case == "bursts":  # bursts move the watermark by failures only
-        ends = [(*far(rows)[0][:2], "f", *far(rows)[0][3:])]
-    else:
-        ends = far(rows)
+    ends = far(rows)  # a success of another user: it moves the watermark like a failure
     write_files(spark, rows, str(tmp_path / "in"), files)
     write_files(spark, ends, str(tmp_path / "in"), 1)
     shape, blocks, result, batch = {
@@ -119,11 +118,94 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     behaviors = stream_of(spark, str(tmp_path / "in")).select(
         "ts", F.col("key").alias("item_id"), F.lit("pv").alias("behavior")
     )
-    query = finish(run.into_files(stream_traffic.hot_items(behaviors), str(tmp_path / "out"), available_now=True))
+    query = run.into_files(stream_traffic.hot_items(behaviors), str(tmp_path / "out"), available_now=True)
+    with pytest.raises(run.LateRows):
+        run.finished(query)
     got = spark.read.parquet(str(tmp_path / "out" / "data"))
     assert got.where("item_id = 1").count() == 12
     assert got.agg(F.sum("count")).first()[0] == 12
-    assert run.late_rows(query) > 0
+    assert run.late_rows(query) == 1
+
+
+def test_a_delay_covers_disorder(spark, tmp_path):
+    """The same rows with a delay: nothing is late."""
+    early, late = (1, "a", "f", BASE, 1), (1, "b", "f", BASE - 7200 * S, 2)
+    for row in (early, far([early])[0], late, (5, "c", "f", BASE + 40_000 * S, 9)):
+        write_files(spark, [row], str(tmp_path / "in"), 1)
+    behaviors = stream_of(spark, str(tmp_path / "in")).select(
+        "ts", F.col("key").alias("item_id"), F.lit("pv").alias("behavior")
+    )
+    counts = stream_traffic.hot_items(behaviors, delay="4 hours")
+    run.finished(run.into_files(counts, str(tmp_path / "out"), available_now=True))
+    got = spark.read.parquet(str(tmp_path / "out" / "data"))
+    assert got.where("item_id = 1").agg(F.sum("count")).first()[0] == 24
+
+
+def test_forgotten_batches_are_not_counted_as_none():
+    spark_keeps = [{"batchId": i, "stateOperators": []} for i in range(50, 150)]
+    query = SimpleNamespace(recentProgress=spark_keeps, lastProgress=spark_keeps[-1])
+    with pytest.raises(run.LateRows):
+        run.late_rows(query)
+
+
+@pytest.fixture(scope="module")
+def scattered(spark, sf_dir, tmp_path_factory):
+    """The events in 2,200 files of no order."""
+    folder = tmp_path_factory.mktemp("scattered")
+    events = spark.read.parquet(f"{Path(sf_dir).parent}/sf0.01/events.parquet")
+    events.repartition(2200, F.xxhash64("event_id")).write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("query", catalog.STREAMS, ids=lambda q: q.__name__)
+def test_files_decide_nothing(spark, sf_dir, scattered, tmp_path, monkeypatch, query):
+    """One file, 2,200 unordered files, and seven batches of files put in order: same rows."""
+    whole = f"{Path(sf_dir).parent}/sf0.01"
+    expected = sorted(map(str, query(spark, whole).collect()))
+    assert len(expected) > 100
+    assert sorted(map(str, query(spark, scattered).collect())) == expected
+
+    raw = spark.read.schema(retail.EVENTS_DDL).parquet(f"{scattered}/events.parquet")
+    ordered = run.in_time_order(raw, str(tmp_path / "ordered"), "ts", files=28)
+    batches = []
+
+    def stream(spark, _):
+        return retail.typed_events(run.table_rows(spark, ordered, retail.EVENTS_DDL, files_per_batch=4))
+
+    def finished(started):
+        run_finished(started)
+        batches.append(sum(p["numInputRows"] > 0 for p in started.recentProgress))
+
+    run_finished = run.finished
+    monkeypatch.setattr(catalog, "_event_stream", stream)
+    monkeypatch.setattr(run, "finished", finished)
+    assert sorted(map(str, query(spark, whole).collect())) == expected
+    assert batches[0] >= 4
+
+
+def test_a_filter_stays_behind_the_watermark(spark, tmp_path):
+    write_files(spark, random_rows(1, n=5), str(tmp_path / "in"), 1)
+    rows = stream_of(spark, str(tmp_path / "in")).withWatermark("ts", "1 second")
+    kept = rows.where(blocks.behind_watermark(F.col("kind") == "f", "ts"))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("EventTimeWatermark")
+
+
+def test_neighbours_are_one_value(spark):
+    """Only home rows are listed; a flood before the block costs one value."""
+    flood = [(1, f"l{i}", "f", BASE + i * 1000, i) for i in range(500)] + [(1, "x", "f", BASE + 2 * S, 999)]
+    closed = logins.pair_blocks(as_logins(spark.createDataFrame(flood, SCHEMA).withColumn("ts", F.timestamp_micros("us"))), 2 * S)
+    last = closed.orderBy(F.desc("block")).first()
+    assert len(last["rows"]) == 1 and last.edge.ip == "l499"
+
+
+def test_a_batch_folder_appears_whole(spark, tmp_path):
+    rows = spark.createDataFrame(random_rows(1, n=5), SCHEMA)
+    staged, target = str(tmp_path / "staged" / "b"), str(tmp_path / "data" / "b")
+    for part in (rows, rows.limit(2)):
+        part.write.mode("overwrite").parquet(staged)
+        run._move(spark, staged, target)
+    assert spark.read.parquet(target).count() == 2 and not Path(staged).exists()
 
 
 def test_log_lines_are_routed(spark, tmp_path):
@@ -137,10 +219,15 @@ def test_log_lines_are_routed(spark, tmp_path):
     assert sorted((r.log_type, r.value) for r in got.collect()) == [("event", text[1]), ("start", text[0])]
 
 
-def test_console(spark, tmp_path):
+def test_console_prints_every_row(spark, tmp_path, monkeypatch):
+    from pyspark.sql.streaming.readwriter import DataStreamWriter
+
+    seen, option = {}, DataStreamWriter.option
+    monkeypatch.setattr(DataStreamWriter, "option", lambda self, k, v: seen.update({k: v}) or option(self, k, v))
     write_files(spark, random_rows(1, n=5), str(tmp_path / "in"), 1)
     stream = stream_of(spark, str(tmp_path / "in"))
     finish(run.into_console(stream, str(tmp_path / "out"), available_now=True))
+    assert seen["numRows"] == 2**31 - 1
 
 
 def test_a_stream_goes_on_where_it_stopped(spark, tmp_path):
