@@ -56,16 +56,19 @@ def pack_fields(**fields: Column) -> Column:
 
 def get_field(col: Column, name: str) -> Column:
     """Value of the first `name=value` part; null if absent, empty, or itself holding `=`."""
-    found = F.filter(F.split(col, "\\|"), lambda p: p.rlike(f"^{name}=[^=]+=*$"))
-    return F.regexp_extract(F.try_element_at(found, F.lit(1)), "=([^=]+)", 1)
+    found = F.filter(
+        F.split(col, "\\|"), lambda p: p.startswith(f"{name}=") & F.substr(p, F.lit(len(name) + 1)).rlike("^=[^=]+=*$")
+    )
+    return F.regexp_extract(F.substr(F.try_element_at(found, F.lit(1)), F.lit(len(name) + 1)), "^=([^=]+)", 1)
 
 
 def set_field(col: Column, name: str, value: Column) -> Column:
-    """Replace the value of the first part called `name`; text without it stays as it is."""
+    """Replace the value of the first part called `name`, by nothing if `value` is null; text
+    without it stays as it is."""
     parts = F.split(col, "\\|")
     names = F.transform(parts, lambda p: F.substring_index(p, "=", 1))
     at = F.array_position(names, F.lit(name))
     return F.array_join(
-        F.transform(parts, lambda p, i: F.when(i + 1 == at, F.concat(F.lit(f"{name}="), value)).otherwise(p)),
+        F.transform(parts, lambda p, i: F.when(i + 1 == at, F.concat(F.lit(f"{name}="), F.coalesce(value.cast("string"), F.lit("")))).otherwise(p)),
         "|",
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom import schemas
 from clickloom.functions.once import once
@@ -35,22 +35,27 @@ def with_log_type(lines: DataFrame, by: str = "text") -> DataFrame:
     return lines.withColumn("log_type", log_type(F.col("value"), by))
 
 
-def parse(lines: DataFrame) -> DataFrame:
-    """Clean lines to time, app key, the common fields, and the event array."""
+def parse(lines: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """Clean lines to time, app key, the common fields, and the event array. Only the common
+    fields asked for are parsed; without `fields` all are."""
     stamp = F.substring_index("value", "|", 1)
     body = F.get(F.split("value", "\\|", 3), F.lit(1))
-    return lines.select(
-        from_epoch_millis(stamp).alias("log_time"), once(F.from_json(body, schemas.APP_LOG)).alias("log")
-    ).select("log_time", F.col("log.ap").alias("ap"), "log.cm.*", F.col("log.et").alias("et"))
+    log = once(F.from_json(body, schemas.app_log(schemas.COMMON_FIELDS if fields is None else fields)))
+    return lines.select(from_epoch_millis(stamp).alias("log_time"), log.alias("log")).select(
+        "log_time", F.col("log.ap").alias("ap"), "log.cm.*", F.col("log.et").alias("et")
+    )
+
+
+# The common fields that events carry on.
+EVENT_COMMON = ["mid", "uid"]
 
 
 def events(logs: DataFrame) -> DataFrame:
     """Parsed logs to one row per event, with its place in the line."""
-    return logs.select("log_time", "ap", "mid", "uid", F.posexplode("et").alias("position", "event")).select(
+    return logs.select("log_time", "ap", *EVENT_COMMON, F.posexplode("et").alias("position", "event")).select(
         "log_time",
         "ap",
-        "mid",
-        "uid",
+        *EVENT_COMMON,
         "position",
         from_epoch_millis(F.col("event.ett")).alias("event_time"),
         F.col("event.en").alias("event_name"),
@@ -58,6 +63,23 @@ def events(logs: DataFrame) -> DataFrame:
     )
 
 
+def write_events(lines: DataFrame, folder: str) -> None:
+    """Raw lines to a table of their events, a folder for each event name: the log is parsed
+    once, and each of the event tables then reads its own folder only."""
+    parsed = events(parse(clean(lines), EVENT_COMMON))
+    parsed.write.mode("overwrite").partitionBy("event_name").parquet(folder)
+
+
+def event_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of all event names, out of what `write_events` wrote."""
+    written = spark.read.schema(WRITTEN).parquet(folder)
+    return {name: event_table(written, name) for name in schemas.EVENT_FIELDS}
+
+
+WRITTEN = """log_time timestamp, ap string, mid string, uid string, position int, event_time timestamp,
+    kv string, event_name string"""
+
+
 def event_table(events: DataFrame, name: str) -> DataFrame:
     """The events of one name, their fields as typed columns."""
     fields = once(F.from_json("kv", schemas.EVENT_FIELDS[name])).alias("fields")

@@ -25,19 +25,3 @@ def top_n(df: DataFrame, n: int, order: list[Column], keys: list[str] | None = N
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(
         F.col(rank) <= n
     )
-
-
-def salted_first(
-    df: DataFrame, keys: list[str], order: list[Column], bound: Column, salt_on: str, salts: int = 64
-) -> DataFrame:
-    """First `bound` rows per key where the bound is itself a column.
-
-    Two rounds: rank within (key, salt), keep what could still be in the answer,
-    then rank the few that are left within the key. A key holding a third of the
-    rows is spread over `salts` tasks; round two sees at most salts x bound rows a key.
-    """
-    salted = df.withColumn("_salt", F.pmod(F.hash(salt_on), F.lit(salts)))
-    for parts in (keys + ["_salt"], keys):
-        ranked = F.row_number().over(Window.partitionBy(*parts).orderBy(*order))
-        salted = salted.withColumn("_position", ranked).where(F.col("_position") <= bound)
-    return salted.withColumnRenamed("_position", "position").drop("_salt")

@@ -5,24 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from clickloom.functions import text, times
-from clickloom.operators.ranking import bounded, salted_first
+from clickloom.operators.ranking import bounded
 
 
-def _slots(sessions: DataFrame) -> DataFrame:
+# Hexadecimal digits of the draw that sessions are counted by before they are ranked.
+DIGITS = 4
+
+
+def _slots(sessions: DataFrame, seed: int = 0) -> DataFrame:
+    draw = F.md5(F.concat(F.col("session_id"), F.lit(str(seed))))
     return sessions.select(
         "session_id",
         "start_time",
         times.day_text(F.col("start_time")).alias("date"),
         F.date_format("start_time", "HH").alias("hour"),
+        draw.alias("draw"),
+        F.substring(draw, 1, DIGITS).alias("prefix"),
     )
 
 
 def hour_counts(sessions: DataFrame) -> DataFrame:
-    """Sessions per date and hour of their start.
-
-    Counting ids, which are never null, and not rows lets the draw read the same
-    shuffled sessions as this.
-    """
+    """Sessions per date and hour of their start."""
     return _slots(sessions).groupBy("date", "hour").agg(F.count("session_id").alias("session_count"))
 
 
@@ -55,18 +58,28 @@ def sample_sessions(sessions: DataFrame, total: int = 100, seed: int = 42) -> Da
     """The drawn sessions with date, hour and position in the draw.
 
     The draw orders an hour's sessions by a seeded hash, so it repeats on every
-    run and after every lost task.
+    run and after every lost task. Sessions are counted by the first digits of the
+    hash; only those whose digits can still be drawn are ranked. However many sessions an
+    hour has, that is its quota and the sessions of one digit group more. Every group but
+    the last of an hour fills a part of its quota, so there are at most 2 x `total` groups.
     """
-    slotted = _slots(sessions)
-    wanted = bounded(quotas(hour_counts(sessions), total), total)
-    drawn = salted_first(
-        slotted.join(wanted, ["date", "hour"]),
-        keys=["date", "hour"],
-        order=[F.md5(F.concat(F.col("session_id"), F.lit(str(seed)))), F.col("session_id")],
-        bound=F.col("quota"),
-        salt_on="session_id",
+    slotted = _slots(sessions, seed)
+    groups = slotted.groupBy("date", "hour", "prefix").agg(F.count("session_id").alias("n"))
+    hours = groups.groupBy("date", "hour").agg(F.sum("n").alias("session_count"))
+    before = Window.partitionBy("date", "hour").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    open_groups = (
+        groups.join(bounded(quotas(hours, total), total), ["date", "hour"])
+        .withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .where("ahead < quota")
+        .select("date", "hour", "prefix", "quota")
+    )
+    position = F.row_number().over(Window.partitionBy("date", "hour").orderBy("draw", "session_id"))
+    return (
+        slotted.join(bounded(open_groups, 2 * total), ["date", "hour", "prefix"])
+        .withColumn("position", position)
+        .where(F.col("position") <= F.col("quota"))
+        .select("date", "hour", "session_id", "start_time", "position")
     )
-    return drawn.drop("quota")
 
 
 def sample_actions(actions: DataFrame, sample: DataFrame, total: int) -> DataFrame:

@@ -28,6 +28,8 @@ SAMPLE_TOTAL, SAMPLE_SEED = 3000, 42
 # The tables are sparse: at two seconds or fifteen minutes no pattern would occur.
 PATTERN_LIMIT = 6 * 3600 * patterns.SECOND
 
+CITY_FILTER = TaskParams(cities=("NATION_3", "NATION_8", "NATION_21"), category_ids=("3", "11", "47"))
+
 FILTER = TaskParams(
     start_date="2024-01-03",
     end_date="2024-01-27",
@@ -79,6 +81,37 @@ def user_info(spark, sf_dir):
     return retail.users(spark, sf_dir)
 
 
+def session_city_category_filter(spark, sf_dir):
+    """Sessions by city and clicked category, the filters that `session_filter` leaves out."""
+    return _timed(_full(spark, sf_dir, CITY_FILTER))
+
+
+def session_unknown_users(spark, sf_dir):
+    """Sessions whose user has no attributes are in no report: here two thirds of the users are unknown."""
+    known = retail.users(_at_utc(spark), sf_dir).where(F.pmod("user_id", F.lit(3)) == 0)
+    return _timed(sessions.select_sessions(_actions(spark, sf_dir), known, TaskParams()))
+
+
+def url_traffic_top1(spark, sf_dir):
+    """The busiest of ten coarser urls in every window: nearly every window has more."""
+    requests = retail.requests(_events(spark, sf_dir)).where("method = 'GET'")
+    coarse = requests.withColumn("url", F.concat(F.lit("/g/"), F.substring("url", -1, 1)))
+    counts = traffic.sliding_counts(coarse, "url", 3_600_000, 600_000)
+    return traffic.rank_windows(counts, "url", 1)
+
+
+def format_doubles(spark, sf_dir):
+    """Half-up rounding of doubles: sixteenths, with exact ties, and thousandths beside the ties."""
+    e = _events(spark, sf_dir)
+    sixteenth = F.col("k") / 8 - F.col("user_id") / 16
+    thousandth = (F.col("k") * 10 + 4 + 2 * F.pmod("event_id", F.lit(2))) / 1000
+    return e.select(
+        "event_id",
+        numbers.format_double(sixteenth, 2).alias("sixteenth"),
+        numbers.format_double(thousandth, 2).alias("thousandth"),
+    )
+
+
 def product_info(spark, sf_dir):
     return retail.products(spark, sf_dir)
 
@@ -335,7 +368,7 @@ def _log_lines(spark, sf_dir):
 
 
 def _log_events(spark, sf_dir):
-    return applog.events(applog.parse(applog.clean(_log_lines(spark, sf_dir))))
+    return applog.events(applog.parse(applog.clean(_log_lines(spark, sf_dir)), applog.EVENT_COMMON))
 
 
 def app_log_clean(spark, sf_dir):
@@ -453,7 +486,8 @@ BATCH = [
     category_session_clicks, top10_session, top10_session_detail, hot_items_counts, hot_items_top3,
     hot_items_report, url_traffic_counts, url_traffic_top5, url_traffic_report, login_burst,
     login_strict_pair, order_timeout, app_log_clean, app_log_typed, app_log_typed_by_event,
-    app_log_common, app_log_events,
+    app_log_common, app_log_events, session_city_category_filter, session_unknown_users, url_traffic_top1,
+    format_doubles,
 ]
 
 

@@ -2,11 +2,47 @@
 
 from __future__ import annotations
 
-from clickloom import schemas
-from clickloom.operators import sessions, traffic
-from clickloom.plans.catalog import FILTER, PATTERN_LIMIT, SAMPLE_SEED, SAMPLE_TOTAL, TASK_ID
+from types import SimpleNamespace
+
 from clickloom.sources import retail
 
+# What is asked for and what is expected, written out here and not taken from the code that
+# these queries check. Only the sample log lines, which are input, come from there.
+TASK_ID, SAMPLE_TOTAL, SAMPLE_SEED = 1, 3000, 42
+PATTERN_LIMIT = 21_600_000_000
+
+FILTER = SimpleNamespace(
+    start_date="2024-01-03", end_date="2024-01-27", start_age=5, end_age=50, sex="male",
+    professionals=["BUILDING", "MACHINERY", "HOUSEHOLD"], keywords=["kw1", "kw3", "kw5", "kw7"],
+)
+
+VISIT_BUCKETS = {
+    "visit_length_1s_3s": (1, 3), "visit_length_4s_6s": (4, 6), "visit_length_7s_9s": (7, 9),
+    "visit_length_10s_30s": (10, 30), "visit_length_30s_60s": (31, 60), "visit_length_1m_3m": (61, 180),
+    "visit_length_3m_10m": (181, 600), "visit_length_10m_30m": (601, 1800), "visit_length_30m": (1801, None),
+}
+STEP_BUCKETS = {
+    "step_length_1_3": (1, 3), "step_length_4_6": (4, 6), "step_length_7_9": (7, 9),
+    "step_length_10_30": (10, 30), "step_length_30_60": (31, 60), "step_length_60": (61, None),
+}
+
+COMMON_FIELDS = "mid uid vc vn l sr os ar md ba sv g hw t nw ln la".split()
+# Fields of an event; numbers are marked, the others are text.
+EVENT_FIELDS = {
+    "start": "entry open_ad_type action loading_time detail extend1",
+    "display": "action newsid place extend1 category",
+    "newsdetail": "entry action newsid showtype news_staytime loading_time type1 category",
+    "loading": "action loading_time loading_way extend1 extend2 type type1",
+    "ad": "entry action content detail source behavior newstype show_style",
+    "notification": "action type ap_time content",
+    "active_foreground": "push_id access",
+    "active_background": "active_source",
+    "error": "errorBrief errorDetail",
+    "comment": "userid# comment_id# p_comment_id# content addtime other_id# praise_count# reply_count#",
+    "favorites": "id# course_id# userid# add_time",
+    "praise": "id# userid# target_id# type# add_time",
+}
+
 EVENTS = """ev as (select event_id, ts, user_id, event_type, epoch_us(ts) // 1000 as ms, epoch_us(ts) as us,
     cast(regexp_extract(props, '"k": *([0-9]+)', 1) as bigint) as k from events)"""
 
@@ -98,8 +134,8 @@ def _bucket(col: str, borders) -> str:
     return f"{col} >= {low}" if high is None else f"{col} between {low} and {high}"
 
 
-BUCKETS = [(n, _bucket("visit_length", b)) for n, b in sessions.VISIT_BUCKETS.items()] + [
-    (n, _bucket("step_length", b)) for n, b in sessions.STEP_BUCKETS.items()
+BUCKETS = [(n, _bucket("visit_length", b)) for n, b in VISIT_BUCKETS.items()] + [
+    (n, _bucket("step_length", b)) for n, b in STEP_BUCKETS.items()
 ]
 
 
@@ -127,20 +163,27 @@ def _sliding(key: str, source: str, length: int, slide: int) -> str:
 ITEMS = f"with {EVENTS}, " + _sliding(
     "item_id",
     "select k as item_id, ms from ev where event_type = 'view'",
-    traffic.ITEM_WINDOW,
-    traffic.ITEM_SLIDE,
-).format(n=traffic.ITEM_TOP)
+    3_600_000,
+    300_000,
+).format(n=3)
 
 URLS = f"with {EVENTS}, " + _sliding(
     "url",
     "select '/p/' || k as url, ms from ev where event_type in ('view', 'click')",
-    traffic.URL_WINDOW,
-    traffic.URL_SLIDE,
-).format(n=traffic.URL_TOP)
+    60_000,
+    5_000,
+).format(n=5)
+
+COARSE_URLS = f"with {EVENTS}, " + _sliding(
+    "url",
+    "select '/g/' || (k % 10) as url, ms from ev where event_type in ('view', 'click')",
+    3_600_000,
+    600_000,
+).format(n=1)
 
 
 def _report(base: str, key: str, labels, rulers) -> str:
-    return f"""{base} select window_end, '{rulers[0]}' || chr(10) || '{traffic.TIME_LABEL}'
+    return f"""{base} select window_end, '{rulers[0]}' || chr(10) || '时间: '
       || strftime(make_timestamp(window_end * 1000), '%Y-%m-%d %H:%M:%S') || '.0' || chr(10)
       || string_agg('No' || rank || ':{labels[0]}' || {key} || '{labels[1]}' || count, chr(10) order by rank)
       || chr(10) || '{rulers[1]}' || chr(10) || chr(10) as report from rnk group by window_end"""
@@ -154,7 +197,8 @@ def _closed(us: str, blocks_per_limit: int, blocks: int) -> str:
 
 IP = "'10.0.' || (user_id % 256) || '.' || (event_id % 256)"
 METHOD = "case when event_type in ('view', 'click') then 'GET' else 'POST' end"
-BEHAVIOR = "case event_type " + " ".join(f"when '{a}' then '{b}'" for a, b in retail.BEHAVIOR_OF.items()) + " end"
+BEHAVIOR = """case event_type when 'view' then 'pv' when 'click' then 'cart' when 'purchase' then 'buy'
+    when 'signup' then 'fav' when 'error' then 'err' end"""
 
 LOGINS = f"""log as (select user_id, {IP} as ip, case event_type when 'error' then 'fail' else 'success' end as kind,
     us, event_id as seq from ev where event_type in ('error', 'signup'))"""
@@ -182,7 +226,7 @@ LOG = f"""with {EVENTS}, raw as (select *, {retail.log_line_sql('ms', 'k', **ret
       and starts_with(trim(p[2], chr(9) || ' '), '{{') and ends_with(trim(p[2], chr(9) || ' '), '}}')),
     one as (select *, 0 as position, ms as event_time, event_id % 12 as en from ok
       union all select *, 1, ms + 1000, (event_id + 5) % 12 from ok where event_id % 2 = 0),
-    nam as (select *, list_extract([{_quoted(retail.EVENT_NAMES)}], cast(en + 1 as integer)) as event_name from one)"""
+    nam as (select *, list_extract([{_quoted(EVENT_FIELDS)}], cast(en + 1 as integer)) as event_name from one)"""
 
 
 def _common_field(i: int, name: str) -> str:
@@ -190,10 +234,15 @@ def _common_field(i: int, name: str) -> str:
     return f'{value} as "{name}"'
 
 
+def _fields(name: str) -> list[tuple[str, bool]]:
+    """(field, whether it is a number) of an event."""
+    return [(f.rstrip("#"), f.endswith("#")) for f in EVENT_FIELDS[name].split()]
+
+
 def _event_table(name: str) -> str:
     fields = ", ".join(
-        f'cast(k + {i} as {"varchar" if kind == "string" else "integer"}) as "{field}"'
-        for i, (field, kind) in enumerate(retail.event_fields(name))
+        f'cast(k + {i} as {"integer" if number else "varchar"}) as "{field}"'
+        for i, (field, number) in enumerate(_fields(name))
     )
     return f"""{LOG} select ms as log_time, cast(user_id as varchar) as uid, position, event_time, {fields}
       from nam where event_name = '{name}'"""
@@ -201,13 +250,13 @@ def _event_table(name: str) -> str:
 
 def _kv_text(name: str) -> str:
     parts = []
-    for i, (field, kind) in enumerate(retail.event_fields(name)):
-        quote = '"' if kind == "string" else ""
+    for i, (field, number) in enumerate(_fields(name)):
+        quote = "" if number else '"'
         parts.append(f"""'"{field}":{quote}' || (k + {i}) || '{quote}'""")
     return "'{' || " + " || ',' || ".join(parts) + " || '}'"
 
 
-KV = "case event_name " + " ".join(f"when '{n}' then {_kv_text(n)}" for n in retail.EVENT_NAMES) + " end"
+KV = "case event_name " + " ".join(f"when '{n}' then {_kv_text(n)}" for n in EVENT_FIELDS) + " end"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -285,10 +334,10 @@ def oracle_sql() -> dict[str, str]:
             'top' as source, {DETAIL} from act where session_id in (select session_id from tops)""",
         "hot_items_counts": f"{ITEMS} select * from num",
         "hot_items_top3": f"{ITEMS} select * from rnk",
-        "hot_items_report": _report(ITEMS, "item_id", traffic.ITEM_LABELS, traffic.ITEM_RULERS),
+        "hot_items_report": _report(ITEMS, "item_id", (" 商品ID=", " 浏览量="), ("=" * 40, "=" * 29)),
         "url_traffic_counts": f"{URLS} select * from num",
         "url_traffic_top5": f"{URLS} select * from rnk",
-        "url_traffic_report": _report(URLS, "url", traffic.URL_LABELS, traffic.URL_RULERS),
+        "url_traffic_report": _report(URLS, "url", ("  URL=", "  流量="), ("=" * 36, "=" * 36)),
         "login_burst": BURST,
         "login_strict_pair": PAIR,
         "order_timeout": ORDERS,
@@ -298,11 +347,21 @@ def oracle_sql() -> dict[str, str]:
         "app_log_typed_by_event": f"""{LOG} select value, case when event_id in (
             select event_id from nam where event_name = 'start') then 'start' else 'event' end as log_type from ok""",
         "app_log_common": f"""{LOG} select ms as log_time, 'shop' as ap,
-            {", ".join(_common_field(i, f) for i, f in enumerate(schemas.COMMON_FIELDS))},
+            {", ".join(_common_field(i, f) for i, f in enumerate(COMMON_FIELDS))},
             cast(case when event_id % 2 = 0 then 2 else 1 end as integer) as event_count from ok""",
         "app_log_events": f"""{LOG} select ms as log_time, 'shop' as ap, cast(user_id as varchar) as mid,
             cast(user_id as varchar) as uid, position, event_time, event_name, {KV} as kv from nam""",
     }
+    sql["session_city_category_filter"] = f"""with {ACTIONS}, {USERS},
+        {ROLLUP.format(hit="bool_or(coalesce(click_category_id in (3, 11, 47), false))", source="act")}, {FULL}
+        select {SESSION}, age, professional, city, sex from full_ses
+        where hit and city in ('NATION_3', 'NATION_8', 'NATION_21')"""
+    sql["session_unknown_users"] = f"""{BASE} select {SESSION}, age, professional, city, sex from full_ses
+        where user_id % 3 = 0"""
+    sql["url_traffic_top1"] = f"{COARSE_URLS} select * from rnk"
+    sql["format_doubles"] = f"""with {EVENTS}, q as (select event_id, k, 2 * k - user_id as n from ev)
+        select event_id, sign(n) * ((abs(n) * 200 + 16) // 32) / 100.0::double as sixteenth,
+        (k + event_id % 2) / 100.0::double as thousandth from q"""
     # Streams report what the watermark, the newest event less the allowed delay, has passed.
     # Every event that the stream carries moves it, counted or not.
     views = "(select max(ms) from ev)"
@@ -316,5 +375,5 @@ def oracle_sql() -> dict[str, str]:
     sql["order_timeout_stream"] = f"""select o.* from ({ORDERS}) o, (select max(epoch_us(ts) // 1000) * 1000 as mark
         from events where event_type in ('click', 'purchase')) where {_closed("us", 3, 4)} <= mark"""
     sql["app_log_routed_stream"] = sql["app_log_typed"]
-    sql |= {f"app_log_event_{name}": _event_table(name) for name in schemas.EVENT_FIELDS}
+    sql |= {f"app_log_event_{name}": _event_table(name) for name in EVENT_FIELDS}
     return sql

@@ -45,8 +45,9 @@ EVENT_FIELDS = {
     "praise": "id int, userid int, target_id int, type int, add_time string",
 }
 
-# `kv` stays text here: its shape depends on the event name.
-APP_LOG = (
-    f"cm struct<{', '.join(f'{name}: string' for name in COMMON_FIELDS)}>, "
-    "ap string, et array<struct<ett: string, en: string, kv: string>>"
-)
+
+def app_log(fields: list[str]) -> str:
+    """The body of a log line with these common fields. `kv` stays text here: its shape
+    depends on the event name."""
+    common = ", ".join(f"{name}: string" for name in fields)
+    return f"cm struct<{common}>, ap string, et array<struct<ett: string, en: string, kv: string>>"

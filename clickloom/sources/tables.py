@@ -16,8 +16,3 @@ def actions_between(actions: DataFrame, start: str | None = None, end: str | Non
     if end is not None:
         actions = actions.where(F.col("date") <= end)
     return actions
-
-
-def user_attributes(users: DataFrame) -> DataFrame:
-    """All users, with the columns the session reports use."""
-    return users.select("user_id", "age", "professional", "city", "sex")

@@ -1,13 +1,15 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.operators import applog
+from clickloom.plans import catalog
 from clickloom.sources import lines
 
-STAMP = "1577435668032"
+STAMP = "1600000000123"
 
 
 @pytest.mark.parametrize(
@@ -17,9 +19,9 @@ STAMP = "1577435668032"
         (STAMP + "| {} |z", True),
         (STAMP + '|{"a":1}||', True),
         (STAMP + "|\t{}\n", True),
-        ("157743566803|{}", False),
-        ("15774356680321|{}", False),
-        ("157743566803x|{}", False),
+        ("160000000012|{}", False),
+        ("16000000001234|{}", False),
+        ("160000000012x|{}", False),
         (STAMP + '|{"a":"x|y"}', False),
         (STAMP + "|", False),
         (STAMP + "||{}", False),
@@ -47,21 +49,21 @@ def test_log_type(spark):
 
 def test_line_to_tables(spark):
     et = [
-        {"ett": "1577380593757", "en": "loading", "kv": {"extend2": "", "action": "2", "type1": "542"}},
-        {"ett": "1577424497363", "en": "praise", "kv": {"target_id": 7, "id": 3, "type": 1, "userid": 0}},
+        {"ett": "1600000000001", "en": "loading", "kv": {"extend2": "", "action": "2", "type1": "88"}},
+        {"ett": "1600000000002", "en": "praise", "kv": {"target_id": 7, "id": 3, "type": 1, "userid": 0}},
         {"ett": "oops", "en": "unknown", "kv": {}},
     ]
-    line = STAMP + "|" + json.dumps({"cm": {"uid": "u393", "mid": "m834", "la": "27.0"}, "ap": "shop", "et": et})
+    line = STAMP + "|" + json.dumps({"cm": {"uid": "u7", "mid": "m9", "la": "1.5"}, "ap": "shop", "et": et})
     logs = applog.parse(spark.createDataFrame([(line,)], "value string"))
     assert logs.columns == ["log_time", "ap", *schemas.COMMON_FIELDS, "et"]
     events = applog.events(logs)
     assert [(r.position, r.event_name, r.uid) for r in events.collect()] == [
-        (0, "loading", "u393"),
-        (1, "praise", "u393"),
-        (2, "unknown", "u393"),
+        (0, "loading", "u7"),
+        (1, "praise", "u7"),
+        (2, "unknown", "u7"),
     ]
     (loading,) = applog.event_table(events, "loading").collect()
-    assert (loading.action, loading.extend2, loading.type, loading.type1) == ("2", "", None, "542")
+    assert (loading.action, loading.extend2, loading.type, loading.type1) == ("2", "", None, "88")
     (praise,) = applog.event_table(events, "praise").collect()
     assert (praise.id, praise.target_id, praise.add_time) == (3, 7, None)
     assert applog.event_table(events, "start").count() == 0
@@ -73,6 +75,27 @@ def test_every_event_has_a_table(spark):
         assert applog.event_table(events, name).count() == 0
 
 
+def test_only_asked_fields_are_parsed(spark):
+    """Two of seventeen common fields go into the events."""
+    lines = spark.createDataFrame([], "value string")
+    plan = applog.events(applog.parse(lines, applog.EVENT_COMMON))._jdf.queryExecution().optimizedPlan().toString()
+    (parsed,) = set(re.findall(r"StructField\(cm,StructType\((.*?)\),true\)", plan))
+    assert re.findall(r"StructField\((\w+),", parsed) == ["mid", "uid"]
+
+
+def test_event_tables_out_of_one_pass(spark, sf_dir, tmp_path):
+    lines = catalog._log_lines(spark, sf_dir)
+    applog.write_events(lines, str(tmp_path / "events"))
+    tables = applog.event_tables(spark, str(tmp_path / "events"))
+    assert set(tables) == set(schemas.EVENT_FIELDS)
+    for name in ("start", "comment"):
+        expected = applog.event_table(catalog._log_events(spark, sf_dir), name)
+        assert tables[name].columns == expected.columns
+        assert sorted(map(str, tables[name].collect())) == sorted(map(str, expected.collect()))
+        plan = tables[name]._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(event_name" in plan
+
+
 def test_behavior_lines(spark):
     rows = ["1,2,3,pv,1511658000", "1,2,3,pv,1511658000,more", "1,x,3,pv,1511658000", "1,2,3,pv", "", "1,2,3,pv,"]
     df = spark.createDataFrame([(r,) for r in rows], "value string")

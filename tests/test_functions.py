@@ -48,6 +48,13 @@ def test_get_field(spark, record, value):
     assert values(spark, [(record,)], "s string", text.get_field(F.col("s"), "b")) == [(value,)]
 
 
+def test_field_names_are_taken_as_they_are(spark):
+    record = [("axb=1|a.b=2|a.b=3",)]
+    assert values(spark, record, "s string", text.get_field(F.col("s"), "a.b")) == [("2",)]
+    nothing = text.set_field(F.col("s"), "a.b", F.lit(None))
+    assert values(spark, record, "s string", nothing) == [("axb=1|a.b=|a.b=3",)]
+
+
 @pytest.mark.parametrize(
     ("record", "updated"),
     [("a=1|b=2", "a=1|b=9"), ("a=1", "a=1"), ("b=1|b=2", "b=9|b=2"), ("b=|c=3", "b=9|c=3")],
