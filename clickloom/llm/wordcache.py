@@ -24,7 +24,7 @@ class WordCache(dict):
     """Looks a word up, or works its value out and keeps it. Long words are not kept, and
     a full cache is emptied, so memory stays bounded whatever the texts hold."""
 
-    def __init__(self, work: Callable, most: int = 400_000, longest: int = 48):
+    def __init__(self, work: Callable, most: int = 800_000, longest: int = 48):
         super().__init__()
         self.work, self.most, self.longest = work, most, longest
 
