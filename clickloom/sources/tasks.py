@@ -68,8 +68,9 @@ def tasks_over_jdbc(spark: SparkSession, url: str, task_id: int, table: str = "t
 
 
 def load_params(tasks: DataFrame, task_id: int) -> TaskParams | None:
-    """Parameters of one task, None if there is no such task. Fetches that one row."""
-    rows = tasks.where(F.col("task_id") == task_id).select("task_param").limit(1).collect()
+    """Parameters of one task, None if there is no such task. Fetches that one row; of
+    several the first by its text."""
+    rows = tasks.where(F.col("task_id") == task_id).select("task_param").orderBy("task_param").limit(1).collect()
     return TaskParams.from_json(rows[0][0]) if rows else None
 
 
