@@ -19,7 +19,8 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.store import saved
@@ -28,15 +29,19 @@ from clickloom.llm.store import saved
 TRAIN_ROWS = 40_000
 #: A term's documents must be toxic at this share (both classes taken as equally large),
 #: by more than chance (twice the log likelihood ratio), and it must stand behind so many
-#: different words: copies of one document repeat a word in one place. Terms beyond
-#: doubt come first; weaker evidence counts only in documents that hold none of those.
-LEAST_SHARE, EVIDENCE, LEAST_PLACES = 0.9, (100.0, 20.0), 4
+#: different words. Terms beyond doubt come first; weaker evidence counts only in
+#: documents that hold none of those.
+LEAST_SHARE, EVIDENCE, LEAST_PLACES = 0.9, (100.0, 30.0), 4
+#: Odd numbers; documents that share a least hash of their word triples under one of them
+#: are near copies, and one of them is evidence enough.
+MIXERS = (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: A word beginning is productive from so many different words on.
 LEAST_FORMS = 4
 STEM, LONGEST = 4, 24
 #: Words on either side of a hit that make its context.
 WINDOW = 5
-KNOWN_WORDS = 400_000
+#: Words whose hits a task remembers.
+KNOWN_WORDS = 100_000
 
 #: Words that report what others said, and quotation marks.
 REPORTING = frozenset(
@@ -257,15 +262,44 @@ def _logistic(rows: np.ndarray, labels: np.ndarray, ridge: float = 0.05) -> np.n
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, rows: int = TRAIN_ROWS
 ) -> DataFrame:
-    """(text, toxic) of about `rows` labelled documents, chosen by a hash of the id. An id
-    with several labels is toxic if one says so. Only the chosen ids are broadcast."""
+    """(id, text, toxic) of about `rows` labelled documents, chosen by a hash of the id. An
+    id with several labels is toxic if one says so. Only the chosen ids are broadcast."""
     known = labels.where(f"{label} in (0, 1) and {doc_id} is not null").groupBy(F.col(doc_id).alias("id")).agg(
         F.max(label).cast("int").alias("toxic")
     )
     keep = min(1.0, rows / max(1, known.count()))
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < int(keep * 1_000_003))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text is not null")
-    return texts.join(F.broadcast(chosen), "id").select("text", "toxic")
+    return texts.join(F.broadcast(chosen), "id").select("id", "text", "toxic")
+
+
+def _copy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, toxic, k0, k1, k2): the least hashes of each document's word triples."""
+    digest = xxhash.xxh64_intdigest
+    for batch in batches:
+        keys = np.zeros((batch.num_rows, len(MIXERS)), np.uint64)
+        for i, text in enumerate(batch.column(1)):
+            words = words_of(text.as_py())
+            triples = (" ".join(words[j : j + 3]) for j in range(max(1, len(words) - 2)))
+            hashes = np.fromiter((digest(t.encode("utf-8", "replace")) for t in triples), np.uint64)
+            for k, mixer in enumerate(MIXERS):
+                keys[i, k] = (hashes * np.uint64(mixer)).min()
+        columns = [pa.array(keys[:, k].view(np.int64)) for k in range(len(MIXERS))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(2), *columns], ["id", "toxic", *(f"k{k}" for k in range(len(MIXERS)))]
+        )
+
+
+def without_copies(sample: DataFrame) -> DataFrame:
+    """The sample with one of its near copies, so that a document copied many times is no
+    more evidence than others. Ids of a bounded sample are broadcast."""
+    names = [f"k{k}" for k in range(len(MIXERS))]
+    ids = sample.select(F.col("id").cast("long").alias("id"), "text", "toxic")
+    keys = ids.mapInArrow(_copy_keys, "id long, toxic int, " + ", ".join(f"{n} long" for n in names))
+    first = [F.min("id").over(Window.partitionBy("toxic", n)) == F.col("id") for n in names]
+    marked = keys.withColumns({f"first_{n}": f for n, f in zip(names, first, strict=True)})
+    kept = marked.where(" and ".join(f"first_{n}" for n in names)).select("id").distinct()
+    return sample.join(F.broadcast(kept), "id", "left_semi")
 
 
 def _terms(sample: DataFrame, model: Model, toxic_rows: int, clean_rows: int, evidence: float) -> tuple[list, list]:
@@ -304,7 +338,7 @@ def _term_rows(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.R
     counts: tuple[Counter, Counter] = (Counter(), Counter())
     before: Counter = Counter()
     for batch in batches:
-        for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+        for text, toxic in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
             words = words_of(text.as_py())
             unique = set(words)
             if (model.words or model.stems) and any(model.errors(w) == 0 for w in unique):
@@ -313,7 +347,7 @@ def _term_rows(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.R
             if toxic:
                 for last, word in zip(["", *words], words, strict=False):
                     before[word] |= 1 << zlib.crc32(last.encode("utf-8", "replace")) % 63
-            if len(counts[0]) + len(before) > 200_000:
+            if len(counts[0]) + len(before) > 100_000:
                 yield _term_batch(counts, before)
                 for seen in (*counts, before):
                     seen.clear()
@@ -363,6 +397,7 @@ def fit(
     examples the model finds nothing and scores every text alike, below a half.
     """
     sample = labelled_sample(docs, labels, doc_id, text, label, rows)
+    sample = saved(without_copies(sample), "labelled")
     totals = sample.groupBy("toxic").count().toPandas().set_index("toxic")["count"].to_dict()
     toxic_rows, clean_rows = totals.get(1, 0), totals.get(0, 0)
     model = Model([], [], np.array([-2.0, *np.zeros(len(FEATURES))]))
@@ -383,9 +418,9 @@ def _feature_rows(sample: DataFrame, model: Model) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array([shared.value.features(x.as_py()) for x in batch.column(0)]).reshape(-1, len(FEATURES))
+            rows = np.array([shared.value.features(x.as_py()) for x in batch.column(1)]).reshape(-1, len(FEATURES))
             columns = [pa.array(rows[:, i]) for i in range(len(FEATURES))]
-            yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.int32()), *columns], ["toxic", *FEATURES])
+            yield pa.RecordBatch.from_arrays([batch.column(2).cast(pa.int32()), *columns], ["toxic", *FEATURES])
 
     return sample.mapInArrow(work, "toxic int, " + ", ".join(f"{f} double" for f in FEATURES))
 
