@@ -15,6 +15,7 @@ No link is missed, and a verified link comes out of one table in one direction o
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import cache
 
@@ -30,6 +31,7 @@ from clickloom.llm.store import saved
 SEED = 42
 WORDS = 4
 MAX_BITS = 4
+PRINTS_A_TASK = 32_768
 #: (first bit, bits) of each segment.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 PAIRS = ((0, 1), (0, 2), (1, 2))
@@ -182,7 +184,9 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     in at most `max_bits` (0 to 4) bits, each pair once."""
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"max_bits must be from 0 to {MAX_BITS}")
-    prints = prints.select("print").distinct()
+    # A fingerprint becomes some 150 probes, so a task gets a bounded number of them.
+    tasks = max(1, math.ceil(prints.count() / PRINTS_A_TASK))
+    prints = prints.select("print").repartition(tasks, "print").distinct()
     homes = prints.mapInArrow(_home_rows, "key long, print long").withColumnRenamed("print", "a")
     probes = prints.mapInArrow(_probe_rows, "key long, print long").withColumnRenamed("print", "b")
     near = (
