@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.store import saved
@@ -296,10 +296,12 @@ def without_copies(sample: DataFrame) -> DataFrame:
     names = [f"k{k}" for k in range(len(MIXERS))]
     ids = sample.select(F.col("id").cast("long").alias("id"), "text", "toxic")
     keys = ids.mapInArrow(_copy_keys, "id long, toxic int, " + ", ".join(f"{n} long" for n in names))
-    first = [F.min("id").over(Window.partitionBy("toxic", n)) == F.col("id") for n in names]
-    marked = keys.withColumns({f"first_{n}": f for n, f in zip(names, first, strict=True)})
-    kept = marked.where(" and ".join(f"first_{n}" for n in names)).select("id").distinct()
-    return sample.join(F.broadcast(kept), "id", "left_semi")
+    keys = saved(keys, "copy-keys")
+    # The least id of every group, of all three kinds of groups.
+    kept, *others = [keys.groupBy("toxic", n).agg(F.min("id").alias("id")).select("id") for n in names]
+    for other in others:
+        kept = kept.join(other, "id")
+    return sample.join(F.broadcast(kept.distinct()), "id", "left_semi")
 
 
 def _terms(sample: DataFrame, model: Model, toxic_rows: int, clean_rows: int, evidence: float) -> tuple[list, list]:
