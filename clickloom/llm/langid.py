@@ -6,7 +6,9 @@ often the n-gram occurs in the languages on either side. Decoding adds up, for e
 language, the loss of its codeword against the predicted margins. Each bit's loss is
 weighted by how often that bit came out right for that language in training. The
 language with the smallest loss wins; a runner-up that is almost as near makes the text
-ambiguous.
+ambiguous. How near is measured on the mean margins of an n-gram, which do not grow with
+the text, and held against the rows that the language was learned from: a text half in
+another language, or in one that was not learned, has a far smaller lead than those.
 """
 
 from __future__ import annotations
@@ -27,6 +29,12 @@ BUCKETS = 1 << 16
 RELIABILITY_ROWS = 20_000
 #: A share of the two best languages' probability; a runner-up nearer than this is ambiguous.
 AMBIGUITY = 0.02
+#: So is a text whose lead an n-gram is below this share of the median of its language's
+#: labelled rows (a quarter of the text speaks for the runner-up), unless more than LOW of
+#: those rows have so small a lead.
+LEAST_LEAD, LOW = 0.5, 0.005
+#: Different n-grams that a text must have for its lead to say anything: about three words.
+LEAST_GRAMS = 32
 #: Bytes looked at in one step, so that a very long text needs no more memory.
 STEP = 1 << 18
 
@@ -76,27 +84,60 @@ class Model:
     codes: np.ndarray
     weights: np.ndarray
     reliability: np.ndarray
+    #: For each language, the least lead that is not ambiguous and the usual one.
+    leads: np.ndarray | None = None
 
-    def margins(self, text: str) -> np.ndarray:
-        """Mean log ratio an n-gram, for each bit, grown with the evidence there is."""
+    def _sums(self, text: str) -> tuple[np.ndarray, int]:
+        """Sum of the log ratios, for each bit, and the number of n-grams."""
         total, n = np.zeros(self.codes.shape[1]), 0
         for buckets in grams(text):
             total += np.take(self.weights, buckets, axis=0).sum(axis=0, dtype=np.float64)
             n += len(buckets)
+        return total, n
+
+    def margins(self, text: str) -> np.ndarray:
+        """Mean log ratio an n-gram, for each bit, grown with the evidence there is."""
+        total, n = self._sums(text)
         return total / max(1.0, np.sqrt(n))
 
+    def _losses(self, margins: np.ndarray) -> np.ndarray:
+        return (self.reliability * np.logaddexp(0, -self.codes * margins)).sum(axis=1)
+
+    def decode(self, text: str) -> tuple[int, np.ndarray, float]:
+        """The nearest language, the probabilities of all, and the lead over the runner-up:
+        the difference of their losses by the mean margins of an n-gram."""
+        total, n = self._sums(text)
+        loss = self._losses(total / max(1.0, np.sqrt(n)))
+        chance = np.exp(loss.min() - loss)
+        chance /= chance.sum()
+        best = int(chance.argmax())
+        loss = self._losses(total / max(1, n))
+        return best, chance, float(np.delete(loss, best).min() - loss[best])
+
     def predict(self, text: str | None) -> tuple[str, float, bool]:
-        """Language, probability and whether another language is almost as near."""
+        """Language, probability and whether another language is almost as near. An ambiguous
+        text's probability is at most the share of it that speaks for the language."""
         if not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, False
         if len(self.languages) == 1:
             return self.languages[0], 1.0, False
-        loss = (self.reliability * np.logaddexp(0, -self.codes * self.margins(text))).sum(axis=1)
-        chance = np.exp(loss.min() - loss)
-        chance /= chance.sum()
-        best = int(chance.argmax())
-        second = np.delete(chance, best).max()
-        return self.languages[best], float(chance[best]), bool((chance[best] - second) < AMBIGUITY * (chance[best] + second))
+        best, chance, lead = self.decode(text)
+        score, second = float(chance[best]), np.delete(chance, best).max()
+        if self.leads is not None and lead < self.leads[best, 0] and _many_grams(text):
+            share = (1 + max(0.0, lead) / max(1e-9, self.leads[best, 1])) / 2
+            return self.languages[best], min(score, float(share)), True
+        return self.languages[best], score, bool((score - second) < AMBIGUITY * (score + second))
+
+
+def _many_grams(text: str) -> bool:
+    """Whether the text has LEAST_GRAMS different n-grams."""
+    seen: set[int] = set()
+    for buckets in grams(text):
+        for at in range(0, len(buckets), 1024):
+            seen.update(np.unique(buckets[at : at + 1024]).tolist())
+            if len(seen) >= LEAST_GRAMS:
+                return True
+    return False
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +174,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
     Counts of n-grams cover every row; they are added up before they are shuffled and
     come to BUCKETS numbers a language. How reliable the bits are is measured on a sample
-    of about RELIABILITY_ROWS rows. No usable row gives a model that knows no language.
+    of about RELIABILITY_ROWS rows, the usual leads on every row. No usable row gives a
+    model that knows no language.
     """
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     rows = rows.where("lang is not null and text is not null")
@@ -152,6 +194,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     model = Model(languages, codes, weights, np.ones(codes.shape))
     if codes.shape[1]:
         model.reliability = _reliability(rows, model)
+        model.leads = _leads(rows, model)
     return model
 
 
@@ -185,6 +228,34 @@ def _reliability(rows: DataFrame, model: Model) -> np.ndarray:
     return accuracy / accuracy.sum(axis=1, keepdims=True) * width
 
 
+def _leads(rows: DataFrame, model: Model) -> np.ndarray:
+    """For each language, the least lead that is not ambiguous and the median, over all its
+    rows that are told right and have enough different n-grams."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = {lang: i for i, lang in enumerate(shared.value.languages)}
+        for batch in batches:
+            found = []
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text = text.as_py()
+                if lang in at and has_letter(text) and _many_grams(text):
+                    best, _, lead = shared.value.decode(text)
+                    if best == at[lang]:
+                        found.append((best, lead))
+            best, lead = zip(*found, strict=True) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(best, pa.int64()), pa.array(lead, pa.float64())], ["at", "lead"])
+
+    usual = rows.mapInArrow(work, "at long, lead double").groupBy("at").agg(
+        F.percentile_approx("lead", [LOW, 0.5], 10_000).alias("lead")
+    )
+    leads = np.zeros((len(model.languages), 2))
+    for row in usual.collect():
+        low, median = row["lead"]
+        leads[row["at"]] = min(low, LEAST_LEAD * median), median
+    return leads
+
+
 def identify(
     docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None
 ) -> DataFrame:
@@ -192,7 +263,8 @@ def identify(
 
     Texts that are null or have no letter are `und` with score 0. Whole texts count, in
     steps of bounded size. The same text always gets the same answer; equally near
-    languages go to the first by name and are ambiguous. Columns of `docs` that are named
+    languages go to the first by name and are ambiguous, and so are texts of which much is
+    in another language, or all in one that was not learned. Columns of `docs` that are named
     like a new column are replaced. An empty table stays empty.
     """
     new = ["lang_pred", "score", "ambiguous"]
@@ -213,7 +285,7 @@ def identify(
 
 def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`docs` without the rows whose language cannot be told: no letters, or two
-    languages equally near. Columns, order and repeats of the others stay as they are."""
+    languages almost equally near. Columns, order and repeats of the others stay as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 

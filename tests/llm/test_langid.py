@@ -74,3 +74,35 @@ def test_held_out(spark):
     rows = spark.range(200).withColumn("h", langid.held_out("id", 4, 2)).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in rows)
     assert spark.sql("select cast(null as long) id").select(langid.held_out("id", 4, 2)).first()[0] is False
+
+
+@pytest.fixture(scope="module")
+def larger(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rest = docs.where(langid.held_out("doc_id", 4, 2)).toPandas()
+    words = {lang: " ".join(texts["text"].dropna()).split() for lang, texts in rest.groupby("lang")}
+    return docs.where(~langid.held_out("doc_id", 4, 2)), rest, words
+
+
+def test_halves_of_two_languages_are_ambiguous_at_any_length(larger):
+    docs, rest, words = larger
+    model, draw = langid.fit(docs), np.random.default_rng(5)
+    for n in (10, 50, 200, 1000, 5000):
+        found = []
+        for _ in range(40):
+            halves = []
+            for lang in draw.choice(sorted(words), 2, replace=False):
+                at = draw.integers(max(1, len(words[lang]) - n))
+                halves += words[lang][at : at + n]
+            found.append(model.predict(" ".join(halves)))
+        assert np.mean([ambiguous for _, _, ambiguous in found]) >= (0.7 if n == 10 else 0.9), n
+        assert all(score <= 0.75 for _, score, ambiguous in found if ambiguous)
+    assert np.mean([model.predict(text)[2] for text in rest["text"]]) <= 0.02
+
+
+def test_a_language_that_was_not_learned_is_ambiguous(larger):
+    docs, rest, _ = larger
+    model = langid.fit(docs.where("lang <> 'de'"))
+    unknown = rest["lang"] == "de"
+    assert np.mean([model.predict(text)[2] for text in rest["text"][unknown]]) >= 0.9
+    assert np.mean([model.predict(text)[2] for text in rest["text"][~unknown]]) <= 0.03
