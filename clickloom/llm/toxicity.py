@@ -32,9 +32,12 @@ TRAIN_ROWS = 40_000
 #: different words. Terms beyond doubt come first; weaker evidence counts only in
 #: documents that hold none of those.
 LEAST_SHARE, EVIDENCE, LEAST_PLACES = 0.9, (100.0, 30.0), 4
-#: Odd numbers; documents that share a least hash of their word triples under one of them
-#: are near copies, and one of them is evidence enough.
-MIXERS = (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Documents that have this share of their five-word shingles in common are near copies, and
+#: one of them is evidence enough. Pairs to compare agree in a band of BAND least hashes.
+COPY, SHINGLE, BANDS, BAND = 0.8, 5, 16, 4
+#: Rounds of comparing, at most; a copy that none of them finds stays.
+COPY_ROUNDS = 6
+MIXERS = np.random.default_rng(11).integers(1 << 62, size=BANDS * BAND, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: A word beginning is productive from so many different words on.
 LEAST_FORMS = 4
 STEM, LONGEST = 4, 24
@@ -274,34 +277,58 @@ def labelled_sample(
 
 
 def _copy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, toxic, k0, k1, k2): the least hashes of each document's word triples."""
+    """(key, toxic, shingles, bands): the hashes of each document's different five-word
+    shingles (of all words, if there are fewer), and its bands of least hashes."""
     digest = xxhash.xxh64_intdigest
     for batch in batches:
-        keys = np.zeros((batch.num_rows, len(MIXERS)), np.uint64)
-        for i, text in enumerate(batch.column(1)):
+        sets, bands = [], []
+        for text in batch.column(2):
             words = words_of(text.as_py())
-            triples = (" ".join(words[j : j + 3]) for j in range(max(1, len(words) - 2)))
-            hashes = np.fromiter((digest(t.encode("utf-8", "replace")) for t in triples), np.uint64)
-            for k, mixer in enumerate(MIXERS):
-                keys[i, k] = (hashes * np.uint64(mixer)).min()
-        columns = [pa.array(keys[:, k].view(np.int64)) for k in range(len(MIXERS))]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), *columns], ["id", "toxic", *(f"k{k}" for k in range(len(MIXERS)))]
-        )
+            shingles = (" ".join(words[j : j + SHINGLE]) for j in range(max(1, len(words) - SHINGLE + 1)))
+            hashes = np.unique(np.fromiter((digest(t.encode("utf-8", "replace")) for t in shingles), np.uint64))
+            least = np.array([(hashes * mixer).min() for mixer in MIXERS]).reshape(BANDS, BAND)
+            sets.append(hashes.view(np.int64))
+            bands.append([digest(row.tobytes(), k) >> 1 for k, row in enumerate(least)])
+        kind = pa.list_(pa.int64())
+        columns = [batch.column(0), batch.column(1), pa.array(sets, kind), pa.array(bands, kind)]
+        yield pa.RecordBatch.from_arrays(columns, ["key", "toxic", "shingles", "bands"])
 
 
 def without_copies(sample: DataFrame) -> DataFrame:
     """The sample with one of its near copies, so that a document copied many times is no
-    more evidence than others. Ids of a bounded sample are broadcast."""
-    names = [f"k{k}" for k in range(len(MIXERS))]
-    ids = sample.select(F.col("id").cast("long").alias("id"), "text", "toxic")
-    keys = ids.mapInArrow(_copy_keys, "id long, toxic int, " + ", ".join(f"{n} long" for n in names))
-    keys = saved(keys, "copy-keys")
-    # The least id of every group, of all three kinds of groups.
-    kept, *others = [keys.groupBy("toxic", n).agg(F.min("id").alias("id")).select("id") for n in names]
-    for other in others:
-        kept = kept.join(other, "id")
-    return sample.join(F.broadcast(kept.distinct()), "id", "left_semi")
+    more evidence than others.
+
+    A row goes only if it shares COPY of its shingles with a row of the same label that
+    stays. In each round, the rows of a band are compared with one of them, by another
+    order each time; rounds end when one finds no copy. The work of a round grows with the
+    rows, however many copies there are. Keys and pairs of keys of a bounded sample are broadcast.
+    """
+    rows = sample.groupBy("toxic", "text").agg(F.min("id").alias("id"))
+    rows = saved(rows.select(F.xxhash64("id", "text").alias("key"), "id", "text", "toxic"), "copy-rows")
+    keyed = rows.select("key", "toxic", "text").mapInArrow(
+        _copy_keys, "key long, toxic int, shingles array<long>, bands array<long>"
+    )
+    keyed = saved(keyed, "copy-keys")
+    sets = keyed.select("key", "shingles")
+    banded = keyed.select("key", "toxic", F.explode("bands").alias("band"))
+    for order in range(COPY_ROUNDS):
+        first = F.min(F.struct(F.xxhash64("key", F.lit(order)), "key"))["key"].alias("leader")
+        leaders = banded.groupBy("toxic", "band").agg(first, F.count("*").alias("n")).where("n > 1").drop("n")
+        pairs = banded.join(F.broadcast(leaders), ["toxic", "band"]).where("key <> leader").select("key", "leader")
+        pairs = saved(pairs.distinct(), "copy-pairs")
+        # Only the shingles of rows in a pair are shuffled.
+        of_leader = sets.toDF("leader", "of_leader").join(F.broadcast(pairs.select("leader").distinct()), "leader", "left_semi")
+        common = F.size(F.array_intersect("shingles", "of_leader"))
+        alike = common / (F.size("shingles") + F.size("of_leader") - common) >= COPY
+        both = sets.join(F.broadcast(pairs), "key").join(of_leader, "leader")
+        found = saved(both.where(alike).select("key", "leader"), "copies")
+        # A leader that goes itself takes no row along.
+        going = found.select(F.col("key").alias("leader")).distinct()
+        gone = saved(found.join(F.broadcast(going), "leader", "left_anti").select("key").distinct(), "copies")
+        if gone.isEmpty():
+            break
+        rows, banded = (x.join(F.broadcast(gone), "key", "left_anti") for x in (rows, banded))
+    return rows.select("id", "text", "toxic")
 
 
 def _terms(sample: DataFrame, model: Model, toxic_rows: int, clean_rows: int, evidence: float) -> tuple[list, list]:

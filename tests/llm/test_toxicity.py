@@ -112,3 +112,21 @@ def test_accuracy_on_held_out_rows(spark):
     found = found[found["held_out"]]
     toxic = found[found["toxic"] == 1]
     assert (found["predicted"] == found["toxic"]).mean() > 0.97 and toxic["predicted"].mean() > 0.85
+
+
+def test_only_verified_copies_are_left_out(spark):
+    draw, lists, rows = random.Random(8), [words(i, 400, "abcdef").split() for i in range(3)], []
+    # Documents with a common passage, but hardly an eighth of their shingles in common.
+    for i in range(300):
+        rows.append((i, " ".join([*draw.choice(lists)[:40], *words(1000 + i, 300).split()]), i % 2))
+    rows += [(400 + i, " ".join([*lists[0], f"end{i}"]), 0) for i in range(50)]
+    rows += [(500 + i, " ".join(lists[0]).upper(), 0) for i in range(50)] + [(600, " ".join(lists[0]), 1), (600, "other text", 1)]
+    rows += [(700, "", 0), (701, "two words", 0), (702, "Two, words!", 0)]
+    sample = spark.createDataFrame(rows, "id long, text string, toxic int")
+    kept = toxicity.without_copies(sample)
+    assert kept.columns == ["id", "text", "toxic"]
+    got = kept.collect()
+    ids = sorted(r.id for r in got)
+    assert [i for i in ids if i < 300] == list(range(300))
+    assert sum(400 <= i < 600 for i in ids) == 1 and [i for i in ids if i in (600, 700)] == [600, 600, 700]
+    assert sum(i in (701, 702) for i in ids) == 1 and len({(r.id, r.text) for r in got}) == len(got)
