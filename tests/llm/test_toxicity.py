@@ -130,3 +130,9 @@ def test_only_verified_copies_are_left_out(spark):
     assert [i for i in ids if i < 300] == list(range(300))
     assert sum(400 <= i < 600 for i in ids) == 1 and [i for i in ids if i in (600, 700)] == [600, 600, 700]
     assert sum(i in (701, 702) for i in ids) == 1 and len({(r.id, r.text) for r in got}) == len(got)
+
+
+def test_six_toxic_documents_and_no_clean_one_are_evidence(spark):
+    counts = spark.createDataFrame([(6, 0), (4, 0), (4, 1)], "toxic long, clean long")
+    told = counts.select("*", toxicity._telling(342, 2703, min(toxicity.EVIDENCE)).alias("told")).collect()
+    assert [(r.toxic, r.clean) for r in told if r.told] == [(6, 0)]
