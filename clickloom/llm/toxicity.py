@@ -7,6 +7,9 @@ the sets of (trie node, errors so far) that a word can reach are kept as states
 automaton that is built as far as words need it. A window of words around each hit tells
 a quotation or a report from abuse and weighs the hit; a logistic model of the weighted
 hits gives the score.
+
+Words of every length are matched. Only words of at most LONGEST letters without a digit
+are learned, so scripts that do not separate words teach next to nothing.
 """
 
 from __future__ import annotations
@@ -188,13 +191,18 @@ class Model:
         self.__dict__.update(state)
 
     def errors(self, word: str) -> int | None:
+        """Words of every length are matched; long ones are not remembered. None has a term
+        of fewer than three letters."""
         known = self._known
         if word not in known:
             if self._matcher is None:
                 self._matcher = Matcher(self.words, self.stems)
+            found = self._matcher.errors(word) if len(word) >= 3 else None
+            if len(word) > 2 * LONGEST:
+                return found
             if len(known) >= KNOWN_WORDS:
                 known.clear()
-            known[word] = self._matcher.errors(word) if 3 <= len(word) <= 2 * LONGEST else None
+            known[word] = found
         return known[word]
 
     def hits(self, text: str) -> Iterator[tuple[str, int, int, int, float]]:

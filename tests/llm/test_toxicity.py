@@ -136,3 +136,9 @@ def test_six_toxic_documents_and_no_clean_one_are_evidence(spark):
     counts = spark.createDataFrame([(6, 0), (4, 0), (4, 1)], "toxic long, clean long")
     told = counts.select("*", toxicity._telling(342, 2703, min(toxicity.EVIDENCE)).alias("told")).collect()
     assert [(r.toxic, r.clean) for r in told if r.told] == [(6, 0)]
+
+
+def test_long_compounds_are_matched():
+    model = toxicity.Model(WORDS, STEMS)
+    assert [model.errors("lowei" + "x" * n) for n in (10, 43, 44, 100_000)] == [0] * 4
+    assert model.errors("q" * 100_000) is None and all(len(w) <= 48 for w in model._known)
