@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import ann, bpe, chat, langid, packing, simhash, topk, toxicity, urls, warc
+from clickloom.llm import ann, bpe, chat, langid, packing, simhash, topk, toxicity, urls, variants, warc
 from clickloom.llm.store import folder
 
 
@@ -122,6 +122,10 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, keep=["doc_id", "held_out"])
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(variants.word_counts(_table(spark, sf_dir, "documents"), spoil=199))
+
+
 OPERATORS = (
     op1_packing,
     op2_topk,
@@ -133,6 +137,7 @@ OPERATORS = (
     op8_url_filter,
     op9_chat,
     op10_langid,
+    op11_variants,
 )
 
 SQL = {

@@ -18,8 +18,8 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-def test_all_ten_are_there():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.queries()) == list(range(1, 11))
+def test_all_are_there():
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.queries()) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", queries.SQL)
