@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import ann, bpe, chat, langid, packing, simhash, topk, toxicity, urls, variants, warc
+from clickloom.llm import ann, bpe, chat, langid, packing, ranked, simhash, topk, toxicity, urls, variants, warc
 from clickloom.llm.store import folder
 
 
@@ -126,6 +126,10 @@ def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group(variants.word_counts(_table(spark, sf_dir, "documents"), spoil=199))
 
 
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 10)
+
+
 OPERATORS = (
     op1_packing,
     op2_topk,
@@ -138,6 +142,7 @@ OPERATORS = (
     op9_chat,
     op10_langid,
     op11_variants,
+    op12_ranked,
 )
 
 SQL = {
@@ -203,6 +208,38 @@ SQL = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op12_ranked": r"""
+        WITH t AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+        ), d AS (
+            SELECT row_number() OVER () AS row, doc_id, terms, len(terms)::BIGINT AS n FROM t WHERE len(terms) > 0
+        ), total AS (
+            SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM d
+        ), asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark WHERE item_id IS NOT NULL
+        ), held AS (
+            SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(terms) AS term FROM d)
+            WHERE term IN (SELECT term FROM asked) GROUP BY row, term
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM held, total GROUP BY term, docs
+        ), scored AS (
+            SELECT item_id, row, any_value(doc_id) AS doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total.terms))))::BIGINT AS score
+            FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN d USING (row), total
+            GROUP BY item_id, row
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
 }
 
 
