@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import ann, bpe, chat, langid, packing, ranked, simhash, topk, toxicity, urls, variants, warc
+from clickloom.llm import ann, bpe, chat, langid, lines, packing, ranked, simhash, topk, toxicity, urls, variants, warc
 from clickloom.llm.store import folder
 
 
@@ -130,6 +130,12 @@ def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 10)
 
 
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    index = lines.LineIndex.create(spark, folder(spark, "line-index")).insert(docs, increments=2)
+    return index.kept(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 OPERATORS = (
     op1_packing,
     op2_topk,
@@ -143,6 +149,7 @@ OPERATORS = (
     op10_langid,
     op11_variants,
     op12_ranked,
+    op13_lines,
 )
 
 SQL = {
@@ -240,6 +247,23 @@ SQL = {
         )
         SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
     """,
+    "op13_lines": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+        ), l AS (
+            SELECT row, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM d
+        ), k AS (
+            SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+        ), shared AS (
+            SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING min(doc_id) <> max(doc_id)
+        ), told AS (
+            SELECT k.*, coalesce(doc_id <> first, false) AS dropped FROM k LEFT JOIN shared USING (key)
+        )
+        SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+        FROM told GROUP BY row
+    """,
 }
 
 

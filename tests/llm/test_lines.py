@@ -1,0 +1,161 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from llm.cases import LONG, documents
+
+from clickloom.llm import lines
+from clickloom.llm.lines import CuckooFilter, LineIndex
+
+BLANK = " \t\n\x0b\x0c\r"
+
+
+def plain_key(line):
+    return "".join(c.lower() if c.isascii() else c for c in line.strip(BLANK))
+
+
+def plain(rows, among=None, length=10):
+    """(id, kept, lines, dropped) of each row, for an index of the rows `among`."""
+    holders = {}
+    for i, text in rows if among is None else among:
+        for line in (text or "").split("\n") if i is not None else ():
+            if len(plain_key(line)) >= length:
+                holders.setdefault(plain_key(line), set()).add(i)
+    inside = {i for i, _ in (rows if among is None else among)}
+    out = []
+    for i, text in rows:
+        every = (text or "").split("\n")
+        stay = [x for x in every if i not in inside or i is None or len(plain_key(x)) < length or min(holders[plain_key(x)]) == i or i not in holders[plain_key(x)]]
+        out.append((i, "\n".join(stay), len(every), len(every) - len(stay)))
+    return Counter(out)
+
+
+def told(index, docs):
+    return Counter(tuple(r) for r in index.kept(docs).collect())
+
+
+def state(index):
+    """What an index says: its counts, its postings, what its filters hold."""
+    return (
+        {(bytes(r.key), r.rows, r.first, r.last) for r in index.counts().collect()},
+        Counter((r.doc_id, bytes(r.key)) for r in index.postings().collect()),
+        sum(int((np.frombuffer(r.places, "<u2") > 0).sum()) for r in index._filters().collect()),
+    )
+
+
+def corpus(seed, n, first=0):
+    draw = random.Random(seed)
+    pool = [f"line {i} " + "x" * (i % 9) for i in range(40)] + ["short", "", "  PADDED line\t", "padded LINE", "Élan vital ici", "élan vital ici"]
+    return [(first + i, "\n".join(draw.choices(pool, k=draw.randint(0, 9)))) for i in range(n)]
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path / "index")
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 400), st.sampled_from([1, 4, 64]))
+def test_filter_never_misses_and_forgets(seed, n, buckets):
+    draw = np.random.default_rng(seed)
+    keys = np.unique(draw.integers(0, 1 << 63, (n, 2), dtype=np.uint64), axis=0)
+    keys[: n // 2, 1] %= 7  # marks that many keys share
+    keys = np.unique(keys, axis=0)
+    known = CuckooFilter(buckets)
+    half = len(keys) // 2
+    known.put(keys[:half])
+    known.put(keys[half:])
+    assert known.has(keys).all()
+    again = CuckooFilter(buckets, known.rows())
+    again.take(keys[::2])
+    assert again.has(keys[1::2]).all()
+    again.take(keys[1::2])
+    assert not again.has(keys).any() and sum(int(s.sum()) for s in again.segments) == 0
+
+
+def test_filter_is_filled_well_and_rarely_wrong():
+    keys = np.random.default_rng(1).integers(0, 1 << 63, (lines.SHARD_LINES, 2), dtype=np.uint64)
+    known = CuckooFilter()
+    known.put(keys)
+    assert len(known.segments) == 1 and known.has(keys).all()
+    assert known.has(np.random.default_rng(2).integers(0, 1 << 63, (100_000, 2), dtype=np.uint64)).mean() < 0.001
+    with pytest.raises(ValueError):
+        CuckooFilter(4).take(keys[:1])
+    with pytest.raises(ValueError):
+        CuckooFilter(3)
+
+
+@pytest.mark.parametrize("increments", [1, 3])
+def test_kept_by_brute_force(spark, root, increments):
+    rows = corpus(increments, 120)
+    rows += [(7, "line 1 x\nonly here in seven"), rows[3], (None, "line 1 x\nline 2 xx"), (500, None), (501, ""), (502, "\n\n"), (503, "\n".join(["same line twice"] * 2))]
+    rows += [(504, LONG + "\nline 3 xxx\n" + LONG), (505, "é" * 100_000), (-4, "line 4 xxxx")]
+    docs = documents(spark, rows).withColumn("key", lines.F.lit(b"x")).withColumn("first", lines.F.lit(1))
+    index = LineIndex.create(spark, root).insert(docs, increments=increments)
+    want = plain(rows)
+    assert told(index, docs) == want
+    assert sum(r[3] for r in want) > 100
+
+
+def test_deleting_undoes_inserting(spark, root, tmp_path):
+    """After every change the index says the same as one built anew from what is in."""
+    a, b, c = corpus(1, 40), corpus(2, 40, 40), corpus(3, 20, 80)
+    now = {i: t for i, t in a + b}
+    index = LineIndex.create(spark, root, shards=3, buckets=16).insert(documents(spark, a)).insert(documents(spark, b))
+
+    def built(step):
+        fresh = LineIndex.create(spark, str(tmp_path / f"fresh{step}"), shards=3, buckets=16)
+        return fresh.insert(documents(spark, sorted(now.items())))
+
+    assert state(index) == state(built(0))
+    gone = [0, 1, 2, 5, 41, 60, 79, 12345, None]
+    index = index.delete(spark.createDataFrame([(i,) for i in gone], "doc_id long"))
+    now = {i: t for i, t in now.items() if i not in gone}
+    assert state(index) == state(built(1))
+    index = index.insert(documents(spark, c + [(5, a[5][1])]))
+    now |= dict(c + [a[5]])
+    assert state(index) == state(built(2))
+    left = sorted(now.items())
+    assert told(LineIndex.open(spark, root), documents(spark, left)) == plain(left)
+    index = index.delete(documents(spark, left))
+    assert state(index) == (set(), Counter(), 0)
+
+
+def test_the_version_before_is_there_until_the_commit(spark, root, monkeypatch):
+    index = LineIndex.create(spark, root).insert(documents(spark, corpus(1, 20)))
+    before = state(index)
+    more = documents(spark, corpus(2, 20, 20))
+
+    def dies(self):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(LineIndex, "_commit", dies)
+        with pytest.raises(RuntimeError):
+            index.insert(more)
+    assert state(LineIndex.open(spark, root)) == before
+    after = LineIndex.open(spark, root).insert(more)
+    assert state(index) == before and state(LineIndex.open(spark, root)) == state(after) != before
+
+
+def test_only_lines_that_may_be_known_are_looked_up(spark, root):
+    index = LineIndex.create(spark, root).insert(documents(spark, [(i, f"this is line {i}") for i in range(500)]))
+    asked = lines.postings(documents(spark, [(i, f"this is line {i}") for i in range(450, 2000)])).select("key")
+    assert 50 <= index.seen(asked).count() < 60
+
+
+def test_no_rows(spark, root):
+    docs = documents(spark, [(1, "a line of text")])
+    index = LineIndex.create(spark, root)
+    assert told(index, docs) == plain([(1, "a line of text")])
+    index = index.insert(docs.where("false")).delete(docs)
+    assert state(index) == (set(), Counter(), 0) and index.kept(docs.where("false")).count() == 0
+    assert told(index.insert(docs), docs) == plain([(1, "a line of text")])
+
+
+def test_texts_that_are_not_in_the_index_stay(spark, root):
+    index = LineIndex.create(spark, root).insert(documents(spark, corpus(1, 20)))
+    other = [(100 + i, t) for i, t in corpus(1, 20)]
+    assert all(r.n_dropped == 0 for r in index.kept(documents(spark, other)).collect())
