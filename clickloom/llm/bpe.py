@@ -149,13 +149,10 @@ class Vocabulary:
         return ids
 
 
-#: Fixed value: how the vocabulary's texts are cut into words.
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-
-
 @cache
 def _latin() -> re.Pattern:
-    """The same cut as WORDS, for Latin texts; to normalise those is to lower-case them."""
+    """How the tokenizer file cuts Latin texts into words (fixed value); to normalise those
+    is to lower-case them."""
     letters, numbers = char_ranges("L", LATIN), char_ranges("N", LATIN)
     return re.compile(
         f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{BLANKS}{letters}{numbers}]+"
@@ -169,7 +166,9 @@ class Coder:
         from tokenizers import Tokenizer
 
         self.vocabulary = Vocabulary(path)
-        self.normal = Tokenizer.from_file(path).normalizer
+        tokenizer = Tokenizer.from_file(path)
+        self.normal, self.cut = tokenizer.normalizer, tokenizer.pre_tokenizer
+        self.byte_of = {letter: byte for byte, letter in self.vocabulary.of_byte.items()}
         self.ids_of = WordCache(self._ids)
         self.text_of = WordCache(lambda word: self.decode(np.frombuffer(self.ids_of[word], "<u4").tolist()))
         self.special = self.vocabulary.special
@@ -188,10 +187,13 @@ class Coder:
         return " ".join([strings[i] for i in ids])
 
     def _cut(self, text: str) -> list[str]:
-        """The words of a text without special tokens."""
+        """The words of a text without special tokens. Other than Latin texts are cut by the
+        tokenizer file itself, since which characters are letters differs by the Unicode
+        version; it gives the letters that stand for a word's bytes."""
         if LATIN_TEXT.fullmatch(text) and LATIN_TEXT.fullmatch(lowered := text.lower()):
             return _latin().findall(lowered)
-        return WORDS.findall(self.normal.normalize_str(text))
+        found = self.cut.pre_tokenize_str(self.normal.normalize_str(text))
+        return [bytes(map(self.byte_of.__getitem__, word)).decode() for word, _ in found]
 
     def code(self, text: str | None) -> tuple[bytes, str]:
         """Ids of a text as little-endian unsigned 32-bit numbers, and their decoding."""

@@ -39,6 +39,13 @@ def test_odd_texts(text):
     same(text)
 
 
+def test_every_code_point():
+    """Each one after a sign and beside a letter, where its class shows."""
+    known = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(known), 4000):
+        same("".join([f":{chr(c)} a{chr(c)} " for c in known[at : at + 4000]]))
+
+
 def test_pairs_are_judged_as_merging_would():
     vocabulary = CODER.vocabulary
     draw = np.random.default_rng(5)
