@@ -5,11 +5,15 @@ length. A tile of int8 products gives the distances of the rounded vectors, and
 triangle inequality the true distance lies within the sum of the two rounding errors.
 Candidates whose least possible distance exceeds the k-th smallest greatest possible one
 are dropped; the others are computed from the original vectors in double precision and
-merged. Nothing that could be among the nearest is dropped, so the result is exact.
+merged, tile by tile, into the heap of the query's k nearest so far, whose farthest is the
+limit for the next tile. Nothing that could be among the nearest is dropped, so the
+result is exact.
 """
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 from pyspark.sql import DataFrame
 
@@ -44,11 +48,8 @@ def _cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors:
     for first in range(0, len(queries), QUERIES):
         rows = slice(first, first + QUERIES)
         count = len(query_ids[rows])
-        # Least and greatest possible distances of the best candidates so far.
-        kept = [np.zeros(0, int)] * count
-        least = [np.zeros(0)] * count
-        limit = np.full(count, np.inf)
-        most = [np.zeros(0)] * count
+        # The k nearest so far of each query, the farthest first: (-distance, -id, place).
+        heaps: list[list[tuple]] = [[] for _ in range(count)]
         for start in range(0, len(vectors), TILE):
             tile = slice(start, start + TILE)
             # Sums of up to 1,000 int8 products are exact in float32.
@@ -58,32 +59,27 @@ def _cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors:
             middle = np.sqrt(np.maximum(squares, 0))
             room = q_lost[rows, None] + lost[None, tile] + 1e-7 * np.sqrt(q_lengths[rows, None] + lengths[None, tile])
             lower, upper = middle - room, middle + room
-            lower[query_ids[rows, None] == ids[None, tile]] = np.inf
-            upper[query_ids[rows, None] == ids[None, tile]] = np.inf
-            for row in range(count):
-                near = np.flatnonzero(lower[row] <= limit[row])
-                near = near[np.isfinite(lower[row, near])]
+            own = query_ids[rows, None] == ids[None, tile]
+            lower[own] = upper[own] = np.inf
+            for row, heap in enumerate(heaps):
+                limit = -heap[0][0] if len(heap) == k else np.inf
+                near = np.flatnonzero((lower[row] <= limit) & ~own[row])
+                if len(near) > k:
+                    near = near[lower[row, near] <= np.partition(upper[row, near], k - 1)[k - 1]]
                 if not len(near):
                     continue
-                kept[row] = np.concatenate([kept[row], near + start])
-                least[row] = np.concatenate([least[row], lower[row, near]])
-                most[row] = np.concatenate([most[row], upper[row, near]])
-                if len(most[row]) > k:
-                    most[row] = np.partition(most[row], k - 1)[:k]
-                if len(most[row]) == k:
-                    limit[row] = most[row].max()
-                    stay = least[row] <= limit[row]
-                    kept[row], least[row] = kept[row][stay], least[row][stay]
-        for row in range(count):
-            if len(kept[row]):
-                exact = _distance(queries[first + row], vectors[kept[row]])
-                order = blocks.smallest(exact, ids[kept[row]], k)
-                at.append(np.full(len(order), first + row))
-                to.append(kept[row][order])
-                scores.append(exact[order])
-    if not at:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    return np.concatenate(at), np.concatenate(to), np.concatenate(scores)
+                exact = _distance(queries[first + row], vectors[near + start])
+                for place in blocks.smallest(exact, ids[near + start], k).tolist():
+                    found = (-float(exact[place]), -int(ids[near[place] + start]), int(near[place]) + start)
+                    if len(heap) < k:
+                        heapq.heappush(heap, found)
+                    elif found[:2] > heap[0][:2]:
+                        heapq.heapreplace(heap, found)
+        for row, heap in enumerate(heaps):
+            at += [first + row] * len(heap)
+            to += [place for _, _, place in heap]
+            scores += [-far for far, _, _ in heap]
+    return np.array(at, int), np.array(to, int), np.array(scores, float)
 
 
 def search(
@@ -100,8 +96,8 @@ def search(
     fewer; ties go to the smaller vec_id.
 
     Rows without an id, and vectors that are null, empty, zero or hold null or non-finite
-    components take no part. Only vectors of one length are compared. Of rows that repeat
-    an id, the smallest vector counts. Other columns are ignored.
+    components take no part. Only vectors of one length are compared. Rows that repeat an id are
+    candidates each; queries of one id are answered as one, with the best of all. Other columns are ignored.
     """
     rows = blocks.usable(embeddings, vec_id, vector, zero=False)
     wanted = blocks.usable(queries, vec_id, vector, zero=False)

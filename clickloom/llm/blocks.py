@@ -35,18 +35,12 @@ def usable(rows: DataFrame, vec_id: str, vector: str, zero: bool) -> DataFrame:
 
 
 def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors of one side of a cell in the order of ids; of rows that repeat an
-    id, the one with the smallest vector."""
+    """Ids and vectors of one side of a cell in the order of ids."""
     ids = table["vec_id"].to_numpy()
     flat = table["vector"].combine_chunks()
     vectors = flat.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
     order = np.argsort(ids, kind="stable")
-    ids, vectors = ids[order], vectors[order]
-    for i in np.flatnonzero(ids[1:] == ids[:-1]):
-        if tuple(vectors[i]) < tuple(vectors[i + 1]):
-            vectors[i + 1] = vectors[i]
-    last = np.append(ids[1:] != ids[:-1], True) if len(ids) else np.zeros(0, bool)
-    return ids[last], vectors[last]
+    return ids[order], vectors[order]
 
 
 def best(
@@ -64,7 +58,8 @@ def best(
     `rows` and `queries` have vec_id, dim and vector; only vectors of one length meet.
     `cell(query ids, queries, ids, vectors, k)` gives positions of queries, positions of
     candidates and scores: of each query the k best of the cell at least, without rows of
-    the query's own id. Ties go to the smaller vec_id.
+    the query's own id. Ties go to the smaller vec_id. Every row is a candidate of its own,
+    also if it repeats an id; of queries of one id the best of all count.
     """
     parts = max(1, math.ceil(rows.count() / part))
     stripes = max(1, math.ceil(queries.count() / stripe))

@@ -95,8 +95,8 @@ def search(
     own id, all if there are fewer; exact, ties to the smaller vec_id.
 
     Rows without an id, and vectors that are null, empty or hold null or non-finite
-    components take no part. Only vectors of one length are compared. Of rows that repeat
-    an id, the smallest vector counts. Other columns are ignored. Products are exact as
+    components take no part. Only vectors of one length are compared. Rows that repeat an id are
+    candidates each; queries of one id are answered as one, with the best of all. Other columns are ignored. Products are exact as
     long as they stay below 2^53.
     """
 

@@ -2,10 +2,12 @@
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
+from compare import difference
 
-from clickloom.llm import ann, topk
+from clickloom.llm import ann, queries, topk
 
 SCHEMA = "vec_id long, embedding array<float>, label int, score string, rank int"
 
@@ -78,12 +80,20 @@ def test_nearest_of_tiny_and_huge_vectors(spark):
     assert {tuple(r) for r in found.collect()} == brute(rows, 10, 10, distance, zero=False)
 
 
-@pytest.mark.parametrize("search", [topk.search, ann.search])
-def test_repeated_ids_and_few_rows(spark, search):
-    e = table(spark, [(0, [1.0, 2.0]), (0, [3.0, 1.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0])])
-    found = search(e, e.where("vec_id = 0"), 5).collect()
-    assert [(r.query_id, r.rank, r.vec_id) for r in found] == [(0, 1, 1)]
-    assert found[0].score == (512 * 256 + 256 * 256 if search is topk.search else 1.0)
+REPEATED = [(0, [1.0, 2.0]), (0, [3.0, 1.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (1, [2.0, 5.0]), (2, [0.5, 1.0])]
+
+
+@pytest.mark.parametrize("name, search, every, k", [("op2_topk", topk.search, 50, 5), ("op7_ann", ann.search, 100, 10)])
+@pytest.mark.parametrize("rows", [REPEATED, REPEATED * 3, vectors(150, 4) + vectors(220, 4, 9)])
+def test_repeated_ids_as_in_sql(spark, tmp_path, name, search, every, k, rows):
+    """Every row but those of the query's own id is a candidate."""
+    path = str(tmp_path / "embeddings.parquet")
+    table(spark, rows).coalesce(1).write.parquet(path)
+    e = spark.read.parquet(path)
+    found = search(e, e.where(f"vec_id % {every} = 0"), k, part=40, stripe=3)
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{path}/*.parquet'")
+    assert difference(found, con, queries.SQL[name]) is None
 
 
 @pytest.mark.parametrize("search", [topk.search, ann.search])
