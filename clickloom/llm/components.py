@@ -31,12 +31,12 @@ def _state(links: DataFrame) -> tuple:
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root): the smallest node that each linked node can reach.
 
-    Nodes are long. Links with a null end and from a node to itself tie nothing and are
+    Nodes are numbers, or structs of numbers. Links with a null end and from a node to itself tie nothing and are
     left out; repeated and reversed links count once. A node without links has no row.
     Every round at least halves the longest chain and writes its links to the shared
     folder; only two numbers a round reach the driver.
     """
-    ends = links.select(F.col(a).cast("long").alias("x"), F.col(b).cast("long").alias("y"))
+    ends = links.select(F.col(a).alias("x"), F.col(b).alias("y"))
     now = saved(
         ends.where("x <> y")
         .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))

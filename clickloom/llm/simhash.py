@@ -199,18 +199,44 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS) -> DataFrame:
-    """(doc_id, print): a row for each row of `docs`; `print` is the fingerprint as a long."""
+    """(doc_id, print, digest): a row for each row of `docs`; `print` is the fingerprint as a
+    long, `digest` tells different texts apart."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
             prints = np.fromiter((fingerprint(x.as_py(), words) for x in texts), np.uint64, len(texts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "print"]
+                [batch.column(0), pa.array(prints.view(np.int64)), batch.column(2)], ["doc_id", "print", "digest"]
             )
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(work, "doc_id long, print long")
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"), _digest(text).alias("digest")
+    )
+    return rows.mapInArrow(work, "doc_id long, print long, digest binary")
+
+
+def _digest(text: str) -> Column:
+    """Of the whole text; empty for null."""
+    return F.coalesce(F.substring(F.unhex(F.sha2(F.col(text).cast("binary"), 256)), 1, 16), F.lit(b""))
+
+
+def _classes(docs: DataFrame, text: str, doc_id: str, words: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints, and of each different one `node` (the smallest id and the
+    fingerprint), that id's smallest digest, and `root`, the smallest node it reaches.
+    Fingerprints are the nodes, so one id on different texts ties nothing."""
+    prints = saved(fingerprints(docs, text, doc_id, words), "prints")
+    heads = prints.where("doc_id is not null").groupBy("print").agg(F.min(F.struct("doc_id", "digest")).alias("head"))
+    classes = saved(heads.select("print", F.struct("head.doc_id", "print").alias("node"), "head.digest"), "classes")
+    node = classes.select("print", "node")
+    tied = (
+        links(classes, max_bits)
+        .join(node.toDF("a", "x"), "a")
+        .join(node.toDF("b", "y"), "b")
+    )
+    roots = components(tied, "x", "y")
+    rooted = classes.join(roots, "node", "left").select("print", "node", "digest", F.coalesce("root", "node").alias("root"))
+    return prints, rooted
 
 
 def near_duplicates(
@@ -222,29 +248,28 @@ def near_duplicates(
     Words are cut at ASCII white space after lower-casing A-Z; a shingle is `words` of
     them, counted as often as it occurs. Fewer words make one shingle; no words (null,
     empty or blank text) make fingerprint zero, linked like any other. Repeated rows give
-    repeated rows. Rows without an id give their fingerprint and a null component, and tie
-    nothing. Other columns are ignored. An empty table gives an empty result.
+    repeated rows; rows of one id with different texts are judged each by its own. Rows
+    without an id give their fingerprint and a null component, and tie nothing. Other
+    columns are ignored. An empty table gives an empty result.
 
     Copies share a fingerprint and are joined as one before any link is looked for, so
     the work grows with the distinct fingerprints.
     """
-    prints = saved(fingerprints(docs, text, doc_id, words), "prints")
-    classes = saved(prints.where("doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("least")), "classes")
-    roots = components(links(classes, max_bits), "a", "b")
-    tied = classes.join(roots, classes["print"] == roots["node"], "left").select(
-        "print", "least", F.coalesce("root", "print").alias("root")
-    )
-    ids = tied.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = tied.join(ids, "root").select("print", "component_id")
+    prints, classes = _classes(docs, text, doc_id, words, max_bits)
+    of_print = saved(classes.select("print", F.col("root.doc_id").alias("component_id")), "of-print")
     return prints.join(of_print, "print", "left").select(
         "doc_id", "print", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     )
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", **settings) -> DataFrame:
-    """`docs` with one document of each component, that with the smallest id. Repeated
-    rows of one id count as copies: one of them stays. Rows without an id stay."""
-    found = near_duplicates(docs, doc_id=doc_id, **settings)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    named = docs.join(kept, doc_id, "left_semi").dropDuplicates([doc_id])
-    return named.unionByName(docs.where(F.col(doc_id).isNull()))
+def one_of_each(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, max_bits: int = MAX_BITS
+) -> DataFrame:
+    """`docs` with one row of each component, the first by id, fingerprint and text. So rows
+    of one id with different texts go or stay each for itself. Of rows that are equal in id
+    and text one stays. Rows without an id stay."""
+    _, classes = _classes(docs, text, doc_id, words, max_bits)
+    first = classes.where("node = root").select(F.col("node.doc_id").alias("__id"), F.col("digest").alias("__digest"))
+    named = docs.where(F.col(doc_id).isNotNull()).withColumns({"__id": F.col(doc_id).cast("long"), "__digest": _digest(text)})
+    kept = named.join(first, ["__id", "__digest"], "left_semi").dropDuplicates(["__id", "__digest"])
+    return kept.select(*docs.columns).unionByName(docs.where(F.col(doc_id).isNull()))

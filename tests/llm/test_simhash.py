@@ -110,6 +110,23 @@ def test_one_of_each_stays(spark):
     assert sorted(i for i in ids if i is not None) == sorted({i for i in want if want[i] == i}) and ids.count(None) == 1
 
 
+@pytest.mark.parametrize(
+    "given_rows, want",
+    [
+        ("1a 1b 2c", "1a 1b 2c"),
+        ("1a 2a 2b 3c", "1a 2b 3c"),
+        ("2a 1b 1a 3a", "1a 1b"),
+        ("1a 1a 1b 2b 5b", "1a 1b"),
+        ("4a 4a 4b 3b", "3b 4a"),
+    ],
+)
+def test_one_id_on_different_texts(spark, given_rows, want):
+    texts = {x: words(i, 60) for i, x in enumerate("abc")}
+    rows = [(int(r[0]), texts[r[1]]) for r in given_rows.split()]
+    kept = simhash.one_of_each(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted((int(r[0]), texts[r[1]]) for r in want.split())
+
+
 def test_empty_table(spark):
     docs = documents(spark, [])
     assert simhash.near_duplicates(docs).count() == 0 and simhash.one_of_each(docs).count() == 0
