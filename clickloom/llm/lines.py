@@ -344,7 +344,9 @@ class LineIndex:
         columns are ignored.
         """
         length = self.length
-        shared = self.counts().where("first <> last").select("key", "first")
+        # Written first, so that the join lies between two shuffles and a line of very many
+        # documents can be dealt over tasks.
+        shared = saved(self.counts().where("first <> last").select("key", "first"), "shared")
         drops = self.postings().join(shared, "key").where("doc_id <> first").groupBy("doc_id").agg(F.collect_set("key").alias("drops"))
         rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
         none = F.lit(None).cast("array<binary>").alias("drops")
