@@ -102,9 +102,9 @@ def pairs_from(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def previous_in_blocks(rows: DataFrame) -> DataFrame:
-    """Rows of blocks; `edge` is the last event before the block."""
+    """Rows that are `home` in their block; the one that is not is the last event before it."""
     found = in_piece(rows, ["user_id", "block"], [F.col("us"), F.col("seq")], login_event())
-    return found.withColumn("near", F.coalesce("near", "edge"))
+    return found.where("home")
 
 
 def login_pairs(logins: DataFrame, limit: int = LOGIN_LIMIT, piece_rows: int = PIECE_ROWS) -> DataFrame:
@@ -144,9 +144,9 @@ def _backwards() -> list[Column]:
 
 
 def next_pay_in_blocks(rows: DataFrame) -> DataFrame:
-    """Rows of blocks; `edge` is the time of the first pay after the block."""
+    """Rows that are `home` in their block; the one that is not is the first pay after it."""
     found = in_piece(rows, ["order_id", "block"], _backwards(), _pay_time())
-    return found.withColumn("near", F.coalesce("near", "edge"))
+    return found.where("home")
 
 
 def order_outcomes(orders: DataFrame, limit: int = ORDER_LIMIT, piece_rows: int = PIECE_ROWS) -> DataFrame:

@@ -25,7 +25,7 @@ def watermarked(events: DataFrame, key: str, delay: str | None) -> DataFrame:
     return marked.where(behind_watermark(F.col(key).isNotNull(), "ts"))
 
 
-def closed_blocks(
+def closed_rows(
     events: DataFrame,
     key: str,
     fields: list[str],
@@ -33,16 +33,21 @@ def closed_blocks(
     delay: str | None,
     before: int = 0,
     after: int = 0,
-    edges: dict[str, Column] | None = None,
+    edge: Column | None = None,
 ) -> DataFrame:
-    """Per key and block, its rows with `us` and `fields`, as one array.
+    """The rows of a block once it has closed: key, block, `us`, `fields`, how many such rows
+    there were (`copies`), and `edge`.
 
-    A sliding window that is longer than its slide gives each row to its own block
-    and to the blocks it is near to. With `edges` only home rows go into the array; what
-    the neighbours hold comes as one value each, by aggregates over the rows that are not
-    home. Without, the neighbours' rows go in as well. The array holds one key for
-    one block and no more; the window leaves the state when the watermark passes its
-    end. With `delay` None the events have a watermark already.
+    A sliding window that is longer than its slide gives each row to its own block and to
+    the blocks it is near to. With `edge`, an aggregate that gives a struct of `us` and
+    `fields`, only home rows come out one by one; what the neighbours hold comes as one row
+    without `us` and with the `edge` over the rows that are not home. Without, the
+    neighbours' rows come out as well.
+
+    Every state value is of constant size: a row of a key is a group of its own, so the
+    rows of a flooded key are spread over all tasks, and nothing is put into lists. A
+    window leaves the state when the watermark passes its end. With `delay` None the events
+    have a watermark already.
     """
     length, offset = before + width + after, -before % width
     window = F.window("ts", MICROS.format(length), MICROS.format(width), MICROS.format(offset))
@@ -53,15 +58,26 @@ def closed_blocks(
         .select(window.alias("window"), key, "us", *fields)
         .withColumn("block", block)
     )
-    row = F.struct("us", *fields)
-    if edges is not None:
-        row = F.when(is_home("us", "block", width), row)
-    closed = rows.groupBy("window", key).agg(
-        F.collect_list(row).alias("rows"), *[edge.alias(name) for name, edge in (edges or {}).items()]
-    )
-    return closed.where(F.size("rows") > 0).select(key, block.alias("block"), *(edges or {}), "rows")
+    if edge is None:
+        held, beyond = [F.col(c) for c in ("us", *fields)], F.lit(None)
+    else:
+        home = is_home("us", "block", width)
+        held, beyond = [F.when(home, F.col(c)).alias(c) for c in ("us", *fields)], F.when(F.col("us").isNull(), F.col("edge"))
+    aggregates = [F.count("*").alias("copies")] + ([] if edge is None else [edge.alias("edge")])
+    closed = rows.groupBy("window", key, *held).agg(*aggregates)
+    return closed.select(key, block.alias("block"), "us", *fields, "copies", *([] if edge is None else [beyond.alias("edge")]))
 
 
-def opened(blocks: DataFrame, key: str, *edges: str) -> DataFrame:
-    """Closed blocks back to single rows."""
-    return blocks.select(key, "block", *edges, F.inline("rows"))
+def opened(closed: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """Closed rows as single rows; `home` is false for the one that stands for the
+    neighbours, which has the time it is at."""
+    if "edge" not in closed.columns:
+        single = closed.withColumn("home", F.lit(True))
+    else:
+        home = F.col("us").isNotNull()
+        values = {c: F.when(home, F.col(c)).otherwise(F.col("edge")[c]) for c in ("us", *fields)}
+        single = closed.where("us is not null or edge is not null").withColumns(
+            {"copies": F.when(home, F.col("copies")).otherwise(1), "home": home, **values}
+        )
+    repeated = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
+    return single.select(key, "block", "us", *fields, "home", repeated.alias("copy")).drop("copy")

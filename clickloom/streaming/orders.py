@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickloom.operators import patterns
 from clickloom.operators.patterns import ORDER_LIMIT
-from clickloom.streaming.blocks import behind_watermark, closed_blocks, opened
+from clickloom.streaming.blocks import behind_watermark, closed_rows, opened
 
 # Three blocks a limit: an outcome is known at most a third of the limit after its deadline.
 BLOCKS_PER_LIMIT = 3
+FIELDS = ["seq", "event_type"]
 
 
 def order_blocks(orders: DataFrame, limit: int = ORDER_LIMIT, delay: str = "0 seconds") -> DataFrame:
@@ -22,17 +23,17 @@ def order_blocks(orders: DataFrame, limit: int = ORDER_LIMIT, delay: str = "0 se
     width = limit // BLOCKS_PER_LIMIT
     known = behind_watermark(F.col("event_type").isin("create", "pay"), "ts")
     later = (F.col("us") >= F.col("block") + width) & (F.col("event_type") == "pay")
-    return closed_blocks(
+    return closed_rows(
         orders.withWatermark("ts", delay).where(known),
         "order_id",
-        ["seq", "event_type"],
+        FIELDS,
         width,
         None,
         after=limit,
-        edges={"edge": F.min(F.when(later, F.col("us")))},
+        edge=F.min(F.when(later, F.struct("us", *FIELDS))),
     )
 
 
 def outcomes_of(blocks: DataFrame, limit: int = ORDER_LIMIT) -> DataFrame:
     """One outcome for every create in the blocks."""
-    return patterns.outcomes_from(patterns.next_pay_in_blocks(opened(blocks, "order_id", "edge")), limit)
+    return patterns.outcomes_from(patterns.next_pay_in_blocks(opened(blocks, "order_id", FIELDS)), limit)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import patterns
-from clickloom.operators.nearest import borders, nearest
+from clickloom.operators.nearest import borders, in_pieces, nearest
 
 LOGINS = "user_id bigint, ip string, event_type string, us bigint, seq bigint"
 ORDERS = "order_id bigint, event_type string, us bigint, seq bigint"
@@ -15,33 +15,6 @@ def rows_of(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.fixture(scope="module")
-def logins(spark):
-    rows = [
-        (7, "10.1.1.1", "fail", 100 * S, 1),
-        (7, "10.1.1.2", "fail", 120 * S, 2),
-        (7, "10.1.1.3", "fail", 121 * S, 3),
-        (8, "10.1.1.3", "fail", 122 * S, 4),
-        (8, "10.1.2.9", "success", 122 * S, 5),
-    ]
-    return spark.createDataFrame(rows, LOGINS)
-
-
-def test_burst_example(logins):
-    assert rows_of(patterns.login_bursts(logins)) == [(7, "10.1.1.2", 120 * S, 2, 2)]
-
-
-def test_pair_example(logins):
-    got = rows_of(patterns.login_pairs(logins))
-    assert got == [(7, "10.1.1.2", "10.1.1.3", 121 * S, 3)]
-
-
-def test_order_example(spark):
-    rows = [(1, "create", 50 * S, 1), (2, "create", 51 * S, 2), (2, "pay", 52 * S, 3)]
-    got = rows_of(patterns.order_outcomes(spark.createDataFrame(rows, ORDERS)).select("order_id", "status"))
-    assert got == [(1, "timeout"), (2, "success")]
-
-
 def simulate_bursts(rows, limit):
     """Pending list and timers, one user at a time."""
     found = []
@@ -157,14 +130,24 @@ def test_pieces_are_even_however_a_key_lies_in_time(spark, shape):
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("user_id"), F.expr(SHAPES[shape]).alias("us"), F.col("id").alias("seq")
     )
     order = [F.col("us"), F.col("seq")]
-    cuts = borders(rows, "user_id", order, piece_rows=600)
-    (hot,) = cuts.where("user_id = 0").collect()
-    assert 20 <= len(hot.cuts) <= 50 and cuts.count() <= 101
-    place = F.struct(F.col("us").alias("o0"), F.col("seq").alias("o1"))
-    started = rows.where("user_id = 0").join(F.broadcast(cuts), "user_id").select(F.size(F.filter("cuts", lambda c: c <= place)).alias("piece"))
+    cuts = borders(rows, "user_id", order, 60_000, 100)
+    hot = cuts.where("user_id = 0").count()
+    assert 20 <= hot <= 50 and cuts.count() <= 101
+    started = in_pieces(rows, cuts, "user_id", order, 100).where("user_id = 0 and split")
     sizes = [r["count"] for r in started.groupBy("piece").count().collect()]
-    assert sum(sizes) == 20_000 and max(sizes) < 2_400
-    assert borders(rows, "user_id", order, piece_rows=60_000) is None
+    assert len(sizes) > hot - 5 and sum(sizes) == 20_000 and max(sizes) < 2_400
+
+
+@pytest.mark.parametrize("pieces", [1, 31, 32, 33, 1100])
+def test_the_tree_finds_what_counting_finds(spark, pieces):
+    """More borders than the tree was laid out for, repeated ones, and keys without any."""
+    rng = Random(pieces)
+    places = sorted(rng.randrange(3000) for _ in range(1500))
+    cuts = spark.createDataFrame([(0, i, (at, 0)) for i, at in enumerate(places, 1)], "k int, nth int, cut struct<o0: int, o1: int>")
+    rows = [(k, rng.randrange(-5, 3005), rng.randrange(-1, 2)) for k in (0, 0, 0, 1) for _ in range(200)]
+    found = in_pieces(spark.createDataFrame(rows, "k int, at int, seq int"), cuts, "k", [F.col("at"), F.col("seq")], pieces)
+    for r in found.collect():
+        assert r.piece == (0 if r.k else sum((at, 0) <= (r["at"], r.seq) for at in places)) and r.split == (r.k == 0)
 
 
 def test_every_piece_knows_what_came_before(spark):

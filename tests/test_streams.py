@@ -183,12 +183,27 @@ def test_files_decide_nothing(spark, sf_dir, scattered, tmp_path, monkeypatch, q
     assert batches[0] >= 4
 
 
-def test_neighbours_are_one_value(spark):
-    """Only home rows are listed; a flood before the block costs one value."""
+def test_neighbours_are_one_row(spark):
+    """Only home rows come out; a flood before the block costs one row."""
     flood = [(1, f"l{i}", "f", BASE + i * 1000, i) for i in range(500)] + [(1, "x", "f", BASE + 2 * S, 999)]
     closed = logins.pair_blocks(as_logins(spark.createDataFrame(flood, SCHEMA).withColumn("ts", F.timestamp_micros("us"))), 2 * S)
-    last = closed.orderBy(F.desc("block")).first()
-    assert len(last["rows"]) == 1 and last.edge.ip == "l499"
+    last = closed.where(f"block = {BASE + 2 * S}").orderBy("us").collect()
+    assert [(r.us, r.edge and r.edge.ip) for r in last] == [(None, "l499"), (BASE + 2 * S, None)]
+
+
+@pytest.mark.parametrize("blocks", [logins.burst_blocks, logins.pair_blocks, orders.order_blocks])
+def test_no_lists_in_the_state(spark, blocks):
+    """However many rows a key has, a state value is one row's size."""
+    rows = spark.createDataFrame(random_rows(1), SCHEMA).withColumn("ts", F.timestamp_micros("us"))
+    plan = blocks((as_orders if blocks is orders.order_blocks else as_logins)(rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect" not in plan and "Aggregate" in plan
+
+
+def test_equal_rows_of_a_block_are_all_there(spark):
+    rows = [(1, "a", "f", BASE, 1)] * 3 + [(1, "b", "f", BASE + S, 2)]
+    shaped = as_logins(spark.createDataFrame(rows, SCHEMA).withColumn("ts", F.timestamp_micros("us")))
+    batch = patterns.login_pairs(shaped, 2 * S)
+    assert rows_of(logins.pairs_of(logins.pair_blocks(shaped, 2 * S), 2 * S), *batch.columns) == rows_of(batch, *batch.columns)
 
 
 def test_a_batch_folder_appears_whole(spark, tmp_path):
