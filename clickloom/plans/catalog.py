@@ -87,8 +87,10 @@ def session_city_category_filter(spark, sf_dir):
 
 
 def session_unknown_users(spark, sf_dir):
-    """Sessions whose user has no attributes are in no report: here two thirds of the users are unknown."""
-    known = retail.users(_at_utc(spark), sf_dir).where(F.pmod("user_id", F.lit(3)) == 0)
+    """Sessions whose user has no attributes are in no report: here the users who never ordered
+    are unknown."""
+    ordered = _at_utc(spark).read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_custkey").alias("user_id"))
+    known = retail.users(_at_utc(spark), sf_dir).join(ordered, "user_id", "left_semi")
     return _timed(sessions.select_sessions(_actions(spark, sf_dir), known, TaskParams()))
 
 
@@ -471,11 +473,31 @@ def app_log_routed_stream(spark, sf_dir):
     return _filed_stream(spark, applog.with_log_type(applog.clean(lines)), "app-log", split_by=["log_type"])
 
 
+def _line_stream(spark, sf_dir):
+    """Access-log lines out of text files, as a stream; the files are made of the events."""
+    folder = _folder(spark, "access-lines")
+    retail.request_lines(_events(spark, sf_dir)).write.text(folder)
+    return run.text_lines(_at_utc(spark), folder)
+
+
+def access_lines_stream(spark, sf_dir):
+    """Raw lines, good ones parsed and bad ones as they came, from one pass."""
+    routed = _filed_stream(spark, lines.routed_requests(_line_stream(spark, sf_dir)), "access-log", split_by=["quality"])
+    return routed.withColumn("ts", F.unix_millis("ts")).withColumnRenamed("ts", "event_time")
+
+
+def url_traffic_lines_stream(spark, sf_dir):
+    """Counts of windows straight from raw lines: the watermark follows the parsed times."""
+    return _filed_stream(spark, stream_traffic.url_traffic(lines.requests(_line_stream(spark, sf_dir))), "url-lines")
+
+
 STREAMS = [
     hot_items_top3_stream, url_traffic_top5_stream, login_burst_stream, login_strict_pair_stream,
     order_timeout_stream, app_log_routed_stream,
 ]
 
+LINE_STREAMS = [access_lines_stream, url_traffic_lines_stream]
+
 BATCH = [
     actions_by_date, user_info, product_info, task_params, behavior_parse, behavior_bad_lines,
     access_log_parse, access_log_bad_lines, record_fields, text_functions, time_functions, ratio_values,
@@ -494,4 +516,4 @@ BATCH = [
 def queries() -> dict[str, Query]:
     named = {q.__name__: q for q in BATCH}
     named |= {f"app_log_event_{name}": _event_table(name) for name in schemas.EVENT_FIELDS}
-    return named | {q.__name__: q for q in STREAMS}
+    return named | {q.__name__: q for q in STREAMS + LINE_STREAMS}

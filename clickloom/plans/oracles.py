@@ -357,7 +357,7 @@ def oracle_sql() -> dict[str, str]:
         select {SESSION}, age, professional, city, sex from full_ses
         where hit and city in ('NATION_3', 'NATION_8', 'NATION_21')"""
     sql["session_unknown_users"] = f"""{BASE} select {SESSION}, age, professional, city, sex from full_ses
-        where user_id % 3 = 0"""
+        where user_id in (select o_custkey from orders)"""
     sql["url_traffic_top1"] = f"{COARSE_URLS} select * from rnk"
     sql["format_doubles"] = f"""with {EVENTS}, q as (select event_id, k, 2 * k - user_id as n from ev)
         select event_id, sign(n) * ((abs(n) * 200 + 16) // 32) / 100.0::double as sixteenth,
@@ -375,5 +375,15 @@ def oracle_sql() -> dict[str, str]:
     sql["order_timeout_stream"] = f"""select o.* from ({ORDERS}) o, (select max(epoch_us(ts) // 1000) * 1000 as mark
         from events where event_type in ('click', 'purchase')) where {_closed("us", 3, 4)} <= mark"""
     sql["app_log_routed_stream"] = sql["app_log_typed"]
+    sql["access_lines_stream"] = f"""with {EVENTS} select 'good' as quality, {IP} as ip,
+        cast(user_id as varchar) as user_id, us // 1000000 * 1000 as event_time, {METHOD} as method,
+        '/p/' || k as url, null::varchar as value from ev where event_id % 89 <> 0
+        union all select 'bad', null, null, null, null, null, {IP} || ' ' || user_id || ' - - +0000 ' || {METHOD}
+        || ' /p/' || k from ev where event_id % 89 = 0"""
+    sql["url_traffic_lines_stream"] = f"""with {EVENTS}, req as (select us // 1000000 * 1000 as ms, '/p/' || k as url,
+        {METHOD} as method from ev where event_id % 89 <> 0), win as (select url,
+        unnest(range((ms // 5000 + 1) * 5000, ms + 60001, 5000)) as window_end from req where method = 'GET')
+        select window_end, url, count(*) as count from win
+        where window_end <= (select max(ms) - 10000 from req) group by window_end, url"""
     sql |= {f"app_log_event_{name}": _event_table(name) for name in EVENT_FIELDS}
     return sql

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from clickloom.operators import categories, sampling, sessions
 from clickloom.operators.ranking import bounded
 from clickloom.session import shared_dir
-from clickloom.sinks.tables import Sink
+from clickloom.sinks.tables import Sink, TaskFiles
 from clickloom.sources.tables import actions_between
 from clickloom.sources.tasks import TaskParams, load_params
 
@@ -77,11 +77,14 @@ def session_report(
 
 
 def run(tasks: DataFrame, task_id: int, actions: DataFrame, users: DataFrame, sink: Sink, **options) -> bool:
-    """Look the task up, compute its reports, hand them to the sink. False if there is no such task."""
+    """Look the task up, compute its reports, hand them to the sink, and commit them if the sink
+    has commits. False if there is no such task."""
     params = load_params(tasks, task_id)
     if params is None:
         return False
     folder = f"{shared_dir(actions.sparkSession)}/clickloom/task-{task_id}-{uuid4().hex}"
     for table, df in session_report(actions, users, params, task_id, folder, **options).items():
         sink(table, task_id, df)
+    if isinstance(sink, TaskFiles):
+        sink.commit(actions.sparkSession, task_id)
     return True

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # The result tables with their columns, in the order of the database.
 RESULT_COLUMNS = {
@@ -62,6 +63,47 @@ def files(folder: str) -> Sink:
     return write
 
 
+class TaskFiles:
+    """A sink of files that replaces all tables of a task at once.
+
+    Every run of a task writes its tables to new folders,
+    `folder`/table/task_id=N/run=ID. `commit` adds one row to a table of commits, as one file
+    that appears whole; from then on `read` gives the rows of that run, and until then
+    those of the run before, whatever has been written of the new one. A run that dies
+    leaves folders that no commit names. One task has one run at a time.
+    """
+
+    COMMITS = "task_id bigint, run string, nth bigint"
+
+    def __init__(self, folder: str):
+        self.folder, self.runs = folder, {}
+
+    def __call__(self, table: str, task_id: int, df: DataFrame) -> None:
+        run = self.runs.setdefault(task_id, uuid4().hex)
+        rows = df.select(*RESULT_COLUMNS[table]).drop("task_id")
+        rows.write.parquet(f"{self.folder}/{table}/task_id={task_id}/run={run}")
+
+    def commit(self, spark: SparkSession, task_id: int) -> None:
+        """Make the tables written for the task since its last commit the ones to read. A
+        table that was not written has no rows for the task."""
+        before = self._commits(spark).agg(F.max("nth")).first()[0] or 0
+        row = spark.createDataFrame([(task_id, self.runs.pop(task_id, uuid4().hex), before + 1)], self.COMMITS)
+        row.coalesce(1).write.mode("append").parquet(f"{self.folder}/commits")
+
+    def _commits(self, spark: SparkSession) -> DataFrame:
+        """None in a new folder."""
+        spark.createDataFrame([], self.COMMITS).write.mode("ignore").parquet(f"{self.folder}/commits")
+        return spark.read.schema(self.COMMITS).parquet(f"{self.folder}/commits")
+
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        """The rows of every task's last committed run. Partition pruning leaves other runs
+        unread."""
+        last = self._commits(spark).groupBy("task_id").agg(F.max_by("run", "nth").alias("run"))
+        rows = spark.read.option("basePath", f"{self.folder}/{table}").parquet(f"{self.folder}/{table}")
+        named = rows.withColumns({"task_id": F.col("task_id").cast("bigint"), "run": F.col("run").cast("string")})
+        return named.join(last, ["task_id", "run"], "left_semi").select(*RESULT_COLUMNS[table])
+
+
 def jdbc(url: str, batch_size: int = 10_000, connections: int = 16, **options: str) -> Sink:
     """Append over JDBC, in batches, from at most `connections` tasks at a time.
 

@@ -51,6 +51,17 @@ def bad_requests(lines: DataFrame) -> DataFrame:
     return _request_fields(lines).where(F.col("ts").isNull() | F.col("url").isNull()).select("value")
 
 
+def routed_requests(lines: DataFrame) -> DataFrame:
+    """Every line once, for one output with a folder for each `quality`: `good` lines with
+    their fields and no `value`, `bad` ones as they came and without fields."""
+    fields = _request_fields(lines)
+    good = F.col("ts").isNotNull() & F.col("url").isNotNull()
+    kept = [F.when(good, F.col(c)).alias(c) for c in fields.columns if c != "value"]
+    return fields.select(
+        F.when(good, "good").otherwise("bad").alias("quality"), *kept, F.when(~good, F.col("value")).alias("value")
+    )
+
+
 def _request_fields(lines: DataFrame) -> DataFrame:
     part = F.col("part")
     return lines.select("value", once(F.split("value", " ")).alias("part")).select(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 
 def _limited(reader, files_per_batch: int | None):
@@ -116,6 +117,53 @@ def into_console(stream: DataFrame, folder: str, rows: int = 2**31 - 1, availabl
     return _until_done(writer, available_now).start()
 
 
+def apart_from_late(
+    stream: DataFrame, folder: str, ts: str, closes: Column, delay_ms: int = 0, available_now: bool = False
+) -> StreamingQuery:
+    """Writes every row of `stream`, a stream without aggregates, to one of two tables:
+    what an aggregate behind a watermark still takes (`in_time`), and what it would drop
+    (`quarantined`).
+
+    `closes` is when the last state that a row belongs to is closed, in epoch
+    milliseconds, such as the end of its pane. As with a watermark of `delay_ms`, a row is late
+    if that is not after the newest `ts` of the batches before, less the delay. Rows
+    without a time are in time: no watermark drops them. So a stream with the same delay that
+    reads `in_time` drops nothing, and both tables together are the input.
+
+    A batch that is run again replaces its own rows and its own mark.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mark = None
+        if batch_id:
+            marks = spark.read.schema("newest bigint, batch_id bigint").parquet(f"{folder}/marks")
+            mark = marks.where(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
+        late = F.lit(False) if mark is None else F.coalesce(closes <= mark - delay_ms, F.lit(False))
+        target, staged = f"{folder}/data/batch_id={batch_id}", f"{folder}/staged/batch_id={batch_id}"
+        told = batch.withColumn("late", late)
+        for side, name in ((~F.col("late"), "in_time"), (F.col("late"), "late")):
+            told.where(side).drop("late").write.mode("overwrite").parquet(f"{staged}/kind={name}")
+        written = spark.read.schema(batch.schema).parquet(f"{staged}/kind=in_time")
+        newest = written.agg(F.max(F.unix_millis(ts)).alias("newest"))
+        newest.write.mode("overwrite").parquet(f"{folder}/marks/batch_id={batch_id}")
+        _move(spark, staged, target)
+
+    writer = stream.writeStream.outputMode("append").option("checkpointLocation", f"{folder}/checkpoint")
+    return _until_done(writer.foreachBatch(write), available_now).start()
+
+
+def in_time(spark: SparkSession, folder: str, schema: str | StructType, files_per_batch: int | None = None) -> DataFrame:
+    """The rows that `apart_from_late` has found in time, as a stream in the order of batches."""
+    reader = _limited(spark.readStream.schema(schema), files_per_batch)
+    return reader.parquet(f"{folder}/data/batch_id=*/kind=in_time")
+
+
+def quarantined(spark: SparkSession, folder: str, schema: str | StructType) -> DataFrame:
+    """The rows that came late, as a table."""
+    return spark.read.schema(schema).parquet(f"{folder}/data/batch_id=*/kind=late")
+
+
 class LateRows(Exception):
     """A bounded run dropped rows, or cannot tell whether it did."""
 
@@ -138,9 +186,12 @@ def _kept(query: StreamingQuery) -> int:
     return int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
 
 
-def finished(query: StreamingQuery) -> StreamingQuery:
-    """Waits for a bounded run; fails if it failed or dropped rows as late."""
+def finished(query: StreamingQuery, quarantine: DataFrame | None = None, most: int = 0) -> StreamingQuery:
+    """Waits for a bounded run; fails if it failed or dropped rows as late, or if more than
+    `most` rows are in its `quarantine`."""
     query.awaitTermination()
     if (late := late_rows(query)) > 0:
         raise LateRows(f"{late} rows came behind the watermark and were dropped")
+    if quarantine is not None and (late := quarantine.count()) > most:
+        raise LateRows(f"{late} rows came behind the watermark and are in quarantine")
     return query

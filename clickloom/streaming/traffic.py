@@ -36,6 +36,12 @@ def sliding_counts(
     )
 
 
+def pane_end(ts: str, length: int, slide: int) -> Column:
+    """When the pane of a row closes, in epoch milliseconds: from then on it is late."""
+    ms, pane = F.unix_millis(ts), gcd(length, slide)
+    return ms - F.pmod(ms, F.lit(pane)) + pane
+
+
 def hot_items(behaviors: DataFrame, delay: str = "0 seconds") -> DataFrame:
     """Views per item over an hour, every five minutes; behaviour comes in time order, or
     late by `delay` at most."""

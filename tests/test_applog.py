@@ -49,8 +49,8 @@ def test_log_type(spark):
 
 def test_line_to_tables(spark):
     et = [
-        {"ett": "1600000000001", "en": "loading", "kv": {"extend2": "", "action": "2", "type1": "88"}},
-        {"ett": "1600000000002", "en": "praise", "kv": {"target_id": 7, "id": 3, "type": 1, "userid": 0}},
+        {"ett": "1600000000009", "en": "active_background", "kv": {"active_source": "widget"}},
+        {"ett": "1600000000010", "en": "favorites", "kv": {"course_id": 512, "userid": 40}},
         {"ett": "oops", "en": "unknown", "kv": {}},
     ]
     line = STAMP + "|" + json.dumps({"cm": {"uid": "u7", "mid": "m9", "la": "1.5"}, "ap": "shop", "et": et})
@@ -58,14 +58,14 @@ def test_line_to_tables(spark):
     assert logs.columns == ["log_time", "ap", *schemas.COMMON_FIELDS, "et"]
     events = applog.events(logs)
     assert [(r.position, r.event_name, r.uid) for r in events.collect()] == [
-        (0, "loading", "u7"),
-        (1, "praise", "u7"),
+        (0, "active_background", "u7"),
+        (1, "favorites", "u7"),
         (2, "unknown", "u7"),
     ]
-    (loading,) = applog.event_table(events, "loading").collect()
-    assert (loading.action, loading.extend2, loading.type, loading.type1) == ("2", "", None, "88")
-    (praise,) = applog.event_table(events, "praise").collect()
-    assert (praise.id, praise.target_id, praise.add_time) == (3, 7, None)
+    (hidden,) = applog.event_table(events, "active_background").collect()
+    assert hidden.active_source == "widget"
+    (liked,) = applog.event_table(events, "favorites").collect()
+    assert (liked.course_id, liked.userid, liked.id, liked.add_time) == (512, 40, None, None)
     assert applog.event_table(events, "start").count() == 0
 
 
@@ -108,9 +108,9 @@ def test_behavior_lines(spark):
 
 
 def test_access_log_lines(spark):
-    rows = ["83.149.9.216 - - 17/05/2015:10:05:03 +0000 GET /a/b.png", "83.149.9.216 - - never +0000 GET /a", "short"]
+    rows = ["10.9.8.7 u5 - 03/11/2021:23:59:58 +0000 PUT /cart/7", "10.9.8.7 u5 - never +0000 PUT /cart", "short"]
     df = spark.createDataFrame([(r,) for r in rows], "value string")
     (row,) = lines.requests(df).collect()
-    assert (row.ip, row.user_id, row.method, row.url) == ("83.149.9.216", "-", "GET", "/a/b.png")
-    assert str(row.ts) == "2015-05-17 10:05:03"
+    assert (row.ip, row.user_id, row.method, row.url) == ("10.9.8.7", "u5", "PUT", "/cart/7")
+    assert str(row.ts) == "2021-11-03 23:59:58"
     assert [r.value for r in lines.bad_requests(df).collect()] == rows[1:]

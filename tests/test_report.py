@@ -61,6 +61,51 @@ def test_a_rerun_without_rows_leaves_none(spark, tmp_path):
     assert [(r.task_id, r.category_id) for r in left] == [(2, 2)]
 
 
+class Lost(Exception):
+    pass
+
+
+def test_a_task_is_replaced_as_a_whole_or_not_at_all(spark, sf_dir, tmp_path):
+    """A run that dies between its tables leaves those of the run before."""
+    actions, users = report_inputs(spark, sf_dir)
+    sink = tables.TaskFiles(str(tmp_path))
+
+    def dies(table, task_id, df, left=[3]):  # noqa: B006
+        if not left[0]:
+            raise Lost
+        left[0] -= 1
+        sink(table, task_id, df)
+
+    def now():
+        return {t: collected(sink.read(spark, t)) for t in RESULT_COLUMNS}
+
+    for task_id in (1, 2):
+        session_report.run(tasks(spark), task_id, actions, users, sink)
+    before = now()
+    assert all({r[0] for r in rows} == {1, 2} for rows in before.values())
+    fewer = actions.where("date < '2024-01-10'")
+    try:
+        session_report.run(tasks(spark), 1, fewer, users, dies)
+    except Lost:
+        pass
+    assert now() == before
+    again = tables.TaskFiles(str(tmp_path))
+    session_report.run(tasks(spark), 1, fewer, users, again)
+    after = now()
+    for table in RESULT_COLUMNS:
+        assert [r for r in after[table] if r[0] == 2] == [r for r in before[table] if r[0] == 2]
+    assert after["session_aggr_stat"] != before["session_aggr_stat"] and len(after["session_aggr_stat"]) == 2
+
+
+def test_a_committed_run_without_rows_leaves_none(spark, tmp_path):
+    schema = "task_id bigint, category_id bigint, click_count bigint, order_count bigint, pay_count bigint"
+    sink = tables.TaskFiles(str(tmp_path))
+    for rows in ([(1, 2, 3, 4, 5)], []):
+        sink("top10_category", 1, spark.createDataFrame(rows, schema))
+        sink.commit(spark, 1)
+        assert sink.read(spark, "top10_category").count() == len(rows)
+
+
 def test_no_such_task(spark, sf_dir):
     actions, users = report_inputs(spark, sf_dir)
     assert not session_report.run(tasks(spark), 3, actions, users, sink=None)

@@ -141,6 +141,63 @@ def test_a_delay_covers_disorder(spark, tmp_path):
     assert got.where("item_id = 1").agg(F.sum("count")).first()[0] == 24
 
 
+def plain_late(batches, closes, delay):
+    """Batch by batch: what closes no later than the newest time before, less the delay."""
+    newest, late = None, []
+    for rows in batches:
+        late += [r for r in rows if newest is not None and closes(r[3] // 1000) <= newest - delay]
+        newest = max([r[3] // 1000 for r in rows] + ([] if newest is None else [newest]))
+    return late
+
+
+@pytest.mark.parametrize("delay", [0, 20_000])
+def test_late_rows_are_kept_apart(spark, tmp_path, delay):
+    """Batches of no order: what is counted and what is in quarantine make the input, and
+    neither the one nor the other depends on Spark dropping anything."""
+    rows = random_rows(5, n=400, span=300)
+    Random(6).shuffle(rows)
+    batches = [rows[i : i + 50] for i in range(0, 400, 50)] + [far(sorted(rows, key=lambda r: r[3]))]
+    for part in batches:
+        write_files(spark, part, str(tmp_path / "in"), 1)
+    folder, schema = str(tmp_path / "apart"), f"{SCHEMA}, ts timestamp"
+    closes = stream_traffic.pane_end("ts", traffic.URL_WINDOW, traffic.URL_SLIDE)
+    stream = stream_of(spark, str(tmp_path / "in"))
+    run.finished(run.apart_from_late(stream, folder, "ts", closes, delay, available_now=True))
+    late = run.quarantined(spark, folder, schema)
+    expected = plain_late(batches, lambda ms: ms // 5000 * 5000 + 5000, delay)
+    assert sorted(r.seq for r in late.collect()) == sorted(r[4] for r in expected) and len(expected) > 100
+
+    kept = run.in_time(spark, folder, schema, files_per_batch=1)
+    counts = stream_traffic.sliding_counts(kept, "key", 5000, 5000, f"{delay} milliseconds")
+    query = run.into_files(counts, str(tmp_path / "out"), available_now=True)
+    run.finished(query, late, most=len(expected))
+    counted = spark.read.parquet(str(tmp_path / "out" / "data")).agg(F.sum("count")).first()[0]
+    assert counted + len(expected) == len(rows)
+    with pytest.raises(run.LateRows):
+        run.finished(query, late)
+
+
+def test_a_batch_that_runs_again_replaces_its_rows(spark, tmp_path):
+    first, second = random_rows(1, n=20), random_rows(2, n=20)
+    write_files(spark, first, str(tmp_path / "in"), 1)
+    folder, schema = str(tmp_path / "apart"), f"{SCHEMA}, ts timestamp"
+
+    def again():
+        stream = stream_of(spark, str(tmp_path / "in"))
+        run.finished(run.apart_from_late(stream, folder, "ts", F.unix_millis("ts"), available_now=True))
+
+    again()
+    write_files(spark, second, str(tmp_path / "in"), 1)
+    again()
+    # As after a crash behind the second write: Spark has no commit of the batch.
+    for name in ("1", ".1.crc"):
+        if (path := tmp_path / "apart" / "checkpoint" / "commits" / name).exists():
+            path.unlink()
+    again()
+    both = run.quarantined(spark, folder, schema).union(spark.read.schema(schema).parquet(f"{folder}/data/batch_id=*/kind=in_time"))
+    assert both.count() == 40
+
+
 def test_forgotten_batches_are_not_counted_as_none():
     spark_keeps = [{"batchId": i, "stateOperators": []} for i in range(50, 150)]
     query = SimpleNamespace(recentProgress=spark_keeps, lastProgress=spark_keeps[-1])
