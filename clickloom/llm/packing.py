@@ -5,12 +5,15 @@ every shorter document, is a rest. Rests are placed from the longest to the shor
 each into the tightest open window that still has room. A segment tree over the
 remaining capacities finds it.
 
-Every partition packs what it reads, in blocks of bounded size: nothing is shuffled, no
-key can be hot, and a lost executor repeats its own partitions only.
+Full windows are written where their document is read. Rests are dealt by a hash of their
+number into groups of about the same number of tokens, as many as the total asks for, and
+every group is packed for itself. So how the table is cut into files does not change how
+full the windows are, and no document, however often it is repeated, makes a group large.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import cache
 
@@ -21,13 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.bpe import byte_letters
+from clickloom.llm.store import saved
 from clickloom.llm.wordcache import LATIN_TEXT
 
 WINDOW = 1024
 #: Fixed value: how the vocabulary's texts are cut into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Tokens of rests that are packed together.
+#: Tokens of rests that are packed together, about.
 BLOCK_TOKENS = 1 << 22
+#: Sequences of rests are numbered from here, by group.
+RESTS = 1 << 62
 SCHEMA = "doc_id {}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -120,41 +126,27 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-class _Pieces:
-    """Pieces on their way out, and the rests that wait to be packed."""
-
-    def __init__(self, window: int, kind: pa.DataType):
-        self.window, self.kind, self.sequences = window, kind, 0
-        self.first = TaskContext.get().partitionId() << 40
-        self.rests: list[tuple] = []
-        self.tokens = 0
-
-    def cut(self, doc_id, ids: bytes) -> list[tuple]:
-        """The full windows of a document; what is left waits."""
-        total, full = len(ids) // 4, []
-        for start in range(0, total - self.window + 1, self.window):
-            full.append((doc_id, start, self.window, ids[4 * start : 4 * (start + self.window)], total, self.first + self.sequences, 0))
-            self.sequences += 1
-        start = total - total % self.window
-        if start < total:
-            self.rests.append((doc_id, start, total - start, ids[4 * start :], total))
-            self.tokens += total - start
-        return full
-
-    def pack(self) -> list[tuple]:
-        """The waiting rests, packed."""
-        rests = sorted(self.rests, key=lambda x: (-x[2], x[0] is None, x[0] or 0, x[1]))
-        placed, made = best_fit([x[2] for x in rests], self.window)
-        out = [(*x, self.first + self.sequences + at, offset) for x, (at, offset) in zip(rests, placed, strict=True)]
-        self.sequences += made
-        self.rests, self.tokens = [], 0
-        return out
-
-    def batches(self, rows: list[tuple], size: int = 2048) -> Iterator[pa.RecordBatch]:
-        kinds = (self.kind, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
-        for at in range(0, len(rows), size):
-            columns = [pa.array([r[i] for r in rows[at : at + size]], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in SCHEMA.split(", ")])
+NAMES = [f.split()[0] for f in SCHEMA.split(", ")]
+
+
+def _batches(rows: list[tuple], kind: pa.DataType, size: int = 2048) -> Iterator[pa.RecordBatch]:
+    kinds = (kind, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+    for at in range(0, len(rows), size):
+        columns = [pa.array([r[i] for r in rows[at : at + size]], k) for i, k in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays(columns, NAMES)
+
+
+def _cut(doc_id, ids: bytes, window: int, sequence: int) -> list[tuple]:
+    """A document's full windows, with sequences numbered from `sequence`, and its rest, which
+    has none yet but the next number as its offset."""
+    total = len(ids) // 4
+    full = [
+        (doc_id, start, window, ids[4 * start : 4 * (start + window)], total, sequence + n, 0)
+        for n, start in enumerate(range(0, total - window + 1, window))
+    ]
+    start = total - total % window
+    rest = [(doc_id, start, total - start, ids[4 * start :], total, None, sequence + len(full))] if start < total else []
+    return full + rest
 
 
 def pack(
@@ -175,29 +167,39 @@ def pack(
 
     Null and empty texts make one piece of one id. Null ids and repeated rows are packed
     like others. Other columns are ignored; an empty table gives no piece. Very long
-    documents are cut as they come. Rests wait in blocks of `block_tokens`; only the last
-    windows of a block can be far from full. Equal lengths go by id, then start.
+    documents are cut as they come. Rests are packed in groups of about `block_tokens`; only
+    the last windows of a group can be far from full. Equal lengths go by id, then start.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, pieces, last = _encoder(tokenizer), None, np.array([end], "<u4").tobytes()
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, last = _encoder(tokenizer), np.array([end], "<u4").tobytes()
+        sequence = TaskContext.get().partitionId() << 40
         for batch in batches:
-            pieces = pieces or _Pieces(window, batch.column(0).type)
             out, waiting = [], 0
             for key, text in zip(batch.column(0), batch.column(1), strict=True):
-                full = pieces.cut(key.as_py(), encoder.encode(text.as_py()) + last)
-                out += full
-                waiting += len(full) * window
-                if pieces.tokens >= block_tokens:
-                    out += pieces.pack()
-                    waiting += block_tokens
+                rows = _cut(key.as_py(), encoder.encode(text.as_py()) + last, window, sequence)
+                out += rows
+                sequence += len(rows)
+                waiting += len(rows) * window
                 if waiting >= 1 << 20:
-                    yield from pieces.batches(out)
+                    yield from _batches(out, batch.column(0).type)
                     out, waiting = [], 0
-            yield from pieces.batches(out)
-        if pieces and pieces.rests:
-            yield from pieces.batches(pieces.pack())
+            yield from _batches(out, batch.column(0).type)
+
+    def packed(group: pa.Table) -> pa.Table:
+        first = RESTS | group["group"][0].as_py() << 32
+        rests = list(zip(*(group[name].to_pylist() for name in NAMES[:5]), strict=True))
+        rests.sort(key=lambda x: (-x[2], x[0] is None, x[0] or 0, x[1]))
+        placed, _ = best_fit([x[2] for x in rests], window)
+        rows = [(*x, first + at, offset) for x, (at, offset) in zip(rests, placed, strict=True)]
+        return pa.Table.from_batches(_batches(rows, group.schema.field("doc_id").type))
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(work, SCHEMA.format(kind))
+    pieces = saved(rows.mapInArrow(encoded, SCHEMA.format(kind)), "pieces", "zstd")
+    rests = pieces.where("sequence_id is null")
+    groups = max(1, math.ceil((rests.agg(F.sum("length")).first()[0] or 0) / block_tokens))
+    dealt = rests.withColumn("group", F.pmod(F.xxhash64("offset"), F.lit(groups)))
+    return pieces.where("sequence_id is not null").union(
+        dealt.groupBy("group").applyInArrow(packed, SCHEMA.format(kind))
+    )

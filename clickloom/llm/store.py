@@ -14,9 +14,9 @@ def folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/clickloom-llm/{label}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+def saved(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """`df` written once and read again. A lost executor then costs a read, not the
     work that led here. The folder stays for the cluster's own clean-up."""
     path = folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

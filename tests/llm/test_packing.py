@@ -92,6 +92,22 @@ def test_every_id_is_in_one_place(spark, block):
         assert sum(p["length"] for p in pieces) > 0.98 * 1024 * sequences
 
 
+@pytest.mark.parametrize("partitions", [1, 40])
+def test_padding_does_not_depend_on_files(spark, partitions):
+    """Also where every partition holds a few documents only."""
+    rows = [(i, words(i, random.Random(i).randint(1, 300))) for i in range(200)]
+    pieces = packing.pack(documents(spark, rows).repartition(partitions), PATH).collect()
+    lengths = [len(ids_of(t)) + 1 for _, t in rows]
+    rests = sorted((n % 1024 for n in lengths if n % 1024), reverse=True)
+    assert check(rows, pieces, 1024) == sum(n // 1024 for n in lengths) + packing.best_fit(rests, 1024)[1]
+
+
+def test_one_document_on_most_rows(spark):
+    """Copies are dealt to groups like other rests."""
+    rows = [(7, words(1, 100))] * 300 + ROWS[:5]
+    check(rows, packing.pack(documents(spark, rows), PATH, block_tokens=5000).collect(), 1024)
+
+
 def test_other_windows(spark):
     check(ROWS[:20], packing.pack(documents(spark, ROWS[:20]), PATH, window=64).collect(), 64)
 
