@@ -15,16 +15,24 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.store import saved
+
 ALLOW, BLOCK = "allow", "block"
 #: Labelled URLs learned from, about, and the size of the model.
 TRAIN_ROWS, TREES, DEPTH = 20_000, 10, 4
 #: Suffixes are hashed into so many buckets, so their table has a bound.
 BUCKETS = 1024
+#: Suffixes with statistics: the last two labels of the host, the ending of the path, and the
+#: path's first step, which is where its host leaves off.
+SUFFIXES = ("host", "path", "step")
+#: Rows learned from get the statistics of the other folds.
+FOLDS = 5
 
 FEATURES = (
     "url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "longest_number",
     "hyphens", "entropy", "parameters", "has_query", "has_fragment", "secure",
     "host_suffix_share", "host_suffix_blocked", "path_suffix_share", "path_suffix_blocked",
+    "step_suffix_share", "step_suffix_blocked",
 )
 
 
@@ -94,8 +102,9 @@ def lexical(urls: DataFrame, url: str, host: str, path: str) -> DataFrame:
         "secure": F.startswith(u, F.lit("https:")).cast("int"),
     }
     buckets = {
-        "host_bucket": _bucket("host", F.regexp_extract(h, r"[^.]*$", 0)),
+        "host_bucket": _bucket("host", F.regexp_extract(h, r"[^.]*(\.[^.]*)?$", 0)),
         "path_bucket": _bucket("path", F.regexp_extract(p, r"\.([A-Za-z0-9]{1,8})$", 1)),
+        "step_bucket": _bucket("step", F.regexp_extract(p, r"^/([^/]*)", 1)),
     }
     return urls.withColumns({name: c.cast("double") for name, c in new.items()} | buckets)
 
@@ -109,45 +118,65 @@ class Model:
     default: str
 
 
-def _with_suffixes(rows: DataFrame, suffixes: DataFrame) -> DataFrame:
-    """Joins the statistics of both suffixes: at most BUCKETS rows, so they are broadcast."""
-    for kind in ("host", "path"):
-        names = {"bucket": f"{kind}_bucket", "share": f"{kind}_suffix_share", "blocked": f"{kind}_suffix_blocked"}
-        table = suffixes.where(F.col("kind") == kind).select(*(F.col(a).alias(b) for a, b in names.items()))
-        rows = rows.join(F.broadcast(table), f"{kind}_bucket", "left").fillna(
-            {names["share"]: 0.0, names["blocked"]: 0.5}
+def _with_suffixes(rows: DataFrame, suffixes: DataFrame, fold: str | None = None) -> DataFrame:
+    """Joins the statistics of each suffix, at most BUCKETS rows a kind (and fold), so they are
+    broadcast. Rows to learn from have a `fold`, and get what the other folds say; else the
+    trees would trust suffixes for what they say of the very URL."""
+    for kind in SUFFIXES:
+        table = suffixes.where(F.col("kind") == kind).select(
+            F.col("bucket").alias(f"{kind}_bucket"),
+            *([] if fold is None else [F.col("fold").alias(fold)]),
+            (F.col("n") / F.col("total")).alias(f"{kind}_suffix_share"),
+            ((F.col("blocks") + 1) / (F.col("n") + 2)).alias(f"{kind}_suffix_blocked"),
         )
+        keys = [f"{kind}_bucket"] + ([] if fold is None else [fold])
+        rows = rows.join(F.broadcast(table), keys, "left").fillna({f"{kind}_suffix_share": 0.0, f"{kind}_suffix_blocked": 0.5})
     return rows
 
 
 def fit(labelled: DataFrame, url: str, host: str, path: str, label: str, rows: int = TRAIN_ROWS) -> Model:
     """Learns from URLs whose column `label` says allow or block.
 
-    Suffix statistics cover all labelled rows; the trees are grown from about `rows` of
-    them, chosen by a hash of the URL. Labels of one kind, or none, give a model that always
-    says that kind, or allow.
+    Equal URLs are counted first and weigh as many as they are, so `labelled` is read once,
+    and one URL on many rows is one row from there on. Suffix statistics cover all of them;
+    the trees are grown from about `rows` different ones, chosen by a hash of the URL and
+    written once. Labels of one kind, or none, give a model that always says that kind, or
+    allow.
     """
-    counts = {r[label]: r["count"] for r in labelled.groupBy(label).count().collect() if r[label] in (ALLOW, BLOCK)}
+    known = labelled.where(F.col(label).isin(ALLOW, BLOCK)).groupBy(url, host, path, label)
+    known = saved(known.agg(F.count("*").cast("double").alias("__weight")), "labelled-urls")
+    counts = {r[label]: (r["n"], r["urls"]) for r in known.groupBy(label).agg(F.sum("__weight").alias("n"), F.count("*").alias("urls")).collect()}
     if len(counts) < 2:
         return Model(None, None, next(iter(counts), ALLOW))
-    total = sum(counts.values())
-    rows_in = lexical(labelled.where(F.col(label).isin(ALLOW, BLOCK)), url, host, path).withColumn(
-        "blocked", (F.col(label) == BLOCK).cast("double")
+    total, different = (sum(x) for x in zip(*counts.values(), strict=True))
+    rows_in = lexical(known, url, host, path).withColumn("blocked", (F.col(label) == BLOCK).cast("double"))
+    every = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"{k}_bucket").alias("bucket")) for k in SUFFIXES)))
+    rows_in = rows_in.withColumn("__fold", F.pmod(F.xxhash64(F.lit("fold"), url), F.lit(FOLDS)))
+    keys = ["kind", "bucket"]
+    by_fold = (
+        rows_in.select(every.alias("s"), "blocked", "__weight", F.col("__fold").alias("fold"))
+        .groupBy("s.kind", "s.bucket", "fold")
+        .agg(F.sum("__weight").alias("n"), F.sum(F.col("__weight") * F.col("blocked")).alias("blocks"))
     )
-    both = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"{k}_bucket").alias("bucket")) for k in ("host", "path"))))
-    suffixes = (
-        rows_in.select(both.alias("s"), "blocked")
-        .groupBy("s.kind", "s.bucket")
-        .agg((F.count("*") / total).alias("share"), ((F.sum("blocked") + 1) / (F.count("*") + 2)).alias("blocked"))
+    spark = labelled.sparkSession
+    by_fold = spark.createDataFrame(by_fold.collect(), by_fold.schema)
+    suffixes = by_fold.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("blocks").alias("blocks")).withColumn("total", F.lit(total))
+    folds = by_fold.groupBy("kind", "fold").agg(F.sum("n").alias("of_fold"))
+    without = (
+        by_fold.withColumnsRenamed({"n": "own", "blocks": "own_blocks"})
+        .join(suffixes, keys)
+        .join(folds, ["kind", "fold"])
+        .select(*keys, "fold", (F.col("n") - F.col("own")).alias("n"), (F.col("blocks") - F.col("own_blocks")).alias("blocks"), (F.col("total") - F.col("of_fold") + 1e-9).alias("total"))
     )
-    suffixes = labelled.sparkSession.createDataFrame(suffixes.collect(), suffixes.schema)
-    keep = min(1.0, rows / total)
+    suffixes, without = (spark.createDataFrame(x.collect(), x.schema) for x in (suffixes, without))
+    keep = min(1.0, rows / different)
     sample = rows_in.where(F.pmod(F.xxhash64(url), F.lit(1_000_003)) < math.ceil(keep * 1_000_003))
     ready = VectorAssembler(inputCols=list(FEATURES), outputCol="__features")
     trees = GBTClassifier(
-        featuresCol="__features", labelCol="blocked", predictionCol="__blocked", maxIter=TREES, maxDepth=DEPTH, seed=1
+        featuresCol="__features", labelCol="blocked", predictionCol="__blocked", weightCol="__weight", maxIter=TREES, maxDepth=DEPTH, seed=1
     )
-    train = ready.transform(_with_suffixes(sample, suffixes)).select("__features", "blocked")
+    train = ready.transform(_with_suffixes(sample, without, "__fold"))
+    train = saved(train.select("__features", "blocked", "__weight"), "url-features")
     return Model(suffixes, PipelineModel([ready, trees.fit(train)]), ALLOW)
 
 

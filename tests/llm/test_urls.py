@@ -57,6 +57,30 @@ def test_trees_learn_lexical_differences(spark):
     assert sum(found[300 + i] == ("block" if i % 2 else "allow") for i in range(100)) >= 95
 
 
+def test_held_out_pages(spark, sf_dir):
+    """Of pages that rules label, one half teaches and the other is judged. What only the
+    first digit of a number tells (the rule en/1) is beyond the features."""
+    path = f"{sf_dir}/pages.parquet".replace("sf0.001", "sf0.1")
+    known = [(r.page_id, r.url, plain(r.url)[2]) for r in spark.read.parquet(path).collect()]
+    known = [(i, u, rule.verdict) for i, u, rule in known if rule]
+    rows = spark.createDataFrame(known, "page_id long, url string, label string")
+    host, place = urls.parts(urls.F.col("url"))
+    rows = rows.withColumns({"host": host, "path": place})
+    model = urls.fit(rows.where("page_id % 2 = 0"), "url", "host", "path", "label")
+    told = urls.lexical(rows.where("page_id % 2 = 1"), "url", "host", "path")
+    judged = model.trees.transform(urls._with_suffixes(told, model.suffixes)).select("label", "__blocked").collect()
+    right = Counter((r.label, r["__blocked"] > 0.5) for r in judged)
+    assert right["block", True] >= 0.45 * (right["block", True] + right["block", False])
+    assert right["allow", False] >= 0.97 * (right["allow", False] + right["allow", True])
+
+
+def test_repeated_urls_weigh_as_many(spark):
+    """One URL on half of all rows is one row that weighs as many; every row is judged."""
+    values = ["http://h.com/de/1"] * 200 + [f"http://h{i}.com/{'de' if i % 2 else 'fr'}/{i}" for i in range(200)]
+    found = urls.judge(pages(spark, values + ["http://x.net/de/5", "http://x.net/fr/5"]), queries.URL_RULES).collect()
+    assert len(found) == 402 and {r.verdict for r in found[400:]} == {"block", "allow"}
+
+
 @pytest.mark.parametrize("values, verdict", [(["http://a.org/"], "allow"), (["http://a.com/de/"], "block"), ([], "allow")])
 def test_labels_of_one_kind(spark, values, verdict):
     found = urls.judge(pages(spark, [*values, "http://a.net/x", None]), queries.URL_RULES).collect()
