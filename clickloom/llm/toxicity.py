@@ -14,6 +14,7 @@ are learned, so scripts that do not separate words teach next to nothing.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
@@ -38,8 +39,6 @@ LEAST_SHARE, EVIDENCE, LEAST_PLACES = 0.9, (100.0, 20.0), 4
 #: Documents that have this share of their five-word shingles in common are near copies, and
 #: one of them is evidence enough. Pairs to compare agree in a band of BAND least hashes.
 COPY, SHINGLE, BANDS, BAND = 0.8, 5, 16, 4
-#: Rounds of comparing, at most; a copy that none of them finds stays.
-COPY_ROUNDS = 6
 MIXERS = np.random.default_rng(11).integers(1 << 62, size=BANDS * BAND, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: A word beginning is productive from so many different words on.
 LEAST_FORMS = 4
@@ -319,7 +318,8 @@ def without_copies(sample: DataFrame) -> DataFrame:
     keyed = saved(keyed, "copy-keys")
     sets = keyed.select("key", "shingles")
     banded = keyed.select("key", "toxic", F.explode("bands").alias("band"))
-    for order in range(COPY_ROUNDS):
+    # Every round but the last takes rows away, so there is a last one.
+    for order in itertools.count():
         first = F.min(F.struct(F.xxhash64("key", F.lit(order)), "key"))["key"].alias("leader")
         leaders = banded.groupBy("toxic", "band").agg(first, F.count("*").alias("n")).where("n > 1").drop("n")
         pairs = banded.join(F.broadcast(leaders), ["toxic", "band"]).where("key <> leader").select("key", "leader")
