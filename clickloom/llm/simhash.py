@@ -195,7 +195,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
         & (_first_table("a", "b") == F.shiftright(homes["key"], 40))
     )
-    return homes.join(probes, near).select("a", "b")
+    # Their size cannot be told from that of the fingerprints, so neither side is broadcast.
+    return homes.hint("merge").join(probes.hint("merge"), near).select("a", "b")
 
 
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS) -> DataFrame:
