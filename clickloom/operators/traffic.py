@@ -21,15 +21,23 @@ def sliding_counts(events: DataFrame, key: str, length: int, slide: int, ts: str
     hash update and not length / slide of them, and a hot key is small before it
     is copied.
     """
-    pane = gcd(length, slide)
-    ms = F.unix_millis(ts)
-    panes = (
+    return over_panes(panes(events, key, length, slide, ts), key, length, slide)
+
+
+def panes(events: DataFrame, key: str, length: int, slide: int, ts: str = "ts") -> DataFrame:
+    """Events per key and pane (its start, ms): key, pane, n. Counts of the same pane add up."""
+    pane, ms = gcd(length, slide), F.unix_millis(ts)
+    return (
         events.select(F.col(key), (ms - F.pmod(ms, F.lit(pane))).alias("pane"))
         .groupBy(key, "pane")
         .agg(F.count("*").alias("n"))
     )
+
+
+def over_panes(panes: DataFrame, key: str, length: int, slide: int) -> DataFrame:
+    """Events per key and window, out of the counts of the panes."""
     last = F.col("pane") - F.pmod(F.col("pane"), F.lit(slide))
-    reach = F.col("pane") + (pane - length)
+    reach = F.col("pane") + (gcd(length, slide) - length)
     first = reach + F.pmod(-reach, F.lit(slide))
     starts = F.when(first <= last, F.sequence(first, last, F.lit(slide).cast("bigint")))
     return (

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clickloom import schemas
 from clickloom.functions import numbers, text, times
 from clickloom.functions.once import once
-from clickloom.operators import applog, categories, patterns, sampling, sessions, traffic
+from clickloom.operators import applog, categories, patterns, rollups, sampling, sessions, traffic
 from clickloom.session import shared_dir
 from clickloom.sources import lines, retail, tables
+from clickloom.sources.layout import ActionTable
 from clickloom.sources.tasks import TaskParams, param_columns
 from clickloom.streaming import logins as stream_logins, orders as stream_orders, run, traffic as stream_traffic
 
@@ -24,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 TASK_ID = 1
 SAMPLE_TOTAL, SAMPLE_SEED = 3000, 42
+ACTION_BUCKETS = 16
 
 # The tables are sparse: at two seconds or fifteen minutes no pattern would occur.
 PATTERN_LIMIT = 6 * 3600 * patterns.SECOND
@@ -491,11 +493,68 @@ def url_traffic_lines_stream(spark, sf_dir):
     return _filed_stream(spark, stream_traffic.url_traffic(lines.requests(_line_stream(spark, sf_dir))), "url-lines")
 
 
+def hot_items_ranked_stream(spark, sf_dir):
+    """Counting and ranking in one stream, into files."""
+    counts = stream_traffic.hot_items(retail.behaviors(_event_stream(spark, sf_dir)))
+    return _filed_stream(spark, stream_traffic.ranked(counts, "item_id", traffic.ITEM_TOP), "hot-items-ranked")
+
+
+def url_traffic_ranked_stream(spark, sf_dir):
+    counts = stream_traffic.url_traffic(retail.requests(_event_stream(spark, sf_dir)))
+    return _filed_stream(spark, stream_traffic.ranked(counts, "url", traffic.URL_TOP), "url-traffic-ranked")
+
+
+# Tables made once and asked many times: partial results by day, and actions by date and session.
+
+
+def _session_days(spark, sf_dir, params=TaskParams()):
+    folder = _folder(spark, "session-days")
+    rollups.save(rollups.session_days(_actions(spark, sf_dir)), folder)
+    return rollups.load(_at_utc(spark), folder, rollups.SESSION_DAYS, params.start_date, params.end_date)
+
+
+def session_rollup_days(spark, sf_dir):
+    return _timed(rollups.merged_sessions(_session_days(spark, sf_dir), lists=True))
+
+
+def session_filter_days(spark, sf_dir):
+    """The filtered sessions of a range of dates, out of the days of all dates."""
+    days = _session_days(spark, sf_dir, FILTER)
+    return _timed(rollups.select_sessions(days, retail.users(_at_utc(spark), sf_dir), FILTER))
+
+
+def hot_items_days(spark, sf_dir):
+    folder, shape = _folder(spark, "item-days"), ("item_id", traffic.ITEM_WINDOW, traffic.ITEM_SLIDE)
+    viewed = retail.behaviors(_events(spark, sf_dir)).where("behavior = 'pv'")
+    rollups.save(rollups.pane_days(viewed, *shape), folder)
+    days = rollups.load(_at_utc(spark), folder, "item_id bigint, pane bigint, n bigint, date string")
+    return rollups.merged_windows(days, *shape)
+
+
+def _action_table(spark, sf_dir):
+    name = f"actions_{uuid4().hex}"
+    return ActionTable(_at_utc(spark), name, _folder(spark, "actions"), ACTION_BUCKETS).save(_actions(spark, sf_dir))
+
+
+def session_rollup_table(spark, sf_dir):
+    return _timed(_action_table(spark, sf_dir).rollup(lists=True))
+
+
+def session_detail_table(spark, sf_dir):
+    table = _action_table(spark, sf_dir)
+    chosen = table.select_sessions(retail.users(_at_utc(spark), sf_dir), FILTER)
+    return sessions.details(table.actions_of(chosen, FILTER), TASK_ID, "filter")
+
+
+TABLES = [session_rollup_days, session_filter_days, hot_items_days, session_rollup_table, session_detail_table]
+
 STREAMS = [
     hot_items_top3_stream, url_traffic_top5_stream, login_burst_stream, login_strict_pair_stream,
     order_timeout_stream, app_log_routed_stream,
 ]
 
+RANKED_STREAMS = [hot_items_ranked_stream, url_traffic_ranked_stream]
+
 LINE_STREAMS = [access_lines_stream, url_traffic_lines_stream]
 
 BATCH = [
@@ -516,4 +575,4 @@ BATCH = [
 def queries() -> dict[str, Query]:
     named = {q.__name__: q for q in BATCH}
     named |= {f"app_log_event_{name}": _event_table(name) for name in schemas.EVENT_FIELDS}
-    return named | {q.__name__: q for q in STREAMS + LINE_STREAMS}
+    return named | {q.__name__: q for q in STREAMS + LINE_STREAMS + RANKED_STREAMS + TABLES}

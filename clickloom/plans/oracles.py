@@ -385,5 +385,16 @@ def oracle_sql() -> dict[str, str]:
         unnest(range((ms // 5000 + 1) * 5000, ms + 60001, 5000)) as window_end from req where method = 'GET')
         select window_end, url, count(*) as count from win
         where window_end <= (select max(ms) - 10000 from req) group by window_end, url"""
+    # The same rows from tables by day and by session, and from rankings inside the stream.
+    for name, same in {
+        "hot_items_ranked_stream": "hot_items_top3_stream",
+        "url_traffic_ranked_stream": "url_traffic_top5_stream",
+        "session_rollup_days": "session_rollup",
+        "session_filter_days": "session_filter",
+        "hot_items_days": "hot_items_counts",
+        "session_rollup_table": "session_rollup",
+        "session_detail_table": "session_detail_filtered",
+    }.items():
+        sql[name] = sql[same]
     sql |= {f"app_log_event_{name}": _event_table(name) for name in EVENT_FIELDS}
     return sql

@@ -1,0 +1,101 @@
+"""Reports out of day partials against reports out of the raw rows."""
+
+from datetime import datetime, timedelta
+from random import Random
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom import schemas
+from clickloom.operators import rollups, sessions, traffic
+from clickloom.sources.tables import actions_between
+from clickloom.sources.tasks import TaskParams
+
+NAMES = [c.split()[0] for c in schemas.ACTIONS.split(",")]
+
+
+def some_actions(spark, seed, n=600, sessions_=25):
+    """Sessions run over several days; a third of all rows are of one session."""
+    rng, rows = Random(seed), []
+    for _ in range(n):
+        day = datetime(2024, 1, 1) + timedelta(days=rng.randrange(6))
+        session = 0 if rng.random() < 0.33 else rng.randrange(sessions_)
+        row = dict.fromkeys(NAMES) | {
+            "date": f"{day:%Y-%m-%d}" if rng.random() < 0.97 else None,
+            "user_id": rng.choice([session % 7, session % 7 + 1, None]),
+            "session_id": f"s{session}" if rng.random() < 0.97 else None,
+            "action_time": f"{day + timedelta(seconds=rng.randrange(80_000)):%Y-%m-%d %H:%M:%S}" if rng.random() < 0.97 else None,
+            "search_keyword": rng.choice([None, "", "tea", "milk", "tea,rice"]),
+            "click_category_id": rng.choice([None, 2, 11, 7]),
+        }
+        rows.append(tuple(row[name] for name in NAMES))
+    return spark.createDataFrame(rows, schemas.ACTIONS)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=str)
+
+
+def days_of(spark, actions, tmp_path, params=TaskParams()):
+    folder = str(tmp_path / "days")
+    rollups.save(rollups.session_days(actions), folder)
+    return rollups.load(spark, folder, rollups.SESSION_DAYS, params.start_date, params.end_date)
+
+
+@pytest.mark.parametrize(
+    "params",
+    [
+        TaskParams(),
+        TaskParams(start_date="2024-01-02", end_date="2024-01-04"),
+        TaskParams(start_date="2024-01-03", keywords=("rice",)),
+        TaskParams(end_date="2024-01-01", keywords=("milk", ""), category_ids=("11", "x")),
+        TaskParams(start_date="2025-01-01"),
+    ],
+)
+def test_sessions_of_any_range(spark, tmp_path, params):
+    actions = some_actions(spark, 3).persist()
+    raw = sessions.rollup(actions_between(actions, params.start_date, params.end_date), params, lists=True)
+    merged = rollups.merged_sessions(days_of(spark, actions, tmp_path), params, lists=True)
+    assert merged.dtypes == [t for c in merged.columns for t in raw.dtypes if t[0] == c]
+    assert rows_of(merged) == rows_of(raw)
+    assert (merged.count() == 0) == (params.start_date == "2025-01-01")
+
+
+def test_a_date_is_replaced_whole_and_others_stay(spark, tmp_path):
+    actions, folder = some_actions(spark, 5), str(tmp_path / "days")
+    day = F.col("date") == "2024-01-03"
+    for part in (actions.where(~day), actions.where(day).limit(3), actions.where(day)):
+        rollups.save(rollups.session_days(part), folder)
+    merged = rollups.merged_sessions(rollups.load(spark, folder, rollups.SESSION_DAYS), lists=True)
+    assert rows_of(merged) == rows_of(sessions.rollup(actions.where("date is not null"), lists=True))
+
+
+def test_a_report_reads_its_days_and_columns(spark, tmp_path):
+    days = days_of(spark, some_actions(spark, 7), tmp_path, TaskParams(start_date="2024-01-02", end_date="2024-01-03"))
+    assert {f.split("date=")[1][:10] for f in days.inputFiles()} >= {"2024-01-02", "2024-01-03"}
+    plan = rollups.merged_sessions(days)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    scan = next(line for line in reversed(plan.splitlines()) if "ReadSchema" in line)
+    assert "keywords" not in scan.split("ReadSchema")[1]
+
+
+def test_repeated_rows_count_and_no_rows_give_none(spark, tmp_path):
+    actions = some_actions(spark, 9, n=40)
+    twice = actions.unionAll(actions)
+    got = rollups.merged_sessions(days_of(spark, twice, tmp_path / "a"), lists=True)
+    assert rows_of(got) == rows_of(sessions.rollup(twice, lists=True))
+    assert rollups.merged_sessions(days_of(spark, actions.limit(0), tmp_path / "b")).count() == 0
+
+
+@pytest.mark.parametrize(("length", "slide"), [(3_600_000, 300_000), (50_000, 20_000), (7_000, 11_000)])
+def test_windows_over_days(spark, tmp_path, length, slide):
+    """Days that are loaded one by one; windows reach over midnight."""
+    rng, midnight = Random(length), datetime(2024, 2, 1)
+    rows = [(rng.choice([None, 1, 1, 1, 2, 3]), midnight + timedelta(seconds=rng.randrange(-9000, 9000))) for _ in range(500)]
+    events, folder = spark.createDataFrame(rows, "item bigint, ts timestamp"), str(tmp_path / "panes")
+    for day in ("2024-01-31", "2024-02-01"):
+        part = events.where(F.to_date("ts") == day)
+        rollups.save(rollups.pane_days(part, "item", length, slide).withColumn("date", F.lit(day)), folder)
+    days = rollups.load(spark, folder, "item bigint, pane bigint, n bigint, date string")
+    whole = traffic.sliding_counts(events, "item", length, slide)
+    assert rows_of(rollups.merged_windows(days, "item", length, slide)) == rows_of(whole)

@@ -306,3 +306,25 @@ def test_a_stream_goes_on_where_it_stopped(spark, tmp_path):
         )
     got = spark.read.parquet(str(tmp_path / "out" / "data"))
     assert rows_of(got, *expected.columns) == rows_of(expected, *expected.columns)
+
+
+@pytest.mark.parametrize("files", [1, 7])
+def test_rankings_inside_the_stream(spark, tmp_path, files):
+    """Ties and null keys included; only the counts keep state, the ranking none."""
+    rng = Random(files)
+    start = 1_700_000_000_000
+    rows = [(rng.choice([None, "a", "b", "c", "ü", "z", "", "日"]), start + rng.randrange(400_000)) for _ in range(900)]
+    events = spark.createDataFrame(rows, "url string, ms bigint").select("url", F.timestamp_millis("ms").alias("ts"))
+    folder = run.in_time_order(events, str(tmp_path / "in"), "ts", files)
+    stream = run.table_rows(spark, folder, "url string, ts timestamp", files_per_batch=1)
+    counts = stream_traffic.sliding_counts(stream, "url", 60_000, 5_000, "0 seconds")
+    query = run.finished(run.into_files(stream_traffic.ranked(counts, "url", 3), str(tmp_path / "out"), available_now=True))
+    assert len(query.lastProgress["stateOperators"]) == 2
+    got = spark.read.parquet(str(tmp_path / "out/data"))
+    mark = events.agg(F.max(F.unix_millis("ts"))).first()[0]
+    want = traffic.rank_windows(traffic.sliding_counts(events, "url", 60_000, 5_000), "url", 3)
+    want = want.where(F.col("window_end") <= mark)
+    assert sorted(got.columns) == sorted(want.columns)
+    columns = sorted(want.columns)
+    rows = [sorted((tuple(r) for r in df.select(*columns).collect()), key=str) for df in (got, want)]
+    assert rows[0] == rows[1] and len(rows[0]) > 200
