@@ -1,9 +1,9 @@
 """WARC records in seekable Zstandard bundles.
 
 A bundle is a file of independent frames, each with some records, and a seek table in a
-skippable frame at its end (the public seekable format). An index maps every record to
-its bundle, its frame and its place inside the frame, so that one record is read by
-decompressing one frame.
+skippable frame at its end (the public seekable format). An index maps every record's
+identifier, which no other record has, to its bundle, its frame and its place inside the
+frame, so that one record is read by decompressing one frame.
 
 Every task writes bundles of its own, named after its attempt. Only what the index names
 counts: files of attempts that failed are never read.
@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 #: Bytes of records in a frame and of a bundle, about.
 FRAME, BUNDLE = 1 << 20, 64 << 20
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
-INDEX = "bundle string, record long, page_id long, record_type string, frame long, offset long, length long"
-RECORDS = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
+INDEX = (
+    "record_id string, bundle string, record long, page_id long, record_type string, frame long, offset long, length long"
+)
+RECORDS = "record_id string, page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
 
 
 def _place(folder: str) -> tuple[fs.FileSystem, str]:
@@ -37,8 +39,13 @@ def _place(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder)
 
 
-def _record_id(page_id: int | None) -> str:
-    return f"<{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}').urn}>"
+def _record_id(name: str) -> str:
+    return f"<{uuid.uuid5(uuid.NAMESPACE_URL, name).urn}>"
+
+
+def _named(page_id: int, digest: str) -> str:
+    """The identifier of the one record with this page and payload: others can work it out."""
+    return _record_id(f"page:{page_id}:{digest}")
 
 
 def _line(text: str) -> str:
@@ -50,18 +57,33 @@ def _unline(text: str) -> str:
     return text.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool, date: str) -> bytes:
+def _digest(payload: bytes) -> str:
+    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
+def record(
+    record_id: str,
+    page_id: int | None,
+    url: str | None,
+    payload: bytes,
+    refers_to: int | None,
+    revisit: bool,
+    date: str,
+    refers_to_record: str | None = None,
+) -> bytes:
     """One WARC record: a response with its payload, or a revisit with HTTP headers only."""
-    digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    digest = _digest(payload)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_record_id(page_id)}", f"WARC-Date: {date}"]
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id}", f"WARC-Date: {date}"]
     if url is not None:
         head.append(f"WARC-Target-URI: {_line(url)}")
     head.append(f"WARC-Payload-Digest: sha1:{digest}")
     if revisit:
         head.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-        head += [f"WARC-Refers-To: {_record_id(refers_to)}", f"X-Refers-To-Page: {refers_to}"]
+        if refers_to_record is not None:
+            head.append(f"WARC-Refers-To: {refers_to_record}")
+        head.append(f"X-Refers-To-Page: {refers_to}")
     if page_id is not None:
         head.append(f"X-Page: {page_id}")
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
@@ -82,9 +104,10 @@ def parse(data: bytes, at: int = 0) -> tuple[dict, int]:
     kind = head["WARC-Type"]
     digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
     payload = block[http:] if kind == "response" else None
-    if payload is not None and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
+    if payload is not None and _digest(payload) != digest:
         raise ValueError(f"the payload of record {head['WARC-Record-ID']} is damaged")
     found = {
+        "record_id": head["WARC-Record-ID"],
         "page_id": int(head["X-Page"]) if "X-Page" in head else None,
         "url": _unline(head["WARC-Target-URI"]) if "WARC-Target-URI" in head else None,
         "record_type": kind,
@@ -108,10 +131,14 @@ class _Bundle:
         self.rows: list[tuple] = []
         self.packer = zstandard.ZstdCompressor(level=3, write_checksum=True)
 
-    def add(self, page_id: int | None, kind: str, data: bytes) -> None:
+    def next_id(self) -> str:
+        """An identifier for the next record, after its place: bundle names are not used twice."""
+        return _record_id(f"{self.name}#{len(self.rows)}")
+
+    def add(self, record_id: str, page_id: int | None, kind: str, data: bytes) -> None:
         if self.filled and self.filled + len(data) > self.limit:
             self.flush()
-        self.rows.append((self.name, len(self.rows), page_id, kind, len(self.frames), self.filled, len(data)))
+        self.rows.append((record_id, self.name, len(self.rows), page_id, kind, len(self.frames), self.filled, len(data)))
         self.waiting.append(data)
         self.filled += len(data)
 
@@ -130,7 +157,7 @@ class _Bundle:
         table += struct.pack("<IBI", len(self.frames), 0, SEEKABLE)
         self.out.write(struct.pack("<II", SKIPPABLE, len(table)) + table)
         self.out.close()
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
         columns = [pa.array([r[i] for r in self.rows], kind) for i, kind in enumerate(kinds)]
         return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in INDEX.split(", ")])
 
@@ -159,7 +186,7 @@ def _frame(file: pa.NativeFile, start: int, size: int) -> bytes:
 
 
 def _batch(found: list[dict]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary())
+    kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary())
     names = [f.split()[0] for f in RECORDS.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array([r[n] for r in found], k) for n, k in zip(names, kinds, strict=True)], names)
 
@@ -185,6 +212,10 @@ def write(
     referred to. A null url leaves its header out. Other columns are ignored; an empty
     table gives an empty index.
 
+    No two records have the same identifier. It comes from page and payload where revisits refer
+    to the record and it is the only one with both, else from bundle and number.
+    Revisits of a page whose record is there more than once name the page, but no record.
+
     Groups of equal payloads are counted before they are joined, and only groups of two
     and more are; adaptive execution splits the join where one payload has many rows. A
     task holds one frame and the index rows of one bundle.
@@ -195,12 +226,17 @@ def write(
         F.col(url).cast("string").alias("url"),
         F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary").alias("payload"),
     ).withColumn("key", F.when(F.octet_length("payload") >= least_bytes, F.sha2("payload", 256)))
-    groups = rows.where("key is not null and page_id is not null").groupBy("key").agg(
-        F.max("page_id").alias("response"), F.count("*").alias("n")
+    same = rows.where("key is not null and page_id is not null").groupBy("key", "page_id").agg(F.count("*").alias("n"))
+    groups = same.groupBy("key").agg(
+        F.max("page_id").alias("response"), (F.max_by("n", "page_id") == 1).alias("single"), F.count("*").alias("pages")
+    )
+    groups = groups.where("pages > 1").select("key", "response", "single")
+    refers_to = F.when(F.col("page_id") != F.col("response"), F.col("response"))
+    # Revisits and the record they refer to, if it can be told by page and payload.
+    named = F.coalesce(F.col("single") & F.col("page_id").isNotNull(), F.lit(False))
+    records = rows.join(groups, "key", "left").select(
+        "page_id", "url", "payload", refers_to.alias("refers_to"), named.alias("named")
     )
-    groups = groups.where("n > 1").select("key", "response")
-    other = F.col("response").isNotNull() & F.col("page_id").isNotNull() & (F.col("page_id") != F.col("response"))
-    records = rows.join(groups, "key", "left").select("page_id", "url", "payload", F.when(other, F.col("response")).alias("refers_to"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made, now = TaskContext.get(), 0, None
@@ -211,9 +247,13 @@ def write(
                 if now is None:
                     name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}-{made:04d}.warc.zst"
                     now, made = _Bundle(place, path, name, frame), made + 1
-                page, address, payload, refers = (batch.column(c)[i].as_py() for c in range(4))
-                kind = "response" if refers is None else "revisit"
-                now.add(page, kind, record(page, address, payload, refers, kind == "revisit", date))
+                page, address, payload, refers, named = (batch.column(c)[i].as_py() for c in range(5))
+                kind, own, other = "response" if refers is None else "revisit", now.next_id(), None
+                if named and refers is None:
+                    own = _named(page, _digest(payload))
+                elif named:
+                    other = _named(refers, _digest(payload))
+                now.add(own, page, kind, record(own, page, address, payload, refers, kind == "revisit", date, other))
                 if now.written >= bundle:
                     yield now.close()
                     now = None
@@ -231,7 +271,7 @@ def index(spark: SparkSession, folder: str) -> DataFrame:
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """All records of the bundles that the index of `folder` names, read from the bundles:
-    page_id, url, record_type, refers_to, payload_digest, payload_bytes (both of the whole
+    record_id, page_id, url, record_type, refers_to, payload_digest, payload_bytes (both of the whole
     payload) and payload (null for revisits)."""
     bundles = index(spark, folder).select("bundle").distinct()
     tasks = max(1, min(bundles.count(), 100_000))

@@ -33,7 +33,7 @@ def expected(rows, least=0):
 
 
 def rows_of(found):
-    return sorted(((*r[:6], None if r[6] is None else bytes(r[6])) for r in found.collect()), key=repr)
+    return sorted(((*r[1:7], None if r[7] is None else bytes(r[7])) for r in found.collect()), key=repr)
 
 
 @pytest.mark.parametrize("least, frame, bundle", [(0, 1 << 20, 1 << 26), (0, 64, 300), (5, 500, 1 << 20), (1 << 40, 10, 10)])
@@ -70,7 +70,7 @@ def test_left_over_files_are_not_read(spark):
 
 
 def test_damage_is_noticed():
-    data = warc.record(1, "u", b"payload", None, False, "2000-01-01T00:00:00Z")
+    data = warc.record("<urn:x>", 1, "u", b"payload", None, False, "2000-01-01T00:00:00Z")
     assert warc.parse(data)[0]["payload"] == b"payload" and warc.parse(data)[1] == len(data)
     with pytest.raises(ValueError):
         warc.parse(data.replace(b"payload\r\n\r\n", b"paXload\r\n\r\n"))
@@ -79,3 +79,33 @@ def test_damage_is_noticed():
 def test_empty_table(spark):
     place = folder(spark, "test-warc")
     assert warc.write(pages(spark, []), place).count() == 0 and warc.read(spark, place).count() == 0
+
+
+def test_identifiers_are_unique_and_found(spark):
+    """Ids repeated or null, payloads repeated under one id, one id on two payloads."""
+    rows = [*ROWS, (8, "u", "same"), (3, "v", "same"), (None, "u", "same"), (5, "w", LONG), (1, "x", "<a>ü</a>"), (0, "y", "<a>ü</a>")]
+    place = folder(spark, "test-warc")
+    index = warc.write(pages(spark, rows), place, frame=300)
+    assert index.select("record_id").distinct().count() == len(rows)
+    records = warc.read(spark, place)
+    assert {tuple(r) for r in records.select("record_id", "page_id", "record_type").collect()} == {
+        tuple(r) for r in index.select("record_id", "page_id", "record_type").collect()
+    }
+    for entry in index.collect():
+        (one,) = warc.fetch(index.where(index.record_id == entry.record_id), place).collect()
+        assert (one.record_id, one.page_id) == (entry.record_id, entry.page_id)
+
+
+def test_revisits_name_the_record_they_refer_to(spark):
+    place = folder(spark, "test-warc")
+    rows = [(1, "u", "a"), (2, "u", "a"), (3, "u", "b"), (4, "u", "b"), (4, "u", "b")]
+    index = warc.write(pages(spark, rows).coalesce(1), place)
+    files, path = warc._place(place)
+    heads = {}
+    with files.open_input_file(f"{path}/{index.first().bundle}") as file:
+        data = warc._frame(file, *warc.seek_table(file)[0])
+    for entry in index.collect():
+        lines = data[entry.offset : entry.offset + entry.length].split(b"\r\n\r\n")[0].decode().split("\r\n")[1:]
+        heads[entry.page_id] = dict(line.split(": ", 1) for line in lines)
+    assert heads[1]["WARC-Refers-To"] == heads[2]["WARC-Record-ID"]
+    assert "WARC-Refers-To" not in heads[3] and heads[3]["X-Refers-To-Page"] == "4"
