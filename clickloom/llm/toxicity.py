@@ -15,6 +15,7 @@ are learned, so scripts that do not separate words teach next to nothing.
 from __future__ import annotations
 
 import itertools
+import math
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
@@ -272,15 +273,23 @@ def _logistic(rows: np.ndarray, labels: np.ndarray, ridge: float = 0.05) -> np.n
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, rows: int = TRAIN_ROWS
 ) -> DataFrame:
-    """(id, text, toxic) of about `rows` labelled documents, chosen by a hash of the id. An
-    id with several labels is toxic if one says so. Only the chosen ids are broadcast."""
+    """(id, text, toxic) of about `rows` labelled documents. Ids are chosen by a hash, and if
+    their texts are more than `rows`, as where one id stands on many, so are those. Texts that
+    are equal within a label count once, with their least id. An id with several labels is
+    toxic if one says so. Only the chosen ids are broadcast."""
     known = labels.where(f"{label} in (0, 1) and {doc_id} is not null").groupBy(F.col(doc_id).alias("id")).agg(
         F.max(label).cast("int").alias("toxic")
     )
-    keep = min(1.0, rows / max(1, known.count()))
-    chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < int(keep * 1_000_003))
+    chosen = _share(known, rows, "id")
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text is not null")
-    return texts.join(F.broadcast(chosen), "id").select("id", "text", "toxic")
+    found = texts.join(F.broadcast(chosen), "id").groupBy("toxic", "text").agg(F.min("id").alias("id"))
+    return _share(saved(found.select("id", "text", "toxic"), "labelled-texts"), rows, "id", "text")
+
+
+def _share(table: DataFrame, rows: int, *key: str) -> DataFrame:
+    """About `rows` rows, chosen by a hash of the key; all, if there are fewer."""
+    keep = min(1.0, rows / max(1, table.count()))
+    return table.where(F.pmod(F.xxhash64(*key), F.lit(1_000_003)) < math.ceil(keep * 1_000_003))
 
 
 def _copy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -132,6 +132,19 @@ def test_only_verified_copies_are_left_out(spark):
     assert sum(i in (701, 702) for i in ids) == 1 and len({(r.id, r.text) for r in got}) == len(got)
 
 
+def test_many_rows_of_one_id_do_not_break_the_bound(spark):
+    rows = [(1, f"text {i}") for i in range(3000)] + [(1, "copy")] * 3000 + [(i, f"own {i}") for i in range(2, 500)]
+    rows += [(2, None), (None, "no id"), (9000, "no label")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 500)] + [(3, 0), (4, None)], "doc_id long, toxic int")
+    sample = toxicity.labelled_sample(documents(spark, rows), labels, "doc_id", "text", "toxic", 600)
+    got = [tuple(r) for r in sample.collect()]
+    assert 450 < len(got) < 750 and len(set(got)) == len(got)
+    assert {i for i, _, _ in got} <= set(range(1, 500)) and all(toxic == i % 2 for i, _, toxic in got)
+    every = toxicity.labelled_sample(documents(spark, rows), labels, "doc_id", "text", "toxic", 10_000)
+    want = {(i, text, i % 2) for i, text in rows if i in range(1, 500) and text is not None}
+    assert sorted(tuple(r) for r in every.collect()) == sorted(want)
+
+
 def test_six_toxic_documents_and_no_clean_one_are_evidence(spark):
     counts = spark.createDataFrame([(6, 0), (4, 0), (4, 1)], "toxic long, clean long")
     told = counts.select("*", toxicity._telling(342, 2703, min(toxicity.EVIDENCE)).alias("told")).collect()
