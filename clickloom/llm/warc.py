@@ -25,6 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.llm.store import saved
+
 #: Bytes of records in a frame and of a bundle, about.
 FRAME, BUNDLE = 1 << 20, 64 << 20
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -230,7 +232,9 @@ def write(
     groups = same.groupBy("key").agg(
         F.max("page_id").alias("response"), (F.max_by("n", "page_id") == 1).alias("single"), F.count("*").alias("pages")
     )
-    groups = groups.where("pages > 1").select("key", "response", "single")
+    # Written, so that the planner knows their size: if they are few they go to the rows, and
+    # no payload is shuffled.
+    groups = saved(groups.where("pages > 1").select("key", "response", "single"), "same-payload")
     refers_to = F.when(F.col("page_id") != F.col("response"), F.col("response"))
     # Revisits and the record they refer to, if it can be told by page and payload.
     named = F.coalesce(F.col("single") & F.col("page_id").isNotNull(), F.lit(False))
