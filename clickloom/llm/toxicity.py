@@ -14,6 +14,7 @@ are learned, so scripts that do not separate words teach next to nothing.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 import zlib
@@ -316,8 +317,10 @@ def without_copies(sample: DataFrame) -> DataFrame:
 
     A row goes only if it shares COPY of its shingles with a row of the same label that
     stays. In each round, the rows of a band are compared with one of them, by another
-    order each time; rounds end when one finds no copy. The work of a round grows with the
-    rows, however many copies there are. Keys and pairs of keys of a bounded sample are broadcast.
+    order each time; rounds end when one finds no copy. A round starts from the rows that
+    shared a band with another in the last one and stayed, written once, so its work grows
+    with those and not with the rounds before. Keys and pairs of keys of a bounded sample
+    are broadcast.
     """
     rows = sample.groupBy("toxic", "text").agg(F.min("id").alias("id"))
     rows = saved(rows.select(F.xxhash64("id", "text").alias("key"), "id", "text", "toxic"), "copy-rows")
@@ -326,9 +329,10 @@ def without_copies(sample: DataFrame) -> DataFrame:
     )
     keyed = saved(keyed, "copy-keys")
     sets = keyed.select("key", "shingles")
-    banded = keyed.select("key", "toxic", F.explode("bands").alias("band"))
+    left, copies = keyed.select("key", "toxic", "bands"), []
     # Every round but the last takes rows away, so there is a last one.
     for order in itertools.count():
+        banded = left.select("key", "toxic", F.explode("bands").alias("band"))
         first = F.min(F.struct(F.xxhash64("key", F.lit(order)), "key"))["key"].alias("leader")
         leaders = banded.groupBy("toxic", "band").agg(first, F.count("*").alias("n")).where("n > 1").drop("n")
         pairs = banded.join(F.broadcast(leaders), ["toxic", "band"]).where("key <> leader").select("key", "leader")
@@ -344,7 +348,13 @@ def without_copies(sample: DataFrame) -> DataFrame:
         gone = saved(found.join(F.broadcast(going), "leader", "left_anti").select("key").distinct(), "copies")
         if gone.isEmpty():
             break
-        rows, banded = (x.join(F.broadcast(gone), "key", "left_anti") for x in (rows, banded))
+        copies.append(gone)
+        # A row that shares no band will share none later, as rows only go.
+        met = pairs.select(F.explode(F.array("key", "leader")).alias("key")).distinct()
+        staying = met.join(F.broadcast(gone), "key", "left_anti")
+        left = saved(left.join(F.broadcast(staying), "key", "left_semi"), "copy-left")
+    if copies:
+        rows = rows.join(F.broadcast(functools.reduce(DataFrame.union, copies)), "key", "left_anti")
     return rows.select("id", "text", "toxic")
 
 

@@ -1,8 +1,12 @@
 """Toxicity: the automaton against plain edit distance, context, accuracy, odd tables."""
 
+import itertools
 import random
+import struct
 
+import pyarrow as pa
 import pytest
+import xxhash
 from hypothesis import given, settings, strategies as st
 from llm.cases import LONG, documents, words
 
@@ -132,6 +136,64 @@ def test_only_verified_copies_are_left_out(spark):
     assert sum(i in (701, 702) for i in ids) == 1 and len({(r.id, r.text) for r in got}) == len(got)
 
 
+def spark_hash(seed, value):
+    """Spark's xxhash64 of a long, an int or a text, from a seed on."""
+    data = value.encode() if isinstance(value, str) else value
+    return xxhash.xxh64_intdigest(data, seed)
+
+
+def signed(number):
+    return number - (1 << 64) if number >> 63 else number
+
+
+def test_rounds_start_from_what_is_left_and_find_the_same_copies(spark, monkeypatch):
+    draw, base, rows = random.Random(4), words(1, 100).split(), []
+    for i in range(300):  # one large group, where only some are near enough
+        text = list(base)
+        for k in range(draw.randrange(4)):
+            text[draw.randrange(100)] = f"x{i}y{k}"
+        rows.append((i, " ".join(text), 0))
+    rows = [r for i, r in enumerate(rows) if r[1] not in {x[1] for x in rows[:i]}]
+    rows += [(1000 + i, words(2000 + i, 60), i % 2) for i in range(300)]
+    tables, save = [], toxicity.saved
+
+    def joins(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti")
+
+    def saved(df, label, *more):
+        tables.append((label, joins(df), out := save(df, label, *more)))
+        return out
+
+    monkeypatch.setattr(toxicity, "saved", saved)
+    kept = toxicity.without_copies(spark.createDataFrame(rows, "id long, text string, toxic int"))
+
+    # The same rounds in plain Python.
+    keys = [signed(spark_hash(spark_hash(42, struct.pack("<q", i)), text)) for i, text, _ in rows]
+    columns = [pa.array(x) for x in (keys, [r[2] for r in rows], [r[1] for r in rows])]
+    table = next(toxicity._copy_keys([pa.RecordBatch.from_arrays(columns, ["key", "toxic", "text"])]))
+    sets = dict(zip(keys, map(set, table.column(2).to_pylist()), strict=True))
+    left = {k: [(r[2], b) for b in bands] for k, r, bands in zip(keys, rows, table.column(3).to_pylist(), strict=True)}
+    for rounds in itertools.count(1):
+        order = {k: signed(spark_hash(spark_hash(42, struct.pack("<q", k)), struct.pack("<i", rounds - 1))) for k in left}
+        leader = {}
+        for k in sorted(left, key=order.get, reverse=True):
+            leader.update(dict.fromkeys(left[k], k))
+        pairs = {(k, leader[b]) for k, bands in left.items() for b in bands if leader[b] != k}
+        alike = {(k, o) for k, o in pairs if len(sets[k] & sets[o]) >= toxicity.COPY * len(sets[k] | sets[o])}
+        going = {k for k, _ in alike}
+        if not going:
+            break
+        for k in {k for k, o in alike if o not in going}:
+            del left[k]
+    assert sorted(r.id for r in kept.collect()) == sorted(r[0] for k, r in zip(keys, rows, strict=True) if k in left)
+
+    # No round makes those before it anew, and rows that share no band are in the first only.
+    assert [label for label, _, _ in tables].count("copy-pairs") == rounds >= 4
+    assert max(n for _, n, _ in tables) == joins(kept) == 1
+    later = [t.count() for label, _, t in tables if label == "copy-left"]
+    assert len(later) == rounds - 1 and 300 > later[0] >= later[-1] > 0
+
+
 def test_many_rows_of_one_id_do_not_break_the_bound(spark):
     rows = [(1, f"text {i}") for i in range(3000)] + [(1, "copy")] * 3000 + [(i, f"own {i}") for i in range(2, 500)]
     rows += [(2, None), (None, "no id"), (9000, "no label")]
